@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardmill.catalog import staging
 from cardmill.catalog.sample import DAY, YEAR, Sample
-from cardmill.functions.hashing import hash_split
+from cardmill.functions.hashing import hash_split, random_split
 from cardmill.functions.money import exact_sum
 from cardmill.ml import features, training
 from cardmill.operators import analytics, cleaning, enrich, filters, paging, sizing
@@ -62,10 +62,8 @@ def csv_scan_inferred(s: Sample) -> DataFrame:
 
 @query
 def json_scan_schema(s: Sample) -> DataFrame:
-    folder = scratch_path(s.spark, "json")
-    files = staging.write_json_arrays(s.mcc(), folder)
-    rows = s.spark.read.schema(table_schema("mcc_codes")).option("multiLine", True).json(files)
-    return sizing.repartition_by_size(rows, folder, readers.JSON_TARGET_MB)
+    files = staging.write_json_arrays(s.mcc(), scratch_path(s.spark, "json"))
+    return readers.read_json(s.spark, files, table_schema("mcc_codes"))
 
 
 @query
@@ -442,8 +440,6 @@ def hash_split_70_30(s: Sample) -> DataFrame:
 
 @query
 def random_split_sizes(s: Sample) -> DataFrame:
-    from cardmill.functions.hashing import random_split
-
     train, test = random_split(materialize(s.labels(), "random-split"))
     return train.unionByName(test)
 

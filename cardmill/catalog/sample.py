@@ -18,18 +18,22 @@ from cardmill.operators.enrich import enrich_transactions
 YEAR = 1996
 DAY = date(2025, 5, 22)
 
+# Columns of the given tables used here; declaring them spares the job that reads footers.
+GIVEN = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+}
 
-def _dollars(amount: Column) -> Column:
-    return F.concat(F.lit("$"), amount.cast("decimal(15,2)").cast("string"))
 
-
-def _two_digits(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
-
-
-def _remainder(key: str, table: DataFrame) -> Column:
-    """``key`` modulo the number of rows of ``table``, counted by a scalar subquery."""
-    return F.col(key) % table.select(F.count(F.lit(1))).scalar()
+def _dollars(amount: str, name: str) -> str:
+    return f"concat('$', cast(cast({amount} AS decimal(15,2)) AS string)) AS {name}"
 
 
 @dataclass(frozen=True)
@@ -38,75 +42,77 @@ class Sample:
     folder: str
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        reader = self.spark.read
+        if table in GIVEN:
+            reader = reader.schema(GIVEN[table])
+        return reader.parquet(f"{self.folder}/{table}.parquet")
+
+    def _remainder(self, key: str, table: str) -> Column:
+        """``key`` modulo the number of rows of ``table``, counted by a scalar subquery."""
+        return F.col(key) % self.raw(table).select(F.count(F.lit(1))).scalar()
 
     def transactions(self) -> DataFrame:
-        priority, client = F.col("o_orderpriority"), F.col("o_custkey")
-        use_chip = (
-            F.when(priority.isin("1-URGENT", "2-HIGH"), "Online Transaction")
-            .when(priority == "3-MEDIUM", "Chip Transaction")
-            .otherwise("Swipe Transaction")
+        online = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
+        orders = self.raw("orders").select(
+            "*",
+            self._remainder("o_orderkey", "supplier").alias("card_id"),
+            self._remainder("o_orderkey", "part").alias("mcc"),
         )
-        online = use_chip == "Online Transaction"
-        state = F.element_at(F.array(F.lit("CA"), F.lit("TX"), F.lit("NY")), (client % 3 + 1).cast("int"))
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("id"),
-            F.col("o_orderdate").cast("timestamp").alias("date"),
-            client.alias("client_id"),
-            _remainder("o_orderkey", self.raw("supplier")).alias("card_id"),
-            _dollars(F.col("o_totalprice")).alias("amount"),
-            use_chip.alias("use_chip"),
-            (F.col("o_orderkey") % 5000).alias("merchant_id"),
-            F.when(online, "ONLINE")
-            .otherwise(F.concat(F.lit("City "), (client % 97).cast("string")))
-            .alias("merchant_city"),
-            F.when(~online, state).alias("merchant_state"),
-            F.when(~online, (10000 + client % 89999).cast("double")).alias("zip"),
-            _remainder("o_orderkey", self.raw("part")).alias("mcc"),
-            F.when(F.col("o_orderkey") % 50 == 7, "Insufficient Balance").alias("errors"),
+        return orders.selectExpr(
+            "o_orderkey AS id",
+            "cast(o_orderdate AS timestamp) AS date",
+            "o_custkey AS client_id",
+            "card_id",
+            _dollars("o_totalprice", "amount"),
+            f"CASE WHEN {online} THEN 'Online Transaction' WHEN o_orderpriority = '3-MEDIUM' "
+            "THEN 'Chip Transaction' ELSE 'Swipe Transaction' END AS use_chip",
+            "o_orderkey % 5000 AS merchant_id",
+            f"if({online}, 'ONLINE', concat('City ', o_custkey % 97)) AS merchant_city",
+            f"if({online}, NULL, element_at(array('CA', 'TX', 'NY'), cast(o_custkey % 3 + 1 AS int))) "
+            "AS merchant_state",
+            f"if({online}, NULL, cast(10000 + o_custkey % 89999 AS double)) AS zip",
+            "mcc",
+            "if(o_orderkey % 50 = 7, 'Insufficient Balance', NULL) AS errors",
         )
 
     def users(self) -> DataFrame:
-        key, balance = F.col("c_custkey"), F.col("c_acctbal")
-        age = (18 + key % 60).cast("int")
-        return self.raw("customer").select(
-            key.alias("id"),
-            age.alias("current_age"),
-            F.lit(66).alias("retirement_age"),
-            (2020 - age).alias("birth_year"),
-            (1 + key % 12).cast("int").alias("birth_month"),
-            F.when(key % 2 == 0, "Female").otherwise("Male").alias("gender"),
-            F.concat(key.cast("string"), F.lit(" Main Street")).alias("address"),
-            (30 + key % 15).cast("double").alias("latitude"),
-            (key % 45 - 120).cast("double").alias("longitude"),
-            _dollars(balance + 1000).alias("per_capita_income"),
-            _dollars(balance + 2000).alias("yearly_income"),
-            _dollars(balance).alias("total_debt"),
-            (500 + key % 350).cast("int").alias("credit_score"),
-            (1 + key % 6).cast("int").alias("num_credit_cards"),
+        age = "cast(18 + c_custkey % 60 AS int)"
+        return self.raw("customer").selectExpr(
+            "c_custkey AS id",
+            f"{age} AS current_age",
+            "66 AS retirement_age",
+            f"2020 - {age} AS birth_year",
+            "cast(1 + c_custkey % 12 AS int) AS birth_month",
+            "if(c_custkey % 2 = 0, 'Female', 'Male') AS gender",
+            "concat(c_custkey, ' Main Street') AS address",
+            "cast(30 + c_custkey % 15 AS double) AS latitude",
+            "cast(c_custkey % 45 - 120 AS double) AS longitude",
+            _dollars("c_acctbal + 1000", "per_capita_income"),
+            _dollars("c_acctbal + 2000", "yearly_income"),
+            _dollars("c_acctbal", "total_debt"),
+            "cast(500 + c_custkey % 350 AS int) AS credit_score",
+            "cast(1 + c_custkey % 6 AS int) AS num_credit_cards",
         )
 
     def cards(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        brand = F.when(key % 4 == 0, "Visa").when(key % 4 == 1, "Mastercard").when(key % 4 == 2, "Amex")
-        return self.raw("supplier").select(
-            key.alias("id"),
-            _remainder("s_suppkey", self.raw("customer")).alias("client_id"),
-            brand.otherwise("Discover").alias("card_brand"),
-            F.when(key % 3 == 0, "Credit").otherwise("Debit").alias("card_type"),
-            F.concat(
-                (3 + key % 4).cast("string"), (F.lit(100000000000000) + key * 7919).cast("string")
-            ).alias("card_number"),
-            F.concat(_two_digits(1 + key % 12), F.lit("/"), (2025 + key % 5).cast("string")).alias("expires"),
-            (100 + key % 900).cast("int").alias("cvv"),
-            F.when(key % 5 == 0, "NO").otherwise("YES").alias("has_chip"),
-            (1 + key % 3).cast("int").alias("num_cards_issued"),
-            _dollars(F.col("s_acctbal")).alias("credit_limit"),
-            F.concat(_two_digits(1 + key % 11), F.lit("/"), (1998 + key % 20).cast("string")).alias(
-                "acct_open_date"
-            ),
-            (2008 + key % 12).cast("int").alias("year_pin_last_changed"),
-            F.lit("No").alias("card_on_dark_web"),
+        suppliers = self.raw("supplier").select(
+            "*", self._remainder("s_suppkey", "customer").alias("client_id")
+        )
+        return suppliers.selectExpr(
+            "s_suppkey AS id",
+            "client_id",
+            "element_at(array('Visa', 'Mastercard', 'Amex', 'Discover'), cast(s_suppkey % 4 + 1 AS int)) "
+            "AS card_brand",
+            "if(s_suppkey % 3 = 0, 'Credit', 'Debit') AS card_type",
+            "concat(3 + s_suppkey % 4, 100000000000000 + s_suppkey * 7919) AS card_number",
+            "concat(lpad(1 + s_suppkey % 12, 2, '0'), '/', 2025 + s_suppkey % 5) AS expires",
+            "cast(100 + s_suppkey % 900 AS int) AS cvv",
+            "if(s_suppkey % 5 = 0, 'NO', 'YES') AS has_chip",
+            "cast(1 + s_suppkey % 3 AS int) AS num_cards_issued",
+            _dollars("s_acctbal", "credit_limit"),
+            "concat(lpad(1 + s_suppkey % 11, 2, '0'), '/', 1998 + s_suppkey % 20) AS acct_open_date",
+            "cast(2008 + s_suppkey % 12 AS int) AS year_pin_last_changed",
+            "'No' AS card_on_dark_web",
         )
 
     def mcc(self) -> DataFrame:

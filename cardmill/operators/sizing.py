@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, NumericType, StringType
@@ -26,16 +26,22 @@ def partitions_for_column(size_bytes: str | Column, target_mb: int = 128) -> Col
     return F.greatest(F.lit(1), F.coalesce(count, F.lit(1)))
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes below a file or directory, on any file system Spark can read."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
-        raise FileNotFoundError(path)
-    return int(fs.getContentSummary(hadoop_path).getLength())
+def path_bytes(spark: SparkSession, path: str | Sequence[str]) -> int:
+    """Bytes below files, directories or path patterns, on any file system Spark can read."""
+    total = 0
+    for one in [path] if isinstance(path, str) else path:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(one)
+        fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = fs.globStatus(hadoop_path)
+        if not found:
+            raise FileNotFoundError(one)
+        total += sum(int(fs.getContentSummary(status.getPath()).getLength()) for status in found)
+    return total
 
 
-def repartition_by_size(df: DataFrame, path: str, target_mb: int = 128) -> DataFrame:
+def repartition_by_size(
+    df: DataFrame, path: str | Sequence[str], target_mb: int = 128
+) -> DataFrame:
     """Spread rows read from ``path`` over a partition count derived from its size."""
     return df.repartition(partitions_for(path_bytes(df.sparkSession, path), target_mb))
 

@@ -42,6 +42,15 @@ SOURCE_COLUMNS = {
 INGESTION_COLUMN = "ingestion_date"
 PARTITION_COLUMNS = ("year", "month", "day")
 
+SQL_TYPES = {
+    "int": IntegerType(),
+    "bigint": LongType(),
+    "string": StringType(),
+    "double": DoubleType(),
+    "timestamp": TimestampType(),
+    "date": DateType(),
+}
+
 # Columns that identify rows of other tables; they outgrow INT first.
 KEY_COLUMNS = ("id", "client_id", "card_id", "merchant_id", "mcc")
 
@@ -73,7 +82,7 @@ def table_schema(
     for column in SOURCE_COLUMNS[table].split(", "):
         name, kind = column.split(" ")
         if wide_keys and kind == "int" and name in KEY_COLUMNS:
-            kind = "long"
+            kind = "bigint"
         fields.append((name, kind))
     if ingestion:
         fields.append((INGESTION_COLUMN, "date"))
@@ -81,7 +90,7 @@ def table_schema(
         fields += [(name, "int") for name in PARTITION_COLUMNS]
     schema = StructType()
     for name, kind in fields:
-        schema = schema.add(name, kind, nullable=True)
+        schema = schema.add(name, SQL_TYPES[kind], nullable=True)
     return schema
 
 
@@ -104,16 +113,3 @@ def _quoted(field: StructField) -> str:
 def create_table_ddl(df: DataFrame, table: str) -> str:
     """CREATE TABLE statement for a relational copy of ``df``."""
     return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(map(_quoted, df.schema.fields))})"
-
-
-def column_types_option(df: DataFrame) -> str:
-    """Value of the JDBC writer option ``createTableColumnTypes`` where it can carry the type.
-
-    Spark parses the option with its own type names, so only types that it knows are listed; the
-    dialect renders the others.
-    """
-    named = [f for f in df.schema.fields if isinstance(f.dataType, (DecimalType, FloatType))]
-    return ", ".join(
-        f"`{f.name}` {'FLOAT' if isinstance(f.dataType, FloatType) else f.dataType.simpleString()}"
-        for f in named
-    )

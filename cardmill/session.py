@@ -68,9 +68,19 @@ def scratch_base(spark: SparkSession) -> str:
     return base
 
 
+def _application_scratch(spark: SparkSession) -> str:
+    return f"{scratch_base(spark)}/cardmill/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is ever overwritten there."""
-    return f"{scratch_base(spark)}/cardmill/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_application_scratch(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete what this application wrote below the shared folder; results read from there are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_scratch(spark))
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardmill.operators.enrich import enrich_left
 from cardmill.operators.rows import split_rows
+from cardmill.sources.readers import read_json_map
 
 
 def write_parquet(
@@ -30,6 +31,11 @@ def write_parquet(
     writer.parquet(path)
 
 
+def convert_json_map(spark: SparkSession, source: str, target: str, whole_file: bool = True) -> None:
+    """Rewrite JSON objects ``{key: value}`` as records ``{"id": key, "item": value}``."""
+    read_json_map(spark, source, whole_file=whole_file).write.mode("overwrite").json(target)
+
+
 def write_by_month(
     df: DataFrame,
     path: str,

@@ -69,16 +69,9 @@ def read_source(
     spark: SparkSession, table: SourceTable, schema: StructType | None, multi_line: bool = True
 ) -> DataFrame:
     """Rows of one routed table."""
-    frames = []
-    for path in table.paths:
-        if table.extension == ".csv":
-            frames.append(read_csv(spark, path, schema))
-        else:
-            frames.append(read_json(spark, path, schema, multi_line))
-    rows = frames[0]
-    for frame in frames[1:]:
-        rows = rows.unionByName(frame)
-    return rows
+    if table.extension == ".csv":
+        return read_csv(spark, table.paths, schema)
+    return read_json(spark, table.paths, schema, multi_line)
 
 
 def ingest_directory(

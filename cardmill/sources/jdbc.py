@@ -6,8 +6,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardmill.schemas import column_types_option
-
 
 @dataclass(frozen=True)
 class JdbcTarget:
@@ -83,12 +81,14 @@ def write_jdbc(
     connections: int = 16,
     batch_size: int = 10_000,
     truncate: bool = False,
+    column_types: str | None = None,
 ) -> None:
     """Write ``df`` to a table with at most ``connections`` parallel connections.
 
-    The writer creates a missing table. ``truncate`` keeps an existing table's definition on overwrite. A
-    task that is run again after a lost executor inserts its rows again: load through a staging table
-    or a unique key where that matters.
+    The writer creates a missing table with the types of the database's dialect, except where
+    ``column_types`` names others. ``truncate`` keeps an existing table's definition on overwrite. Each
+    partition is one transaction, so a failed task leaves no rows behind; a task whose commit was lost with
+    its executor inserts again, so give the table a unique key where that matters.
     """
     writer = (
         df.write.format("jdbc")
@@ -98,9 +98,8 @@ def write_jdbc(
         .option("batchsize", batch_size)
         .option("truncate", truncate)
     )
-    types = column_types_option(df)
-    if types:
-        writer = writer.option("createTableColumnTypes", types)
+    if column_types:
+        writer = writer.option("createTableColumnTypes", column_types)
     writer.mode(mode).save()
 
 

@@ -3,32 +3,36 @@
 from __future__ import annotations
 
 import logging
+import re
+from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from cardmill.operators.filters import preview
 from cardmill.operators.sizing import repartition_by_size
-from cardmill.schemas import PARTITION_COLUMNS
 
 JSON_TARGET_MB = 40
 
 logger = logging.getLogger(__name__)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None
+) -> DataFrame:
     """CSV with a header row. Without a schema the types are inferred, which reads the data twice.
 
     With a schema, columns that the file lacks and cells that do not parse are NULL.
     """
     reader = spark.read.option("header", True)
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    return reader.csv(path if isinstance(path, str) else list(path))
 
 
 def read_json(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     schema: StructType | str,
     multi_line: bool = True,
     target_mb: int = JSON_TARGET_MB,
@@ -38,10 +42,9 @@ def read_json(
     A multi-line file is read by one task; give large data as many files or as JSON lines with
     ``multi_line=False``, which is splittable and needs no repartitioning.
     """
-    if not multi_line:
-        return spark.read.schema(schema).json(path)
-    rows = spark.read.schema(schema).option("multiLine", True).json(path)
-    return repartition_by_size(rows, path, target_mb)
+    reader = spark.read.schema(schema).option("multiLine", multi_line)
+    rows = reader.json(path if isinstance(path, str) else list(path))
+    return repartition_by_size(rows, path, target_mb) if multi_line else rows
 
 
 def read_json_map(
@@ -67,16 +70,28 @@ def read_json_map(
     )
 
 
-def latest_partition(spark: SparkSession, path: str) -> tuple[int, int, int]:
-    """Newest (year, month, day) below a partitioned path, compared as dates.
+def partition_days(spark: SparkSession, path: str) -> dict[date, str]:
+    """Ingestion day -> folder, for every ``year=/month=/day=`` folder below ``path`` that holds a file.
 
-    Only partition values are read; one row reaches the driver.
+    Folder names are all that is needed, so no data file is opened.
     """
-    parts = spark.read.parquet(path).select(*PARTITION_COLUMNS).distinct()
-    newest = parts.agg(F.max(F.make_date(*PARTITION_COLUMNS)).alias("day")).first()["day"]
-    if newest is None:
-        raise ValueError(f"no partition below {path}")
-    return newest.year, newest.month, newest.day
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/year=*/month=*/day=*")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    days = {}
+    for folder in fs.globStatus(pattern) or []:
+        name = folder.getPath().toString()
+        values = re.search(r"year=(\d+)/month=(\d+)/day=(\d+)$", name)
+        if values and fs.getContentSummary(folder.getPath()).getFileCount():
+            days[date(*map(int, values.groups()))] = name
+    return days
+
+
+def latest_partition(spark: SparkSession, path: str) -> str:
+    """Folder of the newest ingestion day, compared as dates."""
+    days = partition_days(spark, path)
+    if not days:
+        raise ValueError(f"no year/month/day partition below {path}")
+    return days[max(days)]
 
 
 def read_parquet(
@@ -85,19 +100,13 @@ def read_parquet(
     schema: StructType | str | None = None,
     latest_only: bool = False,
 ) -> DataFrame:
-    """Parquet rows, optionally only those of the newest ingestion day.
+    """Parquet rows; ``latest_only`` reads just the folder of the newest ingestion day.
 
-    A schema reads just its columns. ``latest_only`` filters on literals, so the other partitions are
-    never listed as input, and drops the partition columns.
+    A schema reads just its columns. The newest folder is read by itself, without its partition columns,
+    so other days are not even listed.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(path)
-    if not latest_only:
-        return df
-    values = latest_partition(spark, path)
-    for name, value in zip(PARTITION_COLUMNS, values):
-        df = df.where(F.col(name) == value)
-    return df.drop(*PARTITION_COLUMNS)
+    return reader.parquet(latest_partition(spark, path) if latest_only else path)
 
 
 def read_sql(spark: SparkSession, query: str, show: int = 0) -> DataFrame:

@@ -193,7 +193,7 @@ ORDER BY total_amount DESC, client_id, current_age, gender LIMIT 10"""),
 SELECT id, client_id, amount, info FROM p WHERE info = 'Yes' ORDER BY id LIMIT 20 OFFSET 40"""),
     "page_clients": _with("users_cleaned", "SELECT * FROM users_cleaned ORDER BY id LIMIT 20 OFFSET 40"),
     "page_deep": _with("train_fraud_labels", """
-SELECT * FROM train_fraud_labels ORDER BY id DESC LIMIT 1000 OFFSET 3000"""),
+SELECT * FROM train_fraud_labels ORDER BY id DESC LIMIT 300 OFFSET 900"""),
     "page_keyset": _with("train_fraud_labels", """
 SELECT * FROM train_fraud_labels WHERE id > 500 ORDER BY id LIMIT 50"""),
     "page_records": _with("train_fraud_labels", """

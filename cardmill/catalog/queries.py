@@ -256,7 +256,7 @@ def page_clients(s: Sample) -> DataFrame:
 
 @query
 def page_deep(s: Sample) -> DataFrame:
-    return paging.paginate(s.labels(), [F.desc("id")], page=4, size=1000, top_rows=0)
+    return paging.paginate(s.labels(), [F.desc("id")], page=4, size=300, top_rows=0)
 
 
 @query

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Timestamps stored as microseconds carry row-group statistics, the default type does not.
+TIMESTAMP_TYPE = ("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+
 SESSION_CONF = {
+    TIMESTAMP_TYPE[0]: TIMESTAMP_TYPE[1],
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -53,6 +59,18 @@ def get_session(
     return spark
 
 
+@contextmanager
+def timestamp_statistics(spark: SparkSession) -> Iterator[None]:
+    """Let Parquet writes inside the block keep statistics of timestamps, in any session."""
+    key, value = TIMESTAMP_TYPE
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -89,5 +107,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     The copy survives lost executors and, unlike a row checkpoint, keeps column pruning.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with timestamp_statistics(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardmill.operators.enrich import enrich_left
 from cardmill.operators.rows import split_rows
+from cardmill.session import timestamp_statistics
 from cardmill.sources.readers import read_json_map
 
 
@@ -28,7 +29,8 @@ def write_parquet(
         writer = writer.partitionBy(*partition_by)
     if replace_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    with timestamp_statistics(df.sparkSession):
+        writer.parquet(path)
 
 
 def convert_json_map(spark: SparkSession, source: str, target: str, whole_file: bool = True) -> None:
@@ -53,13 +55,13 @@ def write_by_month(
         columns = {"year": F.year(date_col), **columns}
     target = f"{path.rstrip('/')}/{subfolder}"
     rows = df.withColumns(columns).hint("rebalance", *columns)
-    rows.write.mode("overwrite").partitionBy(*columns).parquet(target)
+    write_parquet(rows, target, partition_by=list(columns))
     return target
 
 
 def write_n_files(df: DataFrame, path: str, n_files: int = 5) -> None:
     """Write a result as ``n_files`` Parquet files of equal size."""
-    df.repartition(n_files).write.mode("overwrite").parquet(path)
+    write_parquet(df.repartition(n_files), path)
 
 
 def write_enriched(
@@ -71,8 +73,7 @@ def write_enriched(
     transaction_key: str = "transaction_id",
 ) -> None:
     """Write transactions with client and fraud columns."""
-    rows = enrich_left(transactions, clients, fraud_info, client_key, transaction_key)
-    rows.write.mode("overwrite").parquet(path)
+    write_parquet(enrich_left(transactions, clients, fraud_info, client_key, transaction_key), path)
 
 
 def write_split_csv(

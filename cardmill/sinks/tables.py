@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from cardmill.operators.analytics import YEAR, top_clients
 from cardmill.schemas import ddl
+from cardmill.session import timestamp_statistics
 
 
 def create_database(spark: SparkSession, database: str, location: str) -> None:
@@ -44,7 +45,8 @@ def write_table(
     writer = df.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(f"`{database}`.`{table}`")
+    with timestamp_statistics(df.sparkSession):
+        writer.saveAsTable(f"`{database}`.`{table}`")
 
 
 def save_top_clients(

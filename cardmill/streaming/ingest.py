@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from cardmill.operators.cleaning import stamp_ingestion_partition
 from cardmill.schemas import PARTITION_COLUMNS
+from cardmill.session import timestamp_statistics
 
 
 def ingest_new_files(
@@ -30,12 +31,12 @@ def ingest_new_files(
         .option("maxFilesPerTrigger", max_files_per_batch)
         .csv(folder)
     )
-    query = (
+    stream = (
         stamp_ingestion_partition(new_rows, as_of)
         .writeStream.partitionBy(*PARTITION_COLUMNS)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .format("parquet")
-        .start(target)
     )
-    query.awaitTermination()
+    with timestamp_statistics(spark):
+        stream.start(target).awaitTermination()

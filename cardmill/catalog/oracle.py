@@ -47,10 +47,10 @@ SELECT s_suppkey AS id, s_suppkey % (SELECT count(*) FROM customer) AS client_id
        cast(2008 + s_suppkey % 12 AS int) AS year_pin_last_changed, 'No' AS card_on_dark_web
 FROM supplier""",
     "mcc_codes": """
-SELECT cast(p_partkey AS varchar) AS id, p_type AS item FROM part WHERE p_partkey % 7 <> 0""",
+SELECT cast(p_partkey AS varchar) AS id, p_type AS item FROM part WHERE p_type <> 'PROMO'""",
     "train_fraud_labels": """
 SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'Yes' ELSE 'No' END AS info
-FROM orders WHERE o_orderkey % 10 <> 3""",
+FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'""",
     "cards_cleaned": """
 SELECT * REPLACE (cast(replace(credit_limit, '$', '') AS float) AS credit_limit) FROM cards_data""",
     "users_cleaned": """
@@ -144,7 +144,7 @@ ORACLE: dict[str, str] = {
     "json_map_to_rows": _with("mcc_codes", "SELECT * FROM mcc_codes"),
     "parquet_scan_schema": _with("train_fraud_labels", "SELECT * FROM train_fraud_labels"),
     "latest_partition": _with("transactions_data", """
-SELECT *, date '2025-05-22' AS ingestion_date FROM transactions_data WHERE id % 3 = 2"""),
+SELECT *, date '2025-05-22' AS ingestion_date FROM transactions_data WHERE use_chip = 'Chip Transaction'"""),
     "sql_scan": _with("users_data", """
 SELECT gender, current_age, count(*) AS n_clients, max(credit_score) AS best_score FROM users_data
 WHERE num_credit_cards >= 3 GROUP BY gender, current_age"""),
@@ -278,8 +278,8 @@ SELECT cast(count(CASE WHEN card_brand = guess THEN 1 END) AS double) / cast(cou
     "table_round_trip": _with("users_cleaned", """
 SELECT *, date '2025-05-22' AS ingestion_date FROM users_cleaned"""),
     "bronze_incremental": _with("train_fraud_labels", """
-SELECT *, CASE WHEN id % 2 = 0 THEN date '2025-05-21' ELSE date '2025-05-22' END AS ingestion_date,
-       2025 AS year, 5 AS month, CASE WHEN id % 2 = 0 THEN 21 ELSE 22 END AS day FROM train_fraud_labels"""),
+SELECT *, CASE WHEN info = 'No' THEN date '2025-05-21' ELSE date '2025-05-22' END AS ingestion_date,
+       2025 AS year, 5 AS month, CASE WHEN info = 'No' THEN 21 ELSE 22 END AS day FROM train_fraud_labels"""),
     "bronze_new_files": _with("train_fraud_labels", f"SELECT *, {STAMP} FROM train_fraud_labels"),
     "bronze_silver_gold": KPI,
     "files_to_tables": _with("users_data cards_data", """

@@ -88,10 +88,12 @@ def parquet_scan_schema(s: Sample) -> DataFrame:
 
 @query
 def latest_partition(s: Sample) -> DataFrame:
+    """Each kind of transaction arrives on a day of its own."""
     path = scratch_path(s.spark, "days")
-    rows = s.transactions()
-    for remainder, day in enumerate((date(2025, 4, 30), date(2025, 5, 1), DAY)):
-        part = cleaning.stamp_ingestion_partition(rows.where(F.col("id") % 3 == remainder), day)
+    days = {"Online": date(2025, 4, 30), "Swipe": date(2025, 5, 1), "Chip": DAY}
+    for kind, day in days.items():
+        arrived = s.transactions().where(F.col("use_chip") == f"{kind} Transaction")
+        part = cleaning.stamp_ingestion_partition(arrived, day)
         file_sinks.write_parquet(part, path, "append", PARTITION_COLUMNS)
     return readers.read_parquet(s.spark, path, latest_only=True)
 
@@ -526,26 +528,28 @@ def table_round_trip(s: Sample) -> DataFrame:
 
 @query
 def bronze_incremental(s: Sample) -> DataFrame:
-    """Two days, the second one run twice."""
+    """Each label arrives on a day of its own; the second day is run twice."""
     raw = scratch_path(s.spark, "raw")
     paths = JobPaths(raw, raw, raw)
-    rows = {0: s.labels().where(F.col("id") % 2 == 0), 1: s.labels().where(F.col("id") % 2 == 1)}
-    for half, day in ((0, date(2025, 5, 21)), (1, DAY), (1, DAY)):
+    max_files = max(10, sizing.partitions_for(sizing.path_bytes(s.spark, f"{s.folder}/orders.parquet")))
+    for info, day in (("No", date(2025, 5, 21)), ("Yes", DAY), ("Yes", DAY)):
+        arrived = filters.by_label(s.labels(), info)
         jobs.bronze_from_tables(
-            s.spark, lambda _, __: rows[half], paths, ["train_fraud_labels"], day, max_files=10
+            s.spark, lambda _, __: arrived, paths, ["train_fraud_labels"], day, max_files=max_files
         )
     return readers.read_parquet(s.spark, paths.raw_table("train_fraud_labels"))
 
 
 @query
 def bronze_new_files(s: Sample) -> DataFrame:
-    """Files arrive in two lots; the last run finds nothing new."""
+    """Each label arrives in files of its own; the last run finds nothing new."""
     folder = scratch_path(s.spark, "arrivals")
     target, checkpoint = scratch_path(s.spark, "bronze"), scratch_path(s.spark, "progress")
     schema = wide_schema("train_fraud_labels")
-    for half in (0, 1):
-        s.labels().where(F.col("id") % 2 == half).write.mode("append").option("header", True).csv(folder)
-        for _ in range(1 + half):
+    for info, runs in (("No", 1), ("Yes", 2)):
+        arrived = filters.by_label(s.labels(), info)
+        arrived.write.mode("append").option("header", True).csv(folder)
+        for _ in range(runs):
             ingest_new_files(s.spark, folder, schema, target, checkpoint, DAY)
     return readers.read_parquet(s.spark, target)
 

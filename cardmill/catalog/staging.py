@@ -19,7 +19,7 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 def _documents(df: DataFrame, element: str, start: str, end: str) -> DataFrame:
     """One JSON text per document; a document holds a bounded run of neighbouring input rows."""
-    document = F.floor(F.monotonically_increasing_id() / ROWS_PER_DOCUMENT).alias("document")
+    document = F.expr(f"monotonically_increasing_id() div {ROWS_PER_DOCUMENT}").alias("document")
     members = F.array_join(F.collect_list(element), ",")
     return (
         df.select(document, element)

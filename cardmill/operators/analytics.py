@@ -18,8 +18,17 @@ def count_last_days(
     date_col: str = "transaction_date",
     anchor: date | None = None,
 ) -> DataFrame:
-    """One row ``n``: transactions of the last ``days`` days before the newest one or ``anchor``."""
-    return last_days(df, date_col, days, anchor).agg(F.count(F.lit(1)).alias("n"))
+    """One row ``n``: transactions of the last ``days`` days before the newest one or ``anchor``.
+
+    Without an anchor the input is read once: rows are counted per calendar day, and the newest day is
+    looked up in those counts, of which there is one per day.
+    """
+    if anchor is not None:
+        return last_days(df, date_col, days, anchor).agg(F.count(F.lit(1)).alias("n"))
+    per_day = df.groupBy(F.to_date(date_col).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    newest = F.max("day").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    recent = per_day.withColumn("newest", newest).where(F.col("day") >= F.date_sub("newest", days))
+    return recent.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
 def monthly_totals(

@@ -50,8 +50,8 @@ def split_rows(
     indexed = with_row_index(df, order_by, "_index")
     total = indexed.count()
     size, extra = divmod(total, parts)
-    index, long_rows = F.col("_index"), extra * (size + 1)
-    in_long = F.floor(index / (size + 1))
-    in_short = extra + F.floor((index - long_rows) / max(size, 1))
-    part = F.when(index < long_rows, in_long).otherwise(in_short) + 1
+    long_rows = extra * (size + 1)
+    in_long = F.expr(f"_index div {size + 1}L")
+    in_short = extra + F.expr(f"(_index - {long_rows}L) div {max(size, 1)}L")
+    part = F.when(F.col("_index") < long_rows, in_long).otherwise(in_short) + 1
     return indexed.withColumn(part_col, part.cast("int")).drop("_index")

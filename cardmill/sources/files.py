@@ -1,4 +1,4 @@
-"""Source folders: list the files, route each one to a table and read it."""
+"""Source folders: route each file to a table and read it."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from cardmill.schemas import table_schema
+from cardmill.sources.listing import SourceFile, list_files
 from cardmill.sources.readers import read_csv, read_json
 
 logger = logging.getLogger(__name__)
@@ -20,12 +21,6 @@ logger = logging.getLogger(__name__)
 PART_SUFFIX = re.compile(r"_part\d+$")
 
 
-@dataclass(frozen=True)
-class SourceFile:
-    path: str
-    length: int
-
-
 @dataclass(frozen=True)
 class SourceTable:
     name: str
@@ -33,23 +28,6 @@ class SourceTable:
     paths: tuple[str, ...]
 
 
-def list_files(spark: SparkSession, folder: str, datasets: bool = False) -> list[SourceFile]:
-    """Files directly in ``folder`` on any file system Spark can read; subfolders are ignored.
-
-    ``datasets`` also lists folders that carry a file extension, the form in which Spark itself writes a
-    large CSV or JSON file.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        dataset = datasets and status.isDirectory() and posixpath.splitext(name)[1] != ""
-        if not name.startswith(("_", ".")) and (status.isFile() or dataset):
-            found.append(SourceFile(status.getPath().toString(), int(status.getLen())))
-    return sorted(found, key=lambda f: f.path)
-
-
 def route_files(
     files: list[SourceFile], extensions: tuple[str, ...] = (".csv", ".json")
 ) -> tuple[list[SourceTable], list[str]]:

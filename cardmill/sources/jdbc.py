@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
@@ -42,6 +43,26 @@ def range_options(column: str, lower: int, upper: int, partitions: int) -> dict[
     }
 
 
+def bounds_query(table: str, column: str) -> str:
+    """Smallest and largest value of a column, as SQL for the database."""
+    return f"SELECT min({column}) AS lower_bound, max({column}) AS upper_bound FROM {table}"
+
+
+def page_query(table: str, order_by: Sequence[str], page: int = 1, size: int = 20) -> str:
+    """One page of a table in a mandatory order, as SQL for the database."""
+    if page < 1 or size < 1:
+        raise ValueError("page and size must be at least 1")
+    if not order_by:
+        raise ValueError("a page needs an order")
+    order = ", ".join(order_by)
+    return f"SELECT * FROM {table} ORDER BY {order} LIMIT {size} OFFSET {(page - 1) * size}"
+
+
+def read_jdbc_query(spark: SparkSession, target: JdbcTarget, query: str) -> DataFrame:
+    """Result of SQL that the database runs, read over one connection."""
+    return spark.read.format("jdbc").options(**target.options()).option("query", query).load()
+
+
 def read_jdbc(
     spark: SparkSession,
     target: JdbcTarget,
@@ -50,27 +71,22 @@ def read_jdbc(
     partitions: int = 8,
     fetch_size: int = 10_000,
 ) -> DataFrame:
-    """A table over JDBC. With ``partition_column`` it is read by ``partitions`` tasks, else by one.
+    """A table over JDBC. With a numeric ``partition_column`` it is read by ``partitions`` tasks, else by one.
 
-    The bounds come from one min/max query, which the database answers.
+    The database computes the bounds; only two numbers reach the driver.
     """
-    reader = (
+    name, options = target.qualified(table), {}
+    if partition_column is not None:
+        lower, upper = read_jdbc_query(spark, target, bounds_query(name, partition_column)).first()
+        if lower is not None:
+            options = range_options(partition_column, int(lower), int(upper) + 1, partitions)
+    return (
         spark.read.format("jdbc")
-        .options(**target.options())
-        .option("dbtable", target.qualified(table))
+        .options(**target.options(), **options)
+        .option("dbtable", name)
         .option("fetchsize", fetch_size)
+        .load()
     )
-    whole = reader.load()
-    if partition_column is None:
-        return whole
-    bounds = whole.agg(
-        F.min(partition_column).cast("bigint").alias("lower"),
-        F.max(partition_column).cast("bigint").alias("upper"),
-    ).first()
-    if bounds["lower"] is None:
-        return whole
-    options = range_options(partition_column, bounds["lower"], bounds["upper"] + 1, partitions)
-    return reader.options(**options).load() if options else whole
 
 
 def write_jdbc(

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from cardmill.operators.filters import preview
 from cardmill.operators.sizing import repartition_by_size
+from cardmill.sources.listing import list_files
 
 JSON_TARGET_MB = 40
 
@@ -71,7 +72,7 @@ def read_json_map(
 
 
 def partition_days(spark: SparkSession, path: str) -> dict[date, str]:
-    """Ingestion day -> folder, for every ``year=/month=/day=`` folder below ``path`` that holds a file.
+    """Ingestion day -> folder, for every ``year=/month=/day=`` folder below ``path``.
 
     Folder names are all that is needed, so no data file is opened.
     """
@@ -81,17 +82,17 @@ def partition_days(spark: SparkSession, path: str) -> dict[date, str]:
     for folder in fs.globStatus(pattern) or []:
         name = folder.getPath().toString()
         values = re.search(r"year=(\d+)/month=(\d+)/day=(\d+)$", name)
-        if values and fs.getContentSummary(folder.getPath()).getFileCount():
+        if values:
             days[date(*map(int, values.groups()))] = name
     return days
 
 
 def latest_partition(spark: SparkSession, path: str) -> str:
-    """Folder of the newest ingestion day, compared as dates."""
-    days = partition_days(spark, path)
-    if not days:
-        raise ValueError(f"no year/month/day partition below {path}")
-    return days[max(days)]
+    """Folder of the newest ingestion day that holds files, compared as dates."""
+    for _, folder in sorted(partition_days(spark, path).items(), reverse=True):
+        if list_files(spark, folder):
+            return folder
+    raise ValueError(f"no year/month/day partition with files below {path}")
 
 
 def read_parquet(

@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+from cardmill.functions.calendar import last_days
 from cardmill.operators import analytics, filters
 from cardmill.plans import marts
 
@@ -20,6 +21,8 @@ def test_last_days_boundary(spark):
     assert analytics.count_last_days(rows).first().n == 2
     assert analytics.count_last_days(rows, anchor=date(2010, 6, 29)).first().n == 3
     assert analytics.count_last_days(rows, days=0).first().n == 1
+    assert analytics.count_last_days(rows.limit(0)).first().n == 0
+    assert last_days(rows, "transaction_date", 90).count() == 2
 
 
 def test_year_is_half_open(spark):

@@ -1,3 +1,4 @@
+import json
 import os
 from collections import Counter
 from datetime import date, datetime
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardmill.catalog.sample import Sample
 from cardmill.operators.cleaning import stamp_ingestion_partition
-from cardmill.plans import jobs, marts
+from cardmill.plans import jobs, marts, served
 from cardmill.schemas import PARTITION_COLUMNS, table_schema
 from cardmill.session import JobPaths
 from cardmill.sinks import files, tables
@@ -170,4 +171,9 @@ def test_whole_run(spark, folder):
         "transactions_data_cleaned", "cards_data_cleaned", "users_data_cleaned", "transactions_data_processed",
         "mcc_codes", "train_fraud_labels",
     }
+    top = served.serve(spark, lambda _, name: stored[name], "top10-clients")
+    assert top.count() == 10
+    page = served.serve(spark, lambda _, name: stored[name], "client-info", page=2, size=7)
+    ids = [json.loads(r.record)["id"] for r in page.collect()]
+    assert ids == sorted(r.id for r in stored["users_data"].collect())[7:14]
     assert marts.mart("kpi_by_consu_id", "whole_run")(spark).count() == stored["kpi_by_consu_id"].count()

@@ -12,7 +12,7 @@ from cardmill.operators import sizing
 from cardmill.operators.cleaning import stamp_ingestion_partition
 from cardmill.session import JobPaths, drop_scratch, materialize, scratch_path
 from cardmill.sinks.files import convert_json_map, write_parquet
-from cardmill.sources import files, jdbc, readers
+from cardmill.sources import files, jdbc, listing, readers
 
 
 def write(path, text):
@@ -92,8 +92,9 @@ def test_latest_partition_compares_dates(spark, folder):
         write_parquet(rows, path, "append", schemas.PARTITION_COLUMNS)
     os.makedirs(path + "/year=2026/month=1/day=1")  # a folder without files is no partition
     assert sorted(readers.partition_days(spark, path)) == [
-        date(2025, 4, 30), date(2025, 5, 1), date(2025, 5, 9), date(2025, 5, 22),
+        date(2025, 4, 30), date(2025, 5, 1), date(2025, 5, 9), date(2025, 5, 22), date(2026, 1, 1),
     ]
+    assert readers.latest_partition(spark, path).endswith("year=2025/month=5/day=22")
     newest = readers.read_parquet(spark, path, latest_only=True)
     assert newest.columns == ["id", "n", "ingestion_date"]
     assert [r.n for r in newest.collect()] == [2]
@@ -117,10 +118,10 @@ def test_files_are_routed(spark, folder):
     os.makedirs(folder + "/sub")
     os.makedirs(folder + "/big.csv")
     write(folder + "/big.csv/part-0.csv", "id\n4\n5\n")
-    listed = files.list_files(spark, folder)
+    listed = listing.list_files(spark, folder)
     assert [os.path.basename(f.path) for f in listed] == ["a.csv", "b.json", "c.txt", "s_part1.csv", "s_part2.csv"]
     assert listed[0].length == 5
-    assert [os.path.basename(f.path) for f in files.list_files(spark, folder, datasets=True)][2] == "big.csv"
+    assert [os.path.basename(f.path) for f in listing.list_files(spark, folder, datasets=True)][2] == "big.csv"
     written = {}
 
     def keep(rows, name):
@@ -195,6 +196,13 @@ def test_jdbc_options(spark):
     assert jdbc.range_options("id", 1, 101, 4) == {
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "101", "numPartitions": "4",
     }
+    assert jdbc.bounds_query("public.t", "id") == (
+        "SELECT min(id) AS lower_bound, max(id) AS upper_bound FROM public.t"
+    )
+    assert jdbc.page_query("t", ["id"], 3) == "SELECT * FROM t ORDER BY id LIMIT 20 OFFSET 40"
+    for page, size, order in ((0, 20, ["id"]), (1, 0, ["id"]), (1, 20, [])):
+        with pytest.raises(ValueError):
+            jdbc.page_query("t", order, page, size)
     assert jdbc.range_options("id", 5, 5, 4) == {}
     assert jdbc.range_options("id", 1, 9, 1) == {}
     with pytest.raises(ValueError):

@@ -23,7 +23,8 @@ def ingest_new_files(
 ) -> None:
     """Add the CSV files that appeared in ``folder`` since the last run to ``target``, then stop.
 
-    The checkpoint remembers which files are done, so a repeated or restarted run adds nothing twice.
+    The checkpoint remembers which files are done, so a repeated or restarted run adds nothing twice. Read
+    ``target`` as a whole: its log lists the files of completed batches.
     """
     new_rows = (
         spark.readStream.schema(schema)

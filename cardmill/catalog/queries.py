@@ -35,10 +35,16 @@ wide_schema = partial(table_schema, wide_keys=True)
 
 def query(function: Callable[[Sample], DataFrame]) -> Callable[[Sample], DataFrame]:
     """Register a function of the sample under its own name."""
-    QUERIES[function.__name__] = lambda spark, folder: function(Sample(spark, folder))
+    QUERIES[function.__name__] = lambda spark, folder: function(_sample(spark, folder))
     return function
 
 
+def _sample(spark: SparkSession, folder: str) -> Sample:
+    """The sample tables, with shuffles sized for their largest."""
+    sizing.size_shuffles(spark, sizing.path_bytes(spark, f"{folder}/orders.parquet"))
+    return Sample(spark, folder)
+
+
 def _database(spark: SparkSession, label: str) -> str:
     """A catalog database of this application, located in the shared folder."""
     name = "cardmill_" + re.sub(r"\W", "_", f"{label}_{spark.sparkContext.applicationId}".lower())
@@ -235,7 +241,7 @@ MART_KEYS = {
     "mart_passthrough_users": "users_data",
 }
 for _key, _name in MART_KEYS.items():
-    QUERIES[_key] = lambda spark, folder, name=_name: _mart(name, Sample(spark, folder))
+    QUERIES[_key] = lambda spark, folder, name=_name: _mart(name, _sample(spark, folder))
 
 
 # Served reads

@@ -7,9 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cardmill.functions.calendar import calendar_parts
 
+# Names, types, defaults and order of the models' features, and the card brands.
 CALENDAR_FEATURES = ("year", "month", "day", "day_of_week")
-
-# Types, defaults and order of the amount model's features, and the card brands.
 AMOUNT_FLOATS = ("credit_score", "amount", "yearly_income", "total_debt", "credit_limit", "per_capita_income")
 AMOUNT_FLAGS = {"has_chip": 1, "card_on_dark_web": 0}
 AMOUNT_DEFAULTS = {

@@ -46,8 +46,8 @@ def keyset_page(df: DataFrame, key: str, after: object = None, size: int = SIZE)
 
 
 def records(df: DataFrame, column: str = "record") -> DataFrame:
-    """Rows as JSON objects, one per row."""
-    return df.select(F.to_json(F.struct("*")).alias(column))
+    """Rows as JSON objects, one per row; NULL is kept as ``null``."""
+    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(column))
 
 
 def fraud_page(labels: DataFrame, page: int = PAGE, size: int = SIZE) -> DataFrame:

@@ -2,31 +2,48 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardmill.session import materialize
 
+STORED_LEAVES = {"FileSourceScanExec", "RangeExec", "LocalTableScanExec"}
+
+
+def replays_in_order(df: DataFrame) -> bool:
+    """Whether a task of ``df`` that runs again sees the same rows in the same order.
+
+    That holds for narrow work on stored files. Behind a shuffle, a cache or a database the order may change.
+    """
+    execution = df._jdf.queryExecution()
+    if re.search(r"(?<!Broadcast)Exchange", execution.executedPlan().toString()):
+        return False
+    leaves = execution.sparkPlan().collectLeaves()
+    return {leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())} <= STORED_LEAVES
+
 
 def with_row_index(
-    df: DataFrame, order_by: Sequence[str | Column], index_col: str = "row_index"
+    df: DataFrame, order_by: Sequence[str | Column] = (), index_col: str = "row_index"
 ) -> DataFrame:
-    """Add the 0-based position of each row in the order given.
+    """Add the 0-based position of each row in the order given, or else in the input order.
 
-    The range sort is written once, with each row's task and place in it; what remains is to add up one
-    count per task. Equal sort keys, even a third of all rows, are spread over tasks by the input position
-    that ends the sort key.
+    Rows are written once in order, with each row's task and place in it; what remains is to add up one count
+    per task. Equal sort keys, even a third of all rows, are spread over tasks by the input position that ends
+    the sort key. Input positions must not change when a lost task runs again, so an input that could come
+    back in another order is written before it is sorted.
     """
-    in_order = df.withColumn("_input", F.monotonically_increasing_id()).orderBy(*order_by, "_input")
-    placed = materialize(
-        in_order.drop("_input").withColumns(
-            {"_task": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}
-        ),
-        "row-index",
-    )
+    here = F.monotonically_increasing_id()
+    rows = df
+    if order_by:
+        rows = df.withColumn("_input", here)
+        if not replays_in_order(df):
+            rows = materialize(rows, "row-input")
+        rows = rows.orderBy(*order_by, "_input").drop("_input")
+    placed = materialize(rows.withColumns({"_task": F.spark_partition_id(), "_place": here}), "row-index")
     tasks = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
-    # One row per sort task, so this window and the broadcast stay small at any data size.
+    # One row per writing task, so this window and the broadcast stay small at any data size.
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = tasks.select(
         "_task", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift")

@@ -11,6 +11,11 @@ from pyspark.sql.types import BinaryType, NumericType, StringType
 MIB = 1024 * 1024
 BROADCAST_LIMIT = 256 * MIB
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Rows in a shuffle take more room than in compressed columns.
+ROW_EXPANSION = 3
+MOST_PARTITIONS = 50_000
+
 
 def partitions_for(size_bytes: int, target_mb: int = 128) -> int:
     """Number of partitions of at most ``target_mb`` MiB, at least one."""
@@ -46,6 +51,18 @@ def repartition_by_size(
     return df.repartition(partitions_for(path_bytes(df.sparkSession, path), target_mb))
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, target_mb: int = 256) -> int:
+    """Let shuffles start with enough partitions for an input of this size; AQE merges what stays small.
+
+    The setting is only ever raised, and not beyond what the shuffle service can track.
+    """
+    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(partitions_for(input_bytes * ROW_EXPANSION, target_mb), MOST_PARTITIONS)
+    if wanted > current:
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    return max(wanted, current)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate; no job runs."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

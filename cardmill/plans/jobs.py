@@ -21,6 +21,7 @@ from cardmill.operators.cleaning import (
     stamp_ingestion_partition,
 )
 from cardmill.operators.enrich import enrich_transactions
+from cardmill.operators.sizing import path_bytes, size_shuffles
 from cardmill.plans.marts import marts
 from cardmill.schemas import PARTITION_COLUMNS, table_schema
 from cardmill.session import JobPaths
@@ -117,6 +118,7 @@ def silver_copy(spark: SparkSession, paths: JobPaths, table: str) -> None:
 
 def run_silver(spark: SparkSession, paths: JobPaths, mcc_key: str = "mcc") -> None:
     """Three cleaned tables, the processed table and two copies."""
+    size_shuffles(spark, path_bytes(spark, paths.raw_table("transactions_data")))
     create_database(spark, paths.database, paths.warehouse)
     silver_table(spark, paths, "transactions_data", clean_transactions, latest_only=True)
     silver_table(spark, paths, "cards_data", clean_cards)

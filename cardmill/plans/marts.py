@@ -46,7 +46,7 @@ def _whole(df: DataFrame) -> DataFrame:
     return df
 
 
-# Output table -> (silver table, query over it).
+# Output table -> (silver table, query over it).
 MARTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "transaction_validated": ("transactions_data_processed", transaction_validated),
     "transaction_refused": ("transactions_data_processed", transaction_refused),

@@ -8,7 +8,7 @@ from cardmill.operators.paging import PAGE, SIZE, paginate, records
 from cardmill.plans.jobs import TableReader
 from cardmill.sources.jdbc import JdbcTarget, page_query, read_jdbc_query
 
-# Endpoint -> (mart, order of its pages); the top list is short and served whole.
+# Endpoint -> (mart, order of its pages); the top list is short and served whole.
 ENDPOINTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "fraud-transactions": ("train_fraud_labels", ("id",)),
     "legit-transactions": ("transaction_validated", ("id",)),

@@ -40,6 +40,9 @@ def route_files(
             tables.setdefault((PART_SUFFIX.sub("", base), extension), []).append(file.path)
         else:
             skipped.append(file.path)
+    names = [name for name, _ in tables]
+    if len(set(names)) < len(names):
+        raise ValueError(f"a table has files of two formats: {sorted(names)}")
     return [SourceTable(n, e, tuple(p)) for (n, e), p in sorted(tables.items())], skipped
 
 

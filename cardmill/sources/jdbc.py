@@ -119,6 +119,11 @@ def write_jdbc(
     writer.mode(mode).save()
 
 
+def create_jdbc_table(df: DataFrame, target: JdbcTarget, table: str) -> None:
+    """Create a table with the columns of ``df`` if it does not exist; no row is written."""
+    write_jdbc(df.limit(0), target, table, mode="ignore")
+
+
 def save_to_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """Shorthand: overwrite ``table`` at ``url``."""
     df.write.jdbc(url=url, table=table, mode="overwrite", properties=properties)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from cardmill.operators import paging
 from cardmill.operators.filters import preview, require_rows
-from cardmill.operators.rows import split_rows, with_row_index
+from cardmill.operators.rows import replays_in_order, split_rows, with_row_index
 
 
 def test_pages(spark):
@@ -32,7 +32,7 @@ def test_keyset_pages(spark):
 
 def test_records(spark):
     rows = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
-    assert [r.record for r in paging.records(rows).collect()] == ['{"id":1,"name":"a"}', '{"id":2}']
+    assert [r.record for r in paging.records(rows).collect()] == ['{"id":1,"name":"a"}', '{"id":2,"name":null}']
 
 
 def test_row_index_with_a_hot_key(spark, conf):
@@ -49,6 +49,23 @@ def test_row_index_with_a_hot_key(spark, conf):
     assert tasks.count() > 1
 
 
+def test_only_stored_rows_replay_in_order(spark, sample):
+    assert replays_in_order(sample.labels())
+    assert replays_in_order(sample.labels().join(F.broadcast(sample.raw("region")), F.col("id") == F.col("r_regionkey")))
+    assert not replays_in_order(sample.labels().repartition(3))
+    assert not replays_in_order(sample.labels().groupBy("info").count())
+    assert not replays_in_order(sample.labels().limit(3).orderBy("id"))
+    cached = sample.labels().persist()
+    assert not replays_in_order(cached)
+    cached.unpersist()
+
+
+def test_row_index_in_input_order(spark):
+    rows = spark.range(0, 50, 1, 7).select((F.col("id") * 37 % 50).alias("v"))
+    got = with_row_index(rows).orderBy("row_index").collect()
+    assert [r.v for r in got] == [i * 37 % 50 for i in range(50)]
+
+
 @pytest.mark.parametrize(("n", "parts", "sizes"), [(10, 4, [3, 3, 2, 2]), (8, 4, [2, 2, 2, 2]), (2, 4, [1, 1]), (1, 1, [1])])
 def test_split_sizes(spark, n, parts, sizes):
     rows = spark.range(n).repartition(3)

@@ -135,6 +135,11 @@ def test_files_are_routed(spark, folder):
     assert [os.path.basename(p) for p in skipped] == ["c.txt"]
 
 
+def test_two_formats_of_one_table_are_refused():
+    with pytest.raises(ValueError, match="two formats"):
+        files.route_files([listing.SourceFile("x/a.csv", 1), listing.SourceFile("x/a.json", 1)])
+
+
 @given(size=st.integers(0, 2**50), target=st.integers(1, 4096))
 def test_partitions_cover_the_size(size, target):
     n = sizing.partitions_for(size, target)
@@ -153,6 +158,15 @@ def test_partition_boundaries(spark):
         sizing.partitions_for(1, 0)
 
 
+def test_shuffles_are_sized_by_input(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__initialPartitionNum="8")
+    assert sizing.size_shuffles(spark, 10 * sizing.MIB) == 8
+    assert sizing.size_shuffles(spark, 1024 * sizing.MIB) == 12
+    assert spark.conf.get(sizing.INITIAL_PARTITIONS) == "12"
+    assert sizing.size_shuffles(spark, 1) == 12
+    assert sizing.size_shuffles(spark, 2**60) == sizing.MOST_PARTITIONS
+
+
 def test_path_sizes(spark, folder):
     write(folder + "/a.csv", "x" * 10)
     write(folder + "/b.csv", "x" * 5)
@@ -215,6 +229,7 @@ def test_jdbc_reaches_the_driver_class(spark):
     for call in (
         lambda: jdbc.read_jdbc(spark, target, "t", "id"),
         lambda: jdbc.write_jdbc(spark.range(1), target, "t"),
+        lambda: jdbc.create_jdbc_table(spark.range(1), target, "t"),
         lambda: jdbc.save_to_jdbc(spark.range(1), target.url, "t", {"driver": target.driver}),
     ):
         with pytest.raises(Exception, match="no.such.Driver"):

@@ -7,6 +7,7 @@ work over any store that holds named tables. Errors are raised, never swallowed.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import partial
 
@@ -31,6 +32,9 @@ from cardmill.sources.files import ingest_directory
 from cardmill.sources.jdbc import JdbcTarget, read_jdbc, write_jdbc
 from cardmill.sources.readers import read_parquet
 
+# Jobs submitted at a time where they do not depend on each other.
+PARALLEL = 4
+
 TableReader = Callable[[SparkSession, str], DataFrame]
 TableWriter = Callable[[DataFrame, str], None]
 
@@ -47,6 +51,13 @@ def jdbc_writer(target: JdbcTarget, mode: str = "overwrite", connections: int =
     return lambda df, table: write_jdbc(df, target, table, mode, connections)
 
 
+def run_together(tasks: Iterable[Callable[[], None]], parallel: int = PARALLEL) -> None:
+    """Run independent jobs side by side, so that a short one does not wait for a long one."""
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        for done in [pool.submit(task) for task in tasks]:
+            done.result()
+
+
 def load_files(
     spark: SparkSession, folder: str, write: TableWriter, datasets: bool = False
 ) -> tuple[list[str], list[str]]:
@@ -116,31 +127,35 @@ def silver_copy(spark: SparkSession, paths: JobPaths, table: str) -> None:
     write_table(rows, paths.database, table, paths.warehouse_table(table))
 
 
-def run_silver(spark: SparkSession, paths: JobPaths, mcc_key: str = "mcc") -> None:
+def run_silver(
+    spark: SparkSession, paths: JobPaths, mcc_key: str = "mcc", parallel: int = PARALLEL
+) -> None:
     """Three cleaned tables, the processed table and two copies."""
     size_shuffles(spark, path_bytes(spark, paths.raw_table("transactions_data")))
     create_database(spark, paths.database, paths.warehouse)
-    silver_table(spark, paths, "transactions_data", clean_transactions, latest_only=True)
-    silver_table(spark, paths, "cards_data", clean_cards)
-    silver_table(spark, paths, "users_data", clean_users)
-    enrich = partial(
-        enrich_transactions,
-        mcc=read_parquet(spark, paths.raw_table("mcc_codes")),
-        users=read_parquet(spark, paths.raw_table("users_data")),
-        cards=read_parquet(spark, paths.raw_table("cards_data")),
-        labels=read_parquet(spark, paths.raw_table("train_fraud_labels")),
-        mcc_key=mcc_key,
-    )
-    silver_table(
-        spark,
-        paths,
-        "transactions_data",
-        lambda rows: enrich(clean_transactions(rows, text_keys=False)),
-        "_processed",
-        latest_only=True,
+
+    def process(transactions: DataFrame) -> DataFrame:
+        return enrich_transactions(
+            clean_transactions(transactions, text_keys=False),
+            mcc=read_parquet(spark, paths.raw_table("mcc_codes")),
+            users=read_parquet(spark, paths.raw_table("users_data")),
+            cards=read_parquet(spark, paths.raw_table("cards_data")),
+            labels=read_parquet(spark, paths.raw_table("train_fraud_labels")),
+            mcc_key=mcc_key,
+        )
+
+    table, copy = partial(silver_table, spark, paths), partial(silver_copy, spark, paths)
+    run_together(
+        [
+            partial(table, "transactions_data", process, "_processed", latest_only=True),
+            partial(table, "transactions_data", clean_transactions, latest_only=True),
+            partial(table, "cards_data", clean_cards),
+            partial(table, "users_data", clean_users),
+            partial(copy, "mcc_codes"),
+            partial(copy, "train_fraud_labels"),
+        ],
+        parallel,
     )
-    silver_copy(spark, paths, "mcc_codes")
-    silver_copy(spark, paths, "train_fraud_labels")
 
 
 def run_marts(
@@ -148,11 +163,14 @@ def run_marts(
     write: TableWriter,
     database: str = "process_data",
     catalogue: Mapping[str, Callable[[SparkSession], DataFrame]] | None = None,
+    parallel: int = PARALLEL,
 ) -> list[str]:
     """Compute every mart and hand it to ``write(rows, name)``; returns the names."""
     catalogue = marts(database) if catalogue is None else catalogue
-    for name, query in catalogue.items():
-        write(query(spark), name)
+    run_together(
+        [lambda name=name, query=query: write(query(spark), name) for name, query in catalogue.items()],
+        parallel,
+    )
     return list(catalogue)
 
 

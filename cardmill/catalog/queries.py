@@ -24,7 +24,6 @@ from cardmill.schemas import PARTITION_COLUMNS, table_schema
 from cardmill.session import JobPaths, materialize, scratch_path
 from cardmill.sinks import files as file_sinks
 from cardmill.sinks import tables as table_sinks
-from cardmill.sources import files as source_files
 from cardmill.sources import readers
 from cardmill.streaming.ingest import ingest_new_files
 

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,9 +84,12 @@ def scratch_base(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    base = tempfile.mkdtemp(prefix="cardmill-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return _local_base(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_base(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"cardmill-{application}-")
 
 
 def _application_scratch(spark: SparkSession) -> str:

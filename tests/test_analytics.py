@@ -83,7 +83,12 @@ def test_column_names_are_parameters(spark):
 
 def test_marts_count_amounts_and_rows(spark):
     rows = spark.createDataFrame(
-        [(1, 30, "Male", 5.0, "Yes"), (1, 30, "Male", None, "No"), (1, 30, "Male", 7.0, None), (2, 20, "Female", 1.0, "yes")],
+        [
+            (1, 30, "Male", 5.0, "Yes"),
+            (1, 30, "Male", None, "No"),
+            (1, 30, "Male", 7.0, None),
+            (2, 20, "Female", 1.0, "yes"),
+        ],
         "client_id int, current_age int, gender string, amount float, info string",
     )
     kpis = {r.client_id: r for r in marts.client_kpis(rows).collect()}

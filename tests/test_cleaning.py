@@ -17,7 +17,8 @@ def test_cleaning_twice_changes_nothing(spark):
     rows = spark.createDataFrame([("$12345678.91",), ("$0.10",), (None,)], "credit_limit string")
     once = cleaning.clean_cards(rows)
     assert cleaning.clean_cards(once).collect() == once.collect()
-    assert clean_money(once.withColumn("credit_limit", F.col("credit_limit").cast("string")), "credit_limit").collect() == once.collect()
+    as_text = once.withColumn("credit_limit", F.col("credit_limit").cast("string"))
+    assert clean_money(as_text, "credit_limit").collect() == once.collect()
 
 
 def test_transactions(spark):
@@ -34,7 +35,8 @@ def test_transactions(spark):
 
 
 def test_users_keep_sign(spark):
-    rows = spark.createDataFrame([("$1.00", "$2.50", "$-3.25")], "per_capita_income string, yearly_income string, total_debt string")
+    names = "per_capita_income string, yearly_income string, total_debt string"
+    rows = spark.createDataFrame([("$1.00", "$2.50", "$-3.25")], names)
     assert tuple(cleaning.clean_users(rows).first()) == (1.0, 2.5, -3.25)
 
 

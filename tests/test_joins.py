@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 from cardmill.operators import enrich, sizing
 
 TX = "id int, date string, client_id int, card_id int, amount string, mcc int"
-USER = "id int, current_age int, gender string, per_capita_income string, yearly_income string, total_debt string, ingestion_date string"
+USER = (
+    "id int, current_age int, gender string, per_capita_income string, yearly_income string, total_debt string, "
+    "ingestion_date string"
+)
 CARD = "id int, client_id int, card_brand string, credit_limit string, ingestion_date string"
 
 
@@ -102,7 +105,8 @@ def test_hot_client_is_split(spark, conf, folder):
         spark__sql__adaptive__coalescePartitions__enabled="false",
     )
     client = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000)
-    spark.range(0, 300_000, 1, 16).select("id", client.alias("client_id"), F.rand(1).alias("noise")).write.parquet(folder + "/tx")
+    rows = spark.range(0, 300_000, 1, 16).select("id", client.alias("client_id"), F.rand(1).alias("noise"))
+    rows.write.parquet(folder + "/tx")
     users = spark.range(5000).select("id", F.lit(40).alias("current_age"))
     joined = enrich.add_users(spark.read.parquet(folder + "/tx"), users, broadcast_limit=0)
     joined.collect()

@@ -38,7 +38,8 @@ def test_gaps_are_filled(spark):
 
 def test_brand_features(spark):
     rows = spark.createDataFrame(
-        [("Visa", "4344676511950444"), ("Amex", "x"), ("Other", "1"), (None, "1")], "card_brand string, card_number string"
+        [("Visa", "4344676511950444"), ("Amex", "x"), ("Other", "1"), (None, "1")],
+        "card_brand string, card_number string",
     )
     got = {r.card_brand: (r.prefix1, r.prefix2, r.prefix4, r.length) for r in features.brand_features(rows).collect()}
     assert got == {"Visa": (4, 43, 4344, 16), "Amex": (None, None, None, 1)}
@@ -50,7 +51,7 @@ def test_index_by_frequency_then_name(spark):
 
 
 def test_evaluators_agree_with_the_frames(spark):
-    rows = spark.createDataFrame([(1.0, 2.0, 1.0), (3.0, 3.0, 3.0), (5.0, 1.0, 4.0)], "label double, prediction double, other double")
+    rows = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (5.0, 1.0)], "label double, prediction double")
     assert training.rmse_frame(rows, "label").first().rmse == pytest.approx(training.rmse(rows, "label"))
     assert training.accuracy_frame(rows, "label").first().accuracy == pytest.approx(training.accuracy(rows, "label"))
 

@@ -51,7 +51,8 @@ def test_row_index_with_a_hot_key(spark, conf):
 
 def test_only_stored_rows_replay_in_order(spark, sample):
     assert replays_in_order(sample.labels())
-    assert replays_in_order(sample.labels().join(F.broadcast(sample.raw("region")), F.col("id") == F.col("r_regionkey")))
+    regions = F.broadcast(sample.raw("region"))
+    assert replays_in_order(sample.labels().join(regions, F.col("id") == F.col("r_regionkey")))
     assert not replays_in_order(sample.labels().repartition(3))
     assert not replays_in_order(sample.labels().groupBy("info").count())
     assert not replays_in_order(sample.labels().limit(3).orderBy("id"))
@@ -66,7 +67,10 @@ def test_row_index_in_input_order(spark):
     assert [r.v for r in got] == [i * 37 % 50 for i in range(50)]
 
 
-@pytest.mark.parametrize(("n", "parts", "sizes"), [(10, 4, [3, 3, 2, 2]), (8, 4, [2, 2, 2, 2]), (2, 4, [1, 1]), (1, 1, [1])])
+@pytest.mark.parametrize(
+    ("n", "parts", "sizes"),
+    [(10, 4, [3, 3, 2, 2]), (8, 4, [2, 2, 2, 2]), (2, 4, [1, 1]), (1, 1, [1])],
+)
 def test_split_sizes(spark, n, parts, sizes):
     rows = spark.range(n).repartition(3)
     got = split_rows(rows, parts, ["id"]).orderBy("id").collect()

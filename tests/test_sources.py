@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DecimalType, FloatType, StructField, StructType
+from pyspark.sql.types import BinaryType, DecimalType, FloatType, StructField
 
 from cardmill import schemas
 from cardmill.operators import sizing
@@ -195,6 +195,32 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert "LogicalRDD" not in kept._jdf.queryExecution().analyzed().toString()
 
 
+class Settings:
+    """A session that has only the settings given."""
+
+    def __init__(self, spark, master, **settings):
+        self.conf, self.settings = self, settings
+        self.sparkContext = self
+        self.master, self.applicationId = master, "app-1"
+        self._jvm, self._jsc = spark._jvm, spark._jsc
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_shared_folder_comes_from_the_session(spark, folder):
+    named = Settings(spark, "spark://host:7077", **{"spark.checkpoint.dir": folder + "/shared/"})
+    path = scratch_path(named, "x")
+    assert path.startswith(folder + "/shared/cardmill/app-1/x-")
+    os.makedirs(path)
+    assert drop_scratch(named)
+    assert os.listdir(folder + "/shared/cardmill") == []
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Settings(spark, "spark://host:7077"), "x")
+    alone = Settings(spark, "local[2]")
+    assert os.path.dirname(scratch_path(alone, "x")) == os.path.dirname(scratch_path(alone, "y"))
+
+
 def test_paths():
     paths = JobPaths("s", "raw/", "house/")
     assert (paths.raw_table("t"), paths.warehouse_table("t"), paths.database) == ("raw/t", "house/t", "process_data")

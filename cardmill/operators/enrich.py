@@ -67,7 +67,7 @@ def enrich_transactions(
     """The processed table: transaction, category, client, card and label columns, money parsed.
 
     The label join runs first: it is the one that must shuffle both sides, it drops the unlabelled rows and
-    at that point a row carries only the transaction columns.
+    at that point a row carries only the transaction columns. The joins that add most columns come last.
     """
     order = [
         *(c for c in transactions.columns),
@@ -77,9 +77,9 @@ def enrich_transactions(
         "info",
     ]
     df = add_labels(clean_money(transactions, *TRANSACTION_MONEY), labels)
+    df = add_mcc(df, mcc, mcc_key, broadcast_limit)
     df = add_users(df, clean_money(users, *USER_MONEY), broadcast_limit)
     df = add_cards(df, clean_money(cards, *CARD_MONEY), broadcast_limit)
-    df = add_mcc(df, mcc, mcc_key, broadcast_limit)
     return df.select(*order)
 
 

@@ -54,8 +54,11 @@ def repartition_by_size(
 def size_shuffles(spark: SparkSession, input_bytes: int, target_mb: int = 256) -> int:
     """Let shuffles start with enough partitions for an input of this size; AQE merges what stays small.
 
-    The setting is only ever raised, and not beyond what the shuffle service can track.
+    The setting is only ever raised, and not beyond what the shuffle service can track. Skewed joins are
+    split even if a following aggregation could have used their partitioning: one more shuffle of partial
+    results costs less than a hot key in one task.
     """
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(partitions_for(input_bytes * ROW_EXPANSION, target_mb), MOST_PARTITIONS)
     if wanted > current:

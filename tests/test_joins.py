@@ -3,6 +3,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from cardmill.operators import enrich, sizing
+from cardmill.plans import marts
 
 TX = "id int, date string, client_id int, card_id int, amount string, mcc int"
 USER = (
@@ -112,6 +113,12 @@ def test_hot_client_is_split(spark, conf, folder):
     joined.collect()
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 300_000
+    # Also where the aggregation could have used the join's partitioning.
+    columns = ("client_id", "current_age", F.lit("Male").alias("gender"), F.col("noise").alias("amount"))
+    kpis = marts.client_kpis(joined.select(*columns))
+    rows = {r.client_id: r.transaction_count for r in kpis.collect()}
+    assert "skew=true" in kpis._jdf.queryExecution().executedPlan().toString()
+    assert rows[1] > 100_000 and sum(rows.values()) == 300_000
 
 
 def test_compare_variants(spark):

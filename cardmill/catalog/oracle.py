@@ -69,8 +69,10 @@ JOIN users_cleaned u ON t.client_id = u.id
 JOIN cards_cleaned c ON t.card_id = c.id
 LEFT JOIN mcc_codes m ON cast(t.mcc AS varchar) = m.id""",
     "spending": """
-SELECT id AS transaction_id, date AS transaction_date, client_id, amount, info = 'Yes' AS is_fraud,
-       use_chip AS transaction_type, mcc FROM p""",
+SELECT t.id AS transaction_id, t.date AS transaction_date, t.client_id,
+       cast(replace(t.amount, '$', '') AS float) AS amount, f.info = 'Yes' AS is_fraud,
+       t.use_chip AS transaction_type, t.mcc
+FROM transactions_data t JOIN train_fraud_labels f ON t.id = f.id""",
     "year_spending": """
 SELECT *, cast(month(transaction_date) AS int) AS month FROM spending
 WHERE transaction_date >= timestamp '1996-01-01 00:00:00' AND transaction_date < timestamp '1997-01-01 00:00:00'""",
@@ -94,7 +96,7 @@ NEEDS = {
     "users_cleaned": ["users_data"],
     "transactions_cleaned": ["transactions_data"],
     "p": ["transactions_data", "train_fraud_labels", "users_cleaned", "cards_cleaned", "mcc_codes"],
-    "spending": ["p"],
+    "spending": ["transactions_data", "train_fraud_labels"],
     "year_spending": ["spending"],
     "month_totals": ["year_spending"],
     "best": ["month_totals"],
@@ -200,11 +202,13 @@ SELECT * FROM train_fraud_labels WHERE id > 500 ORDER BY id LIMIT 50"""),
 SELECT concat('{"id":', cast(id AS varchar), ',"info":"', info, '"}') AS record
 FROM (SELECT * FROM train_fraud_labels ORDER BY id LIMIT 20)"""),
     # Analytics
-    "q1_last_90_days": _with("p", """
-SELECT count(*) AS n FROM p WHERE date >= cast((SELECT max(date) FROM p) AS date) - INTERVAL 90 DAY"""),
-    "q1_cache_comparison": _with("p", """
-SELECT variant, count(*) AS n_rows FROM p, (VALUES ('no_cache'), ('cache')) v(variant)
-WHERE date >= cast((SELECT max(date) FROM p) AS date) - INTERVAL 90 DAY GROUP BY variant"""),
+    "q1_last_90_days": _with("spending", """
+SELECT count(*) AS n FROM spending
+WHERE transaction_date >= cast((SELECT max(transaction_date) FROM spending) AS date) - INTERVAL 90 DAY"""),
+    "q1_cache_comparison": _with("spending", """
+SELECT variant, count(*) AS n_rows FROM spending, (VALUES ('no_cache'), ('cache')) v(variant)
+WHERE transaction_date >= cast((SELECT max(transaction_date) FROM spending) AS date) - INTERVAL 90 DAY
+GROUP BY variant"""),
     "q2_join_clients": _with("transactions_data users_data", """
 SELECT t.id, t.client_id, t.amount, u.current_age, u.gender, u.credit_score FROM transactions_data t
 JOIN users_data u ON t.client_id = u.id"""),

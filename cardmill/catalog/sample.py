@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardmill.operators.cleaning import clean_transactions
-from cardmill.operators.enrich import enrich_transactions
+from cardmill.operators.enrich import add_labels, enrich_transactions
 
 YEAR = 1996
 DAY = date(2025, 5, 22)
@@ -148,8 +148,12 @@ class Sample:
         )
 
     def spending(self) -> DataFrame:
-        """Transactions under the names the spending analytics use, with the label as a flag."""
-        return self.processed().select(
+        """Labelled transactions under the names the spending analytics use, with the label as a flag.
+
+        The analytics read no client or card column, so only the label join is needed.
+        """
+        transactions = clean_transactions(self.transactions(), text_keys=False)
+        return add_labels(transactions, self.labels()).select(
             F.col("id").alias("transaction_id"),
             F.col("date").alias("transaction_date"),
             "client_id",

@@ -229,7 +229,8 @@ SELECT client_id, cast(sum(cast(amount AS decimal(15,2))) AS double) AS total_sp
 GROUP BY client_id ORDER BY total_spent DESC, client_id LIMIT 10"""),
     "q7_top3_per_month": _with("month_totals", """
 SELECT month, client_id, total_spent, rnk FROM (
-  SELECT *, row_number() OVER (PARTITION BY month ORDER BY total_spent DESC, client_id) AS rnk FROM month_totals)
+  SELECT *, cast(row_number() OVER (PARTITION BY month ORDER BY total_spent DESC, client_id) AS int) AS rnk
+  FROM month_totals)
 WHERE rnk <= 3 ORDER BY month, rnk"""),
     "q8_client_metrics": _with("metrics", "SELECT * FROM metrics"),
     "q8_best_month": _with("best", "SELECT * FROM best"),

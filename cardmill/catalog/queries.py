@@ -51,6 +51,11 @@ def _database(spark: SparkSession, label: str) -> str:
     return name
 
 
+def _wide(df: DataFrame, key: str) -> DataFrame:
+    """Inference makes a key INT or BIGINT, by the size of the table; this makes it BIGINT."""
+    return df.withColumn(key, F.col(key).cast("bigint"))
+
+
 # Scans
 
 
@@ -62,7 +67,8 @@ def csv_scan_schema(s: Sample) -> DataFrame:
 
 @query
 def csv_scan_inferred(s: Sample) -> DataFrame:
-    return readers.read_csv(s.spark, staging.write_csv(s.users(), scratch_path(s.spark, "csv")))
+    rows = readers.read_csv(s.spark, staging.write_csv(s.users(), scratch_path(s.spark, "csv")))
+    return _wide(rows, "id")
 
 
 @query
@@ -586,7 +592,7 @@ def _run_layers(s: Sample) -> tuple[JobPaths, Callable[[str], str]]:
 @query
 def bronze_silver_gold(s: Sample) -> DataFrame:
     _, mart_path = _run_layers(s)
-    return readers.read_parquet(s.spark, mart_path("kpi_by_consu_id"))
+    return _wide(readers.read_parquet(s.spark, mart_path("kpi_by_consu_id")), "client_id")
 
 
 @query
@@ -602,4 +608,4 @@ def files_to_tables(s: Sample) -> DataFrame:
         F.count(F.lit(1)).alias("n_cards"), exact_sum(F.translate("credit_limit", "$", "")).alias("limits")
     )
     joined = users.join(spending, users["id"] == spending["client_id"], "left")
-    return joined.select("id", "yearly_income", "n_cards", "limits")
+    return _wide(joined.select("id", "yearly_income", "n_cards", "limits"), "id")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardmill.operators.filters import by_label
-from cardmill.operators.rows import with_row_index
+from cardmill.operators.rows import rows_between
 
 PAGE, SIZE = 1, 20
 TOP_ROWS = 100_000
@@ -32,9 +32,7 @@ def paginate(
     offset = (page - 1) * size
     if offset + size <= top_rows:
         return df.orderBy(*order_by).offset(offset).limit(size)
-    index = F.col("_index")
-    rows = with_row_index(df, order_by, "_index").where((index >= offset) & (index < offset + size))
-    return rows.drop("_index").orderBy(*order_by)
+    return rows_between(df, order_by, offset, offset + size).orderBy(*order_by)
 
 
 def keyset_page(df: DataFrame, key: str, after: object = None, size: int = SIZE) -> DataFrame:

@@ -24,15 +24,12 @@ def replays_in_order(df: DataFrame) -> bool:
     return {leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())} <= STORED_LEAVES
 
 
-def with_row_index(
-    df: DataFrame, order_by: Sequence[str | Column] = (), index_col: str = "row_index"
-) -> DataFrame:
-    """Add the 0-based position of each row in the order given, or else in the input order.
+def _place(df: DataFrame, order_by: Sequence[str | Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows written in order with ``_task`` and ``_place``, and per task its number of rows and first position.
 
-    Rows are written once in order, with each row's task and place in it; what remains is to add up one count
-    per task. Equal sort keys, even a third of all rows, are spread over tasks by the input position that ends
-    the sort key. Input positions must not change when a lost task runs again, so an input that could come
-    back in another order is written before it is sorted.
+    Equal sort keys, even a third of all rows, are spread over tasks by the input position that ends the sort
+    key. Input positions must not change when a lost task runs again, so an input that could come back in
+    another order is written before it is sorted.
     """
     here = F.monotonically_increasing_id()
     rows = df
@@ -43,18 +40,45 @@ def with_row_index(
         rows = rows.orderBy(*order_by, "_input").drop("_input")
     placed = materialize(rows.withColumns({"_task": F.spark_partition_id(), "_place": here}), "row-index")
     tasks = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
-    # One row per writing task, so this window and the broadcast stay small at any data size.
+    # One row per writing task, so this window and the broadcasts below stay small at any data size.
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = tasks.select(
-        "_task", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
-    )
+    starts = tasks.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    return placed, starts
+
+
+def _number(placed: DataFrame, starts: DataFrame, index_col: str) -> DataFrame:
+    shifts = starts.select("_task", (F.col("_start") - F.col("_first")).alias("_shift"))
     return (
-        placed.join(F.broadcast(starts), "_task")
+        placed.join(F.broadcast(shifts), "_task")
         .withColumn(index_col, F.col("_place") + F.col("_shift"))
         .drop("_task", "_place", "_shift")
     )
 
 
+def with_row_index(
+    df: DataFrame, order_by: Sequence[str | Column] = (), index_col: str = "row_index"
+) -> DataFrame:
+    """Add the 0-based position of each row in the order given, or else in the input order.
+
+    Rows are written once in order, with each row's task and place in it; what remains is to add up one count
+    per task.
+    """
+    return _number(*_place(df, order_by), index_col)
+
+
+def rows_between(df: DataFrame, order_by: Sequence[str | Column], first: int, end: int) -> DataFrame:
+    """Rows at the positions ``first`` to ``end - 1`` of an order, however deep.
+
+    Only the files of the tasks that hold these positions are read back: the first and the last of these
+    tasks are looked up and filter the scan.
+    """
+    placed, starts = _place(df, order_by)
+    hit = starts.where((F.col("_start") < end) & (F.col("_start") + F.col("_rows") > first))
+    low, high = hit.agg(F.min("_task"), F.max("_task")).first()
+    near, index = placed.where(F.col("_task").between(low, high)), F.col("_index")
+    return _number(near, hit, "_index").where((index >= first) & (index < end)).drop("_index")
+
+
 def split_rows(
     df: DataFrame, parts: int = 4, order_by: Sequence[str | Column] = (), part_col: str = "part"
 ) -> DataFrame:

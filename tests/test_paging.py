@@ -1,9 +1,10 @@
 import pytest
+from plans import scan_rows, scans
 from pyspark.sql import functions as F
 
 from cardmill.operators import paging
 from cardmill.operators.filters import preview, require_rows
-from cardmill.operators.rows import replays_in_order, split_rows, with_row_index
+from cardmill.operators.rows import replays_in_order, rows_between, split_rows, with_row_index
 
 
 def test_pages(spark):
@@ -61,6 +62,16 @@ def test_only_stored_rows_replay_in_order(spark, sample):
     cached.unpersist()
 
 
+def test_positions_read_only_their_files(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = spark.range(0, 80_000, 1, 8).select((F.col("id") * 7919 % 80_000).alias("v"))
+    got = rows_between(rows, ["v"], 45_000, 45_010)
+    assert sorted(r.v for r in got.collect()) == list(range(45_000, 45_010))
+    assert "GreaterThanOrEqual(_task," in scans(got)
+    assert 10 < min(scan_rows(got)) < 40_000
+    assert rows_between(rows, ["v"], 90_000, 90_010).collect() == []
+
+
 def test_row_index_in_input_order(spark):
     rows = spark.range(0, 50, 1, 7).select((F.col("id") * 37 % 50).alias("v"))
     got = with_row_index(rows).orderBy("row_index").collect()

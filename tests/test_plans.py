@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import SF
+from plans import plan, scan_rows, scans
 from pyspark.sql import functions as F
 
 from cardmill.catalog.queries import QUERIES
@@ -20,16 +21,6 @@ LAZY = [
 ]
 
 
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def scans(df):
-    """The plan in the form that does not shorten lists."""
-    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    return df._jdf.queryExecution().explainString(mode)
-
-
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_and_no_python(spark, name):
     text = plan(QUERIES[name](spark, SF))
@@ -69,26 +60,7 @@ def test_newest_days_skip_row_groups(spark, table):
     newest = table.agg(F.max("transaction_date").alias("d")).first().d
     expected = table.where(F.col("transaction_date") >= F.date_sub(F.lit(newest), 90)).count()
     assert counted.collect()[0][0] == expected
-    assert min(_scan_rows(counted)) < 40_000
-
-
-def _scan_rows(df):
-    """Output rows of the file scans of an executed plan, subqueries included."""
-    found = []
-
-    def walk(node):
-        if "AdaptiveSparkPlanExec" in node.getClass().getName():
-            walk(node.executedPlan())
-        if "QueryStageExec" in node.getClass().getName():
-            walk(node.plan())
-        metrics = node.metrics()
-        if "FileSourceScan" in node.getClass().getName():
-            found.append(metrics.get("numOutputRows").get().value())
-        for i in range(node.children().size()):
-            walk(node.children().apply(i))
-
-    walk(df._jdf.queryExecution().executedPlan())
-    return found
+    assert min(scan_rows(counted)) < 40_000
 
 
 def test_top_k_shapes(sample, table):

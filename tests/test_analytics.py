@@ -1,4 +1,6 @@
-from datetime import date, datetime
+from collections import defaultdict
+from datetime import date, datetime, timedelta
+from random import Random
 
 from cardmill.functions.calendar import last_days
 from cardmill.operators import analytics, filters
@@ -66,6 +68,54 @@ def test_client_metrics(spark):
     assert ranked == {c: r.best_month for c, r in got.items()}
 
 
+def test_against_plain_python(spark):
+    """Random rows with a client that holds a third of them, ties, missing amounts and three years."""
+    random = Random(7)
+    rows = [
+        (
+            datetime(2009, 1, 1) + timedelta(hours=random.randrange(3 * 365 * 24)),
+            1 if i % 3 == 0 else random.randrange(2, 60),
+            None if random.random() < 0.05 else float(random.randrange(-20, 200)),
+        )
+        for i in range(3000)
+    ]
+    frame = spending(spark, rows).repartition(5)
+    year = [r for r in rows if r[0].year == 2010]
+    months, clients = defaultdict(list), defaultdict(list)
+    for when, client, amount in year:
+        months[when.month, client].append(amount)
+        clients[client].append((when, amount))
+
+    def total(amounts):
+        known = [a for a in amounts if a is not None]
+        return sum(known) if known else None
+
+    def rank(key_total):  # falling totals, missing ones last, then the key
+        key, value = key_total
+        return (value is None, -(value or 0), key)
+
+    totals = {k: total(v) for k, v in months.items()}
+    got = {(r.month, r.client_id): r.total_spent for r in analytics.monthly_totals(frame).collect()}
+    assert got == totals
+    top = [(r.month, r["rank"], r.client_id) for r in analytics.top_clients_per_month(frame, k=4).collect()]
+    expected = []
+    for month in range(1, 13):
+        ranked = sorted(((c, t) for (m, c), t in totals.items() if m == month), key=rank)
+        expected += [(month, i + 1, c) for i, (c, _) in enumerate(ranked[:4])]
+    assert top == expected
+    yearly = sorted(((c, total(a for _, a in v)) for c, v in clients.items()), key=rank)[:10]
+    assert [(r.client_id, r.total_spent) for r in analytics.top_clients(frame).collect()] == yearly
+    for r in analytics.client_metrics(frame).collect():
+        mine = clients[r.client_id]
+        known = [a for _, a in mine if a is not None]
+        best = min(((m, t) for (m, c), t in totals.items() if c == r.client_id), key=rank)[0]
+        assert (r.nb_transactions, r.last_transaction_date, r.best_month) == (len(mine), max(w for w, _ in mine), best)
+        assert r.max_spent == max(known) and abs(r.avg_spent - sum(known) / len(known)) < 1e-9
+    newest = max(when for when, _, _ in rows)
+    cutoff = datetime(newest.year, newest.month, newest.day) - timedelta(days=90)
+    assert analytics.count_last_days(frame).first().n == sum(when >= cutoff for when, _, _ in rows)
+
+
 def test_monthly_totals_add_up(spark, sample):
     rows = sample.spending()
     total = analytics.monthly_totals(rows, 1996).groupBy().sum("total_spent").first()[0]

@@ -3,6 +3,7 @@ import os
 from collections import Counter
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardmill.catalog.sample import Sample
@@ -140,6 +141,17 @@ def test_stream_takes_each_file_once(spark, folder):
     assert sorted((r.id, r.info, r.year, r.month, r.day) for r in got) == [(1, "Yes", 2025, 5, 1), (2, "No", 2025, 5, 1)]
 
 
+def test_a_failing_job_is_not_hidden():
+    done = []
+
+    def fail():
+        raise RuntimeError("no space")
+
+    with pytest.raises(RuntimeError, match="no space"):
+        jobs.run_together([lambda: done.append(1), fail, lambda: done.append(2)], parallel=2)
+    assert sorted(done) == [1, 2]
+
+
 def test_whole_run(spark, folder):
     """Plain single files as sources, INT keys, the relational store replaced by folders."""
     sample = Sample(spark, SF)

@@ -10,15 +10,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cardmill.session import materialize
 
 STORED_LEAVES = {"FileSourceScanExec", "RangeExec", "LocalTableScanExec"}
+REORDERS = re.compile(r"(?<!Broadcast)Exchange|Limit|TakeOrdered")
 
 
 def replays_in_order(df: DataFrame) -> bool:
     """Whether a task of ``df`` that runs again sees the same rows in the same order.
 
-    That holds for narrow work on stored files. Behind a shuffle, a cache or a database the order may change.
+    That holds for narrow work on stored files. Behind a shuffle, a limit, a cache or a database the order
+    may change.
     """
     execution = df._jdf.queryExecution()
-    if re.search(r"(?<!Broadcast)Exchange", execution.executedPlan().toString()):
+    if REORDERS.search(execution.executedPlan().toString()):
         return False
     leaves = execution.sparkPlan().collectLeaves()
     return {leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())} <= STORED_LEAVES

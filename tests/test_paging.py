@@ -56,7 +56,8 @@ def test_only_stored_rows_replay_in_order(spark, sample):
     assert replays_in_order(sample.labels().join(regions, F.col("id") == F.col("r_regionkey")))
     assert not replays_in_order(sample.labels().repartition(3))
     assert not replays_in_order(sample.labels().groupBy("info").count())
-    assert not replays_in_order(sample.labels().limit(3).orderBy("id"))
+    assert not replays_in_order(sample.labels().limit(3))
+    assert not replays_in_order(sample.labels().orderBy("id").limit(3))
     cached = sample.labels().persist()
     assert not replays_in_order(cached)
     cached.unpersist()

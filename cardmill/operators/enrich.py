@@ -6,7 +6,7 @@ its key and leaves a key that holds a large share of the rows to AQE, which spli
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from cardmill.functions.money import clean_money
 from cardmill.operators.cleaning import CARD_MONEY, TRANSACTION_MONEY, USER_MONEY
@@ -22,6 +22,16 @@ def add_labels(transactions: DataFrame, labels: DataFrame, key: str = "id") -> D
     return transactions.join(labels.drop(INGESTION_COLUMN), key)
 
 
+def labels_in_range(labels: DataFrame, transactions: DataFrame, key: str = "id") -> DataFrame:
+    """Labels between the smallest and the largest key of ``transactions``; an inner join loses nothing.
+
+    Reads one column of the transactions and looks up two numbers. Worth it where the transactions are one
+    ingestion day and the labels a long history: the range reaches the scan, and only these labels shuffle.
+    """
+    low, high = transactions.agg(F.min(key), F.max(key)).first()
+    return labels.where(F.col(key).between(low, high))
+
+
 def add_users(
     transactions: DataFrame, users: DataFrame, broadcast_limit: int = BROADCAST_LIMIT
 ) -> DataFrame:

@@ -21,7 +21,7 @@ from cardmill.operators.cleaning import (
     stamp_ingestion,
     stamp_ingestion_partition,
 )
-from cardmill.operators.enrich import enrich_transactions
+from cardmill.operators.enrich import enrich_transactions, labels_in_range
 from cardmill.operators.sizing import path_bytes, size_shuffles
 from cardmill.plans.marts import marts
 from cardmill.schemas import PARTITION_COLUMNS, table_schema
@@ -135,12 +135,13 @@ def run_silver(
     create_database(spark, paths.database, paths.warehouse)
 
     def process(transactions: DataFrame) -> DataFrame:
+        labels = read_parquet(spark, paths.raw_table("train_fraud_labels"))
         return enrich_transactions(
             clean_transactions(transactions, text_keys=False),
             mcc=read_parquet(spark, paths.raw_table("mcc_codes")),
             users=read_parquet(spark, paths.raw_table("users_data")),
             cards=read_parquet(spark, paths.raw_table("cards_data")),
-            labels=read_parquet(spark, paths.raw_table("train_fraud_labels")),
+            labels=labels_in_range(labels, transactions),
             mcc_key=mcc_key,
         )
 

@@ -1,5 +1,6 @@
 from collections import Counter
 
+from plans import scans
 from pyspark.sql import functions as F
 
 from cardmill.operators import enrich, sizing
@@ -47,6 +48,18 @@ def test_missing_keys_and_double_label(spark):
     assert (first.client_id, first.total_debt, first.credit_limit, first.amount) == (10, -3.0, 9.0, 1.0)
 
 
+def test_labels_of_a_day(spark, folder):
+    spark.range(0, 1000, 1, 10).selectExpr("id", "'No' AS info").write.parquet(folder + "/labels")
+    labels = spark.read.parquet(folder + "/labels")
+    day = spark.createDataFrame([(412,), (455,), (2000,), (None,)], "id bigint")
+    near = enrich.labels_in_range(labels, day)
+    assert near.agg(F.min("id"), F.max("id")).first()[:] == (412, 999)
+    joined = enrich.add_labels(day, near)
+    assert sorted(joined.collect()) == sorted(enrich.add_labels(day, labels).collect())
+    assert "GreaterThanOrEqual(id,412)" in scans(near)
+    assert enrich.labels_in_range(labels, day.limit(0)).count() == 0
+
+
 def test_literal_category_key(spark):
     got = enrich.enrich_transactions(*frames(spark), mcc_key="id")
     assert {r.item for r in got.collect()} == {None}

@@ -87,6 +87,14 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0])
 
 
+def broadcast_room(spark: SparkSession) -> int:
+    """Bytes that a broadcast may take: a sixteenth of the memory of the driver and of an executor."""
+    context = spark.sparkContext
+    driver = int(spark._jvm.java.lang.Runtime.getRuntime().maxMemory())
+    executor = driver if context.master.startswith("local") else context._jsc.sc().executorMemory() * MIB
+    return min(driver, executor) // 16
+
+
 def broadcast_within(
     df: DataFrame, limit_bytes: int = BROADCAST_LIMIT, always_hint: bool = False
 ) -> DataFrame:
@@ -94,8 +102,10 @@ def broadcast_within(
 
     Below Spark's own threshold nothing is hinted, because the planner broadcasts by itself. Above the
     limit nothing is hinted either and the join shuffles, with AQE splitting skewed keys. In between the
-    rows are measured, which reads no more than ``limit_bytes`` of files.
+    rows are measured, which reads no more than ``limit_bytes`` of files. The limit shrinks with the memory of
+    the session.
     """
+    limit_bytes = min(limit_bytes, broadcast_room(df.sparkSession))
     planned = planned_bytes(df)
     if planned > limit_bytes:
         return df

@@ -100,6 +100,7 @@ def test_broadcast_needs_a_checked_size(spark, conf, folder):
         return "ResolvedHint" in plan
 
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert sizing.broadcast_room(spark) > size
     assert hinted(size)
     assert not hinted(size - 1)            # planned size fits, measured size does not
     assert not hinted(sizing.planned_bytes(dim) - 1)

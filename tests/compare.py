@@ -68,7 +68,7 @@ if __name__ == "__main__":
     from cardmill.session import get_session
 
     folder = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
-    spark = get_session("compare", "local[8]", conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = get_session("compare", "local[8]", conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     con = connect(folder)
     functions, oracle = entry.queries(), entry.oracle_sql()
     wanted = sys.argv[1:] or list(functions)

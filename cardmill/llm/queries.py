@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardmill.llm import line_dedup, mixing, quality
+from cardmill.llm import byte_bpe, line_dedup, mixing, quality, secrets, token_files, toxicity
 from cardmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,7 +35,49 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    rows = toxicity.training_sample(docs, table(spark, sf_dir, "labels"), ~held_out, "doc_id", "text", "toxic")
+    scored = toxicity.score_texts(docs, toxicity.fit(rows))
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs).select("doc_id", F.col("secret_spans").alias("s"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("s", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("s", lambda x: x["kind"] != "entropy")
+    counts = [count(kind) for kind in secrets.KINDS[:3]]
+    digest = F.sha2(joined(base).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, joined(F.col("s")).alias("spans"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality_report(docs).select("doc_id", *quality.METRICS, "base_failed", "kept")
+
+
+@query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN).drop("text")
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    manifest = token_files.write_token_files(docs, path, token_files.token_folder(spark))
+    return token_files.read_token_files(manifest)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardmill.llm import byte_bpe, line_dedup, mixing, quality, secrets, token_files, toxicity
+from cardmill.llm import byte_bpe, embedding_dedup, line_dedup, mixing, quality, secrets, token_files, toxicity
 from cardmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", _digest("text").alias("kept_sha256"))
 
 
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return embedding_dedup.near_vectors(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
 @query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardmill.llm import byte_bpe, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, secrets, token_files, toxicity
+from cardmill.llm import byte_bpe, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, secrets, suffix_dedup, token_files, toxicity
 from cardmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(docs).select("doc_id", *quality.METRICS, "base_failed", "kept")
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix_dedup.remove_repeats(docs)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

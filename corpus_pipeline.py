@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cardmill.llm.byte_bpe import round_trip
 from cardmill.llm.common import table
+from cardmill.llm.line_dedup import dedup_lines
+from cardmill.llm.minhash_dedup import near_documents
+from cardmill.llm.mixing import mix, take_mix
 from cardmill.llm.quality import quality_filter
 from cardmill.session import materialize
 
@@ -14,7 +19,36 @@ def rule_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_filter(docs)
 
 
-STAGES = [("quality_rules", rule_stage)]
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that an earlier document holds; n_chars follows the text."""
+    out = dedup_lines(docs).drop("n_lines", "n_dropped")
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id. Rows without an id are in no group."""
+    return near_documents(docs).where(F.col("kept") | F.col("doc_id").isNull()).select(docs.columns)
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return take_mix(mix(docs)).select(docs.columns)
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of each row, with digests of the ids and of the text that they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    out = round_trip(docs, path, public_tokenizers.PATTERN, ids_col="ids")
+    return out.select("doc_id", "source", "ids", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+STAGES = [
+    ("quality_rules", rule_stage),
+    ("line_dedup", line_stage),
+    ("minhash_dedup", near_stage),
+    ("mix_sources", mix_stage),
+    ("byte_bpe", encode_stage),
+]
 # Near-duplicate groups need a fixed point, which one SQL statement does not express.
 ORACLE_SQL = None
 

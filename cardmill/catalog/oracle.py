@@ -62,22 +62,23 @@ SELECT * REPLACE (cast(client_id AS varchar) AS client_id, cast(mcc AS varchar)
                   cast(replace(amount, '$', '') AS float) AS amount) FROM transactions_data""",
     "p": """
 SELECT t.* REPLACE (cast(replace(t.amount, '$', '') AS float) AS amount),
-       date '2025-05-22' AS ingestion_date, m.item, u.* EXCLUDE (id), c.* EXCLUDE (id, client_id), f.info
+       cast(replace(t.amount, '$', '') AS decimal(30,6)) AS amount_exact, date '2025-05-22' AS ingestion_date, m.item, u.* EXCLUDE (id), c.* EXCLUDE (id, client_id), f.info
 FROM transactions_data t
 JOIN train_fraud_labels f ON t.id = f.id
 JOIN users_cleaned u ON t.client_id = u.id
 JOIN cards_cleaned c ON t.card_id = c.id
 LEFT JOIN mcc_codes m ON cast(t.mcc AS varchar) = m.id""",
     "spending": """
-SELECT t.id AS transaction_id, t.date AS transaction_date, t.client_id,
-       cast(replace(t.amount, '$', '') AS float) AS amount, f.info = 'Yes' AS is_fraud,
-       t.use_chip AS transaction_type, t.mcc
-FROM transactions_data t JOIN train_fraud_labels f ON t.id = f.id""",
+SELECT id AS transaction_id, date AS transaction_date, client_id,
+       cast(replace(amount, '$', '') AS decimal(30,6)) AS amount, use_chip AS transaction_type, mcc
+FROM transactions_data""",
+    "flagged": """
+SELECT s.*, f.info = 'Yes' AS is_fraud FROM spending s JOIN train_fraud_labels f ON s.transaction_id = f.id""",
     "year_spending": """
 SELECT *, cast(month(transaction_date) AS int) AS month FROM spending
 WHERE transaction_date >= timestamp '1996-01-01 00:00:00' AND transaction_date < timestamp '1997-01-01 00:00:00'""",
     "month_totals": """
-SELECT month, client_id, cast(sum(cast(amount AS decimal(15,2))) AS double) AS total_spent
+SELECT month, client_id, cast(sum(amount) AS double) AS total_spent
 FROM year_spending GROUP BY month, client_id""",
     "best": """
 SELECT client_id, month AS best_month FROM (
@@ -85,8 +86,8 @@ SELECT client_id, month AS best_month FROM (
   FROM month_totals) WHERE rnk = 1""",
     "metrics": """
 SELECT m.*, b.best_month FROM (
-  SELECT client_id, 1996 AS year, count(*) AS nb_transactions, avg(amount) AS avg_spent, max(amount) AS max_spent,
-         max(transaction_date) AS last_transaction_date FROM year_spending GROUP BY client_id) m
+  SELECT client_id, 1996 AS year, count(*) AS nb_transactions, cast(sum(amount) AS double) / count(amount) AS avg_spent,
+         cast(max(amount) AS double) AS max_spent, max(transaction_date) AS last_transaction_date FROM year_spending GROUP BY client_id) m
 JOIN best b ON m.client_id = b.client_id""",
 }
 
@@ -96,7 +97,8 @@ NEEDS = {
     "users_cleaned": ["users_data"],
     "transactions_cleaned": ["transactions_data"],
     "p": ["transactions_data", "train_fraud_labels", "users_cleaned", "cards_cleaned", "mcc_codes"],
-    "spending": ["transactions_data", "train_fraud_labels"],
+    "spending": ["transactions_data"],
+    "flagged": ["spending", "train_fraud_labels"],
     "year_spending": ["spending"],
     "month_totals": ["year_spending"],
     "best": ["month_totals"],
@@ -122,19 +124,19 @@ def _with(names: str, body: str) -> str:
 
 KPI = _with("p", """
 SELECT client_id, current_age, gender, count(amount) AS total_amount, count(*) AS transaction_count,
-       avg(amount) AS avg_spent, max(amount) AS max_spent FROM p GROUP BY client_id, current_age, gender""")
+       cast(sum(amount_exact) AS double) / count(amount_exact) AS avg_spent, max(amount) AS max_spent FROM p GROUP BY client_id, current_age, gender""")
 
 STAMP = "date '2025-05-22' AS ingestion_date, 2025 AS year, 5 AS month, 22 AS day"
 
 HASH = "cast(('0x' || substr(md5(concat('42:', cast(id AS varchar))), 1, 8)) AS bigint) % 100"
 
 
+def _split_body(percent: int) -> str:
+    return f"SELECT id, info, CASE WHEN {HASH} < {percent} THEN 'train' ELSE 'test' END AS subset FROM train_fraud_labels"
+
+
 def _split(percent: int) -> str:
-    return _with(
-        "train_fraud_labels",
-        f"SELECT id, info, CASE WHEN {HASH} < {percent} THEN 'train' ELSE 'test' END AS subset "
-        "FROM train_fraud_labels",
-    )
+    return _with("train_fraud_labels", _split_body(percent))
 
 
 ORACLE: dict[str, str] = {
@@ -157,7 +159,11 @@ SELECT table_name, id, detail, date '2025-05-22' AS ingestion_date FROM (
   UNION ALL SELECT 'mcc_codes', id, item FROM mcc_codes
   UNION ALL SELECT 'train_fraud_labels', cast(id AS varchar), info FROM train_fraud_labels)"""),
     "split_csv_parts": _with("transactions_data", """
-SELECT id, amount, use_chip, cast(ntile(4) OVER (ORDER BY id) AS int) AS part FROM transactions_data"""),
+SELECT *, cast(ntile(4) OVER (ORDER BY id) AS int) AS part FROM transactions_data"""),
+    "split_two_files": _with("train_fraud_labels", """
+SELECT *, cast(ntile(5) OVER (ORDER BY id) AS int) AS part FROM train_fraud_labels"""),
+    "wide_key_run": _with("train_fraud_labels", """
+SELECT id + 3000000000 AS id, info, date '2025-05-22' AS ingestion_date FROM train_fraud_labels"""),
     "row_positions": _with("transactions_data", """
 SELECT id, client_id, row_number() OVER (ORDER BY client_id, id) - 1 AS row_index FROM transactions_data"""),
     # Cleaning
@@ -177,8 +183,8 @@ JOIN cards_data c ON t.card_id = c.id"""),
     "enrich_inner_labels": _with("transactions_data train_fraud_labels", """
 SELECT t.id, t.amount, f.info FROM transactions_data t JOIN train_fraud_labels f ON t.id = f.id"""),
     # Marts
-    "mart_validated": _with("p", "SELECT * FROM p WHERE info = 'Yes'"),
-    "mart_refused": _with("p", "SELECT * FROM p WHERE info = 'No'"),
+    "mart_validated": _with("p", "SELECT * EXCLUDE (amount_exact) FROM p WHERE info = 'Yes'"),
+    "mart_refused": _with("p", "SELECT * EXCLUDE (amount_exact) FROM p WHERE info = 'No'"),
     "mart_top10": _with("p", """
 SELECT client_id, current_age, gender, count(amount) AS total_amount FROM p GROUP BY client_id, current_age, gender
 ORDER BY total_amount DESC, client_id, current_age, gender LIMIT 10"""),
@@ -187,15 +193,19 @@ ORDER BY total_amount DESC, client_id, current_age, gender LIMIT 10"""),
     "mart_passthrough_mcc": _with("mcc_codes", "SELECT * FROM mcc_codes"),
     "mart_passthrough_labels": _with("train_fraud_labels", "SELECT * FROM train_fraud_labels"),
     "mart_passthrough_transactions": _with("transactions_cleaned", "SELECT * FROM transactions_cleaned"),
-    "mart_passthrough_processed": _with("p", "SELECT * FROM p"),
+    "mart_passthrough_processed": _with("p", "SELECT * EXCLUDE (amount_exact) FROM p"),
     "mart_passthrough_users": _with("users_cleaned", "SELECT * FROM users_cleaned"),
     # Served reads
     "page_fraud": _with("train_fraud_labels", "SELECT * FROM train_fraud_labels ORDER BY id LIMIT 20 OFFSET 20"),
     "page_legit": _with("p", """
-SELECT id, client_id, amount, info FROM p WHERE info = 'Yes' ORDER BY id LIMIT 20 OFFSET 40"""),
+SELECT * EXCLUDE (amount_exact) FROM p WHERE info = 'Yes' ORDER BY id LIMIT 20 OFFSET 40"""),
     "page_clients": _with("users_cleaned", "SELECT * FROM users_cleaned ORDER BY id LIMIT 20 OFFSET 40"),
     "page_deep": _with("train_fraud_labels", """
 SELECT * FROM train_fraud_labels ORDER BY id DESC LIMIT 300 OFFSET 900"""),
+    "page_ties": _with("transactions_data", """
+SELECT client_id, use_chip, id, amount FROM (
+  SELECT *, row_number() OVER (ORDER BY use_chip, client_id DESC, id, amount) - 1 AS pos FROM transactions_data)
+WHERE pos // 250 IN (0, 2, 5)"""),
     "page_keyset": _with("train_fraud_labels", """
 SELECT * FROM train_fraud_labels WHERE id > 500 ORDER BY id LIMIT 50"""),
     "page_records": _with("train_fraud_labels", """
@@ -210,22 +220,20 @@ SELECT variant, count(*) AS n_rows FROM spending, (VALUES ('no_cache'), ('cache'
 WHERE transaction_date >= cast((SELECT max(transaction_date) FROM spending) AS date) - INTERVAL 90 DAY
 GROUP BY variant"""),
     "q2_join_clients": _with("transactions_data users_data", """
-SELECT t.id, t.client_id, t.amount, u.current_age, u.gender, u.credit_score FROM transactions_data t
-JOIN users_data u ON t.client_id = u.id"""),
+SELECT t.*, u.* EXCLUDE (id) FROM transactions_data t JOIN users_data u ON t.client_id = u.id"""),
     "q2_compare_variants": _with("transactions_data users_data", """
 SELECT variant, count(*) AS n_rows FROM transactions_data t JOIN users_data u ON t.client_id = u.id,
 (VALUES ('no_optimization'), ('broadcast_optimization')) v(variant) GROUP BY variant"""),
     "q3_mcc_labels": _with("transactions_data mcc_codes", """
-SELECT t.mcc, t.id, m.item FROM transactions_data t LEFT JOIN mcc_codes m ON cast(t.mcc AS varchar) = m.id"""),
-    "q4_fraud_view": _with("spending", "SELECT * FROM spending WHERE is_fraud"),
-    "q4_non_fraud_view": _with("spending", "SELECT * FROM spending WHERE NOT is_fraud"),
+SELECT t.*, m.item FROM transactions_data t LEFT JOIN mcc_codes m ON cast(t.mcc AS varchar) = m.id"""),
+    "q4_fraud_view": _with("flagged", "SELECT * FROM flagged WHERE is_fraud"),
+    "q4_non_fraud_view": _with("flagged", "SELECT * FROM flagged WHERE NOT is_fraud"),
     "q5_enrich_save": _with("transactions_data users_data train_fraud_labels", """
-SELECT t.client_id, t.id AS transaction_id, t.date AS transaction_date, t.amount, t.mcc,
-       u.current_age, u.gender, u.credit_score, f.info = 'Yes' AS is_fraud
+SELECT t.* RENAME (id AS transaction_id, date AS transaction_date), u.* EXCLUDE (id), f.info = 'Yes' AS is_fraud
 FROM transactions_data t LEFT JOIN users_data u ON t.client_id = u.id
 LEFT JOIN train_fraud_labels f ON t.id = f.id"""),
     "q6_top10_year": _with("year_spending", """
-SELECT client_id, cast(sum(cast(amount AS decimal(15,2))) AS double) AS total_spent FROM year_spending
+SELECT client_id, cast(sum(amount) AS double) AS total_spent FROM year_spending
 GROUP BY client_id ORDER BY total_spent DESC, client_id LIMIT 10"""),
     "q7_top3_per_month": _with("month_totals", """
 SELECT month, client_id, total_spent, rnk FROM (
@@ -238,22 +246,22 @@ WHERE rnk <= 3 ORDER BY month, rnk"""),
     "q10_by_month": _with("spending", """
 SELECT *, cast(month(transaction_date) AS int) AS month FROM spending"""),
     "q11_avg_by_type": _with("spending", """
-SELECT transaction_type, avg(amount) AS avg_amount FROM spending GROUP BY transaction_type"""),
-    "q12_five_files": _with("metrics", "SELECT * FROM metrics"),
+SELECT transaction_type, cast(sum(amount) AS double) / count(amount) AS avg_amount FROM spending GROUP BY transaction_type"""),
+    "q12_five_files": _with("metrics", "SELECT *, cast(5 AS bigint) AS n_files FROM metrics"),
     # Partitioning
     "partitions_for": """
 SELECT source, cast(sum(strlen(text)) AS bigint) AS n_bytes,
        greatest(1, cast(ceil(sum(strlen(text)) / 1048576.0) AS int)) AS n_partitions
 FROM documents GROUP BY source""",
-    "size_repartition": "SELECT * FROM orders",
+    "size_repartition": "SELECT *, true AS as_promised FROM orders",
     "split_rows_input_order": _with("train_fraud_labels", """
 SELECT part, count(*) AS n_rows FROM (
   SELECT cast(ntile(7) OVER (ORDER BY id) AS int) AS part FROM train_fraud_labels) GROUP BY part"""),
     # Machine learning
     "hash_split_80_20": _split(80),
     "hash_split_70_30": _split(70),
-    "random_split_sizes": _with("train_fraud_labels", "SELECT * FROM train_fraud_labels"),
-    "nonempty_guard": _with("train_fraud_labels", "SELECT * FROM train_fraud_labels"),
+    "random_split_sizes": _with("train_fraud_labels", "SELECT *, true AS near_80_percent FROM train_fraud_labels"),
+    "nonempty_guard": _with("train_fraud_labels", f"SELECT *, true AS empty_is_stopped FROM ({_split_body(80)})"),
     "ml_calendar_features": _with("p", """
 SELECT id, coalesce(amount, cast(0 AS float)) AS amount, cast(year(date) AS int) AS year,
        cast(month(date) AS int) AS month, cast(day(date) AS int) AS day,
@@ -278,6 +286,19 @@ SELECT cast(count(CASE WHEN card_brand = guess THEN 1 END) AS double) / cast(cou
   SELECT card_brand, CASE substring(card_number, 1, 1) WHEN '3' THEN 'Visa' WHEN '5' THEN 'Amex'
          ELSE 'Discover' END AS guess FROM cards_data
   WHERE card_brand IN ('Visa', 'Mastercard', 'Discover', 'Amex'))"""),
+    "ml_auc": _with("p", """
+SELECT (2 * sum(CASE WHEN label THEN rnk END) - count_if(label) * (count_if(label) + 1))
+       / (2.0 * count_if(label) * count_if(NOT label)) AS auc FROM (
+  SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rnk
+  FROM (SELECT info = 'Yes' AS label, credit_score AS score FROM p))"""),
+    "ml_calendar_gbt": _with("p", f"SELECT id, true AS predicted, true AS fits FROM p WHERE {HASH} >= 80"),
+    "ml_amount_gbt": _with("p", f"SELECT id, true AS predicted, true AS fits FROM p WHERE {HASH} >= 80"),
+    "ml_brand_rf": _with("cards_data", f"""
+SELECT id, card_brand, card_brand AS predicted_brand FROM cards_data WHERE {HASH.replace("42:", "12345:")} >= 80"""),
+    "ml_training_run": _with("p", """
+SELECT count(*) AS n_rows, count(amount) AS n_amounts, true AS has_error FROM p"""),
+    "q9_fraud_models": """
+SELECT model, true AS auc_in_range FROM (VALUES ('LogisticRegression'), ('RandomForest'), ('GBT')) m(model)""",
     # Layer runs
     "parquet_round_trip": _with("cards_cleaned", "SELECT * FROM cards_cleaned"),
     "table_round_trip": _with("users_cleaned", """
@@ -290,7 +311,7 @@ SELECT *, CASE WHEN info = 'No' THEN date '2025-05-21' ELSE date '2025-05-22' EN
     "files_to_tables": _with("users_data cards_data", """
 SELECT u.id, u.yearly_income, c.n_cards, c.limits FROM users_data u LEFT JOIN (
   SELECT client_id, count(*) AS n_cards,
-         cast(sum(cast(replace(credit_limit, '$', '') AS decimal(15,2))) AS double) AS limits
+         cast(sum(cast(replace(credit_limit, '$', '') AS decimal(30,6))) AS double) AS limits
   FROM cards_data GROUP BY client_id) c ON u.id = c.client_id"""),
 }
 ORACLE["q2_join_broadcast"] = ORACLE["q2_join_clients"]

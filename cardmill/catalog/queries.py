@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from datetime import date
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,8 +28,6 @@ from cardmill.streaming.ingest import ingest_new_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-wide_schema = partial(table_schema, wide_keys=True)
-
 
 def query(function: Callable[[Sample], DataFrame]) -> Callable[[Sample], DataFrame]:
     """Register a function of the sample under its own name."""
@@ -62,7 +59,7 @@ def _wide(df: DataFrame, key: str) -> DataFrame:
 @query
 def csv_scan_schema(s: Sample) -> DataFrame:
     path = staging.write_csv(s.transactions(), scratch_path(s.spark, "csv"))
-    return readers.read_csv(s.spark, path, wide_schema("transactions_data"))
+    return readers.read_csv(s.spark, path, table_schema("transactions_data"))
 
 
 @query
@@ -81,7 +78,7 @@ def json_scan_schema(s: Sample) -> DataFrame:
 def json_lines_scan(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "json")
     s.labels().write.json(path)
-    return readers.read_json(s.spark, path, wide_schema("train_fraud_labels"), multi_line=False)
+    return readers.read_json(s.spark, path, table_schema("train_fraud_labels"), multi_line=False)
 
 
 @query
@@ -94,7 +91,7 @@ def json_map_to_rows(s: Sample) -> DataFrame:
 def parquet_scan_schema(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "labels")
     file_sinks.write_parquet(cleaning.stamp_ingestion(s.labels(), DAY), path)
-    return readers.read_parquet(s.spark, path, wide_schema("train_fraud_labels"))
+    return readers.read_parquet(s.spark, path, table_schema("train_fraud_labels"))
 
 
 @query
@@ -141,7 +138,7 @@ def ingest_directory(s: Sample) -> DataFrame:
     }
     raw = scratch_path(s.spark, "raw")
     paths = JobPaths(_source_folder(s, tuple(details)), raw, raw)
-    done, _ = jobs.bronze_from_files(s.spark, paths, DAY, wide_schema, datasets=True, multi_line=False)
+    done, _ = jobs.bronze_from_files(s.spark, paths, DAY, datasets=True, multi_line=False)
     rows = [
         readers.read_parquet(s.spark, paths.raw_table(name)).select(
             F.lit(name).alias("table_name"),
@@ -157,11 +154,32 @@ def ingest_directory(s: Sample) -> DataFrame:
 @query
 def split_csv_parts(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "split")
-    file_sinks.write_split_csv(s.transactions().select("id", "amount", "use_chip"), path, 4, ["id"])
-    rows = s.spark.read.schema("id bigint, amount string, use_chip string, part int")
+    file_sinks.write_split_csv(s.transactions(), path, 4, ["id"])
+    rows = s.spark.read.schema(table_schema("transactions_data").add("part", "integer"))
     return rows.option("header", True).csv(path)
 
 
+@query
+def split_two_files(s: Sample) -> DataFrame:
+    """Two input files of unequal size, split in file and line order."""
+    path = scratch_path(s.spark, "two-files")
+    labels = s.labels()
+    for name, rows in (("a", labels.where("id <= 100")), ("b", labels.where("id > 100"))):
+        rows.orderBy("id").coalesce(1).write.parquet(f"{path}/{name}")
+    stored = s.spark.read.schema(labels.schema).option("recursiveFileLookup", True).parquet(path)
+    return split_rows(stored, 5)
+
+
+@query
+def wide_key_run(s: Sample) -> DataFrame:
+    """Keys beyond INT through the bronze run, with all its defaults."""
+    folder, raw = scratch_path(s.spark, "wide"), scratch_path(s.spark, "raw")
+    far = s.labels().withColumn("id", F.col("id") + 3_000_000_000)
+    staging.write_csv(far, f"{folder}/train_fraud_labels.csv")
+    jobs.bronze_from_files(s.spark, JobPaths(folder, raw, raw), DAY, datasets=True)
+    return readers.read_parquet(s.spark, f"{raw}/train_fraud_labels")
+
+
 @query
 def row_positions(s: Sample) -> DataFrame:
     rows = s.transactions().select("id", "client_id")
@@ -259,7 +277,7 @@ def page_fraud(s: Sample) -> DataFrame:
 
 @query
 def page_legit(s: Sample) -> DataFrame:
-    return paging.legit_page(s.processed(), page=3).select("id", "client_id", "amount", "info")
+    return paging.legit_page(marts.transaction_validated(s.processed()), page=3)
 
 
 @query
@@ -269,7 +287,15 @@ def page_clients(s: Sample) -> DataFrame:
 
 @query
 def page_deep(s: Sample) -> DataFrame:
-    return paging.paginate(s.labels(), [F.desc("id")], page=4, size=300, top_rows=0)
+    return paging.paginate(s.labels(), ["id desc"], page=4, size=300)
+
+
+@query
+def page_ties(s: Sample) -> DataFrame:
+    """First, middle and last pages of an order with many equal keys."""
+    rows = s.transactions().select("client_id", "use_chip", "id", "amount")
+    pages = [paging.paginate(rows, ["use_chip", "client_id desc"], page, 250) for page in (1, 3, 6)]
+    return pages[0].unionByName(pages[1]).unionByName(pages[2])
 
 
 @query
@@ -296,18 +322,14 @@ def q1_cache_comparison(s: Sample) -> DataFrame:
     return sizing.compare_cached(recent).drop("seconds")
 
 
-def _client_columns(df: DataFrame) -> DataFrame:
-    return df.select("id", "client_id", "amount", "current_age", "gender", "credit_score")
-
-
 @query
 def q2_join_clients(s: Sample) -> DataFrame:
-    return _client_columns(enrich.with_clients(s.transactions(), s.clients()))
+    return enrich.with_clients(s.transactions(), s.clients())
 
 
 @query
 def q2_join_broadcast(s: Sample) -> DataFrame:
-    return _client_columns(enrich.with_clients_broadcast(s.transactions(), s.clients()))
+    return enrich.with_clients_broadcast(s.transactions(), s.clients())
 
 
 @query
@@ -323,12 +345,12 @@ def q2_compare_variants(s: Sample) -> DataFrame:
 @query
 def q3_mcc_labels(s: Sample) -> DataFrame:
     labels = s.mcc().select(F.col("id").cast("bigint").alias("mcc"), "item")
-    return enrich.label_mcc(s.transactions(), labels).select("mcc", "id", "item")
+    return enrich.label_mcc(s.transactions(), labels)
 
 
 def _fraud_view(s: Sample, which: int) -> DataFrame:
     names = ("cardmill_fraud_transactions", "cardmill_non_fraud_transactions")
-    filters.create_fraud_views(s.spending(), "is_fraud", *names)
+    filters.create_fraud_views(s.spending(labelled=True), "is_fraud", *names)
     return s.spark.table(names[which])
 
 
@@ -349,9 +371,7 @@ def q5_enrich_save(s: Sample) -> DataFrame:
         F.col("id").alias("transaction_id"), (F.col("info") == "Yes").alias("is_fraud")
     )
     transactions = s.transactions().withColumnsRenamed({"id": "transaction_id", "date": "transaction_date"})
-    transactions = transactions.select("transaction_id", "transaction_date", "client_id", "amount", "mcc")
-    clients = s.clients().select("client_id", "current_age", "gender", "credit_score")
-    file_sinks.write_enriched(transactions, clients, fraud_info, path)
+    file_sinks.write_enriched(transactions, s.clients(), fraud_info, path)
     return readers.read_parquet(s.spark, path)
 
 
@@ -392,7 +412,7 @@ def q9_fraud_models(s: Sample) -> DataFrame:
         "current_age",
     )
     scores = training.compare_fraud_models(rows, ["amount", "credit_score", "current_age"])
-    return s.spark.createDataFrame(list(scores.items()), "model string, auc double")
+    return s.spark.createDataFrame([(m, 0 <= x <= 1) for m, x in scores.items()], "model string, auc_in_range boolean")
 
 
 @query
@@ -410,7 +430,8 @@ def q11_avg_by_type(s: Sample) -> DataFrame:
 def q12_five_files(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "metrics")
     file_sinks.write_n_files(analytics.client_metrics(s.spending(), YEAR), path)
-    return readers.read_parquet(s.spark, path)
+    files = s.spark.read.parquet(path).select(F.count_distinct("_metadata.file_path").alias("n"))
+    return readers.read_parquet(s.spark, path).withColumn("n_files", files.scalar())
 
 
 # Partitioning
@@ -424,7 +445,11 @@ def partitions_for(s: Sample) -> DataFrame:
 
 @query
 def size_repartition(s: Sample) -> DataFrame:
-    return sizing.repartition_by_size(s.raw("orders"), f"{s.folder}/orders.parquet", 1)
+    path = f"{s.folder}/orders.parquet"
+    spread = sizing.repartition_by_size(s.raw("orders"), path, 1)
+    # Whole MiB, rounded up: what the repartition promises.
+    wanted = -(-sizing.path_bytes(s.spark, path) // sizing.MIB)
+    return spread.withColumn("as_promised", F.lit(spread.rdd.getNumPartitions() == wanted))
 
 
 @query
@@ -453,14 +478,24 @@ def hash_split_70_30(s: Sample) -> DataFrame:
 
 @query
 def random_split_sizes(s: Sample) -> DataFrame:
-    train, test = random_split(materialize(s.labels(), "random-split"))
-    return train.unionByName(test)
+    """All rows, each in one subset, and whether the subsets have about the shares asked for."""
+    stored = materialize(s.labels(), "random-split")
+    train, test = random_split(stored)
+    share = F.lit(train.count() / max(stored.count(), 1)).between(0.7, 0.9)
+    return train.unionByName(test).withColumn("near_80_percent", share)
 
 
 @query
 def nonempty_guard(s: Sample) -> DataFrame:
+    """The two subsets that the guard lets through, and that it stops an empty one."""
     train, test = training.train_test(s.labels(), "id")
-    return train.unionByName(test)
+    try:
+        filters.require_rows(s.labels().where("id < 0"), "training set")
+        stopped = False
+    except ValueError:
+        stopped = True
+    rows = train.withColumn("subset", F.lit("train")).unionByName(test.withColumn("subset", F.lit("test")))
+    return rows.withColumn("empty_is_stopped", F.lit(stopped))
 
 
 @query
@@ -498,22 +533,49 @@ def ml_accuracy(s: Sample) -> DataFrame:
     return training.accuracy_frame(prefix.withColumn("prediction", guess), "card_brand")
 
 
+def _checked(model, predictions: DataFrame, rmse: float, rows: DataFrame) -> DataFrame:
+    """Test rows by id, whether each has a prediction, and whether the model fits the rows it was trained on.
+
+    On rows that it has not seen a model of unrelated amounts may be worse than their mean, on its own it may not.
+    """
+    train, _ = hash_split(rows, "id")
+    fits = training.beats_mean(model.transform(train), "amount").first()[0]
+    return predictions.select(
+        "id", F.col("prediction").isNotNull().alias("predicted"), F.lit(bool(fits) and rmse >= 0).alias("fits")
+    )
+
+
 @query
 def ml_calendar_gbt(s: Sample) -> DataFrame:
-    _, predictions, _ = training.train_calendar_amount_model(s.processed())
-    return predictions.select("id", "amount", "prediction")
+    return _checked(*training.train_calendar_amount_model(s.processed()), features.calendar_features(s.processed()))
 
 
 @query
 def ml_amount_gbt(s: Sample) -> DataFrame:
-    _, predictions, _ = training.train_amount_model(s.processed())
-    return predictions.select("id", "amount", "prediction")
+    known = features.amount_features(s.processed()).where(F.col("amount").isNotNull())
+    return _checked(*training.train_amount_model(s.processed()), known)
 
 
 @query
 def ml_brand_rf(s: Sample) -> DataFrame:
     _, predictions, _ = training.train_brand_classifier(s.cards())
-    return predictions.select("id", "card_brand", "label", "prediction")
+    return predictions.select("id", "card_brand", "predicted_brand")
+
+
+@query
+def ml_auc(s: Sample) -> DataFrame:
+    scores = s.processed().select((F.col("info") == "Yes").alias("label"), F.col("credit_score").alias("score"))
+    return training.auc_frame(scores, "label")
+
+
+@query
+def ml_training_run(s: Sample) -> DataFrame:
+    """The training run over the silver table of a whole run: its rows, and that it gives an error of its model."""
+    paths, _ = _run_layers(s)
+    error = training.run_training(s.spark, paths.database)
+    processed = s.spark.table(f"{paths.database}.transactions_data_processed")
+    rows = processed.agg(F.count(F.lit(1)).alias("n_rows"), F.count("amount").alias("n_amounts"))
+    return rows.withColumn("has_error", F.lit(error > 0))
 
 
 # Layer runs
@@ -556,7 +618,7 @@ def bronze_new_files(s: Sample) -> DataFrame:
     """Each label arrives in files of its own; the last run finds nothing new."""
     folder = scratch_path(s.spark, "arrivals")
     target, checkpoint = scratch_path(s.spark, "bronze"), scratch_path(s.spark, "progress")
-    schema = wide_schema("train_fraud_labels")
+    schema = table_schema("train_fraud_labels")
     for info, runs in (("No", 1), ("Yes", 2)):
         arrived = filters.by_label(s.labels(), info)
         arrived.write.mode("append").option("header", True).csv(folder)
@@ -582,7 +644,6 @@ def _run_layers(s: Sample) -> tuple[JobPaths, Callable[[str], str]]:
         write_landing=lambda rows, table: rows.write.mode("append").parquet(f"{store}/{table}"),
         write_mart=lambda rows, table: rows.write.mode("overwrite").parquet(f"{mart_store}/{table}"),
         as_of=DAY,
-        schema_of=wide_schema,
         datasets=True,
         multi_line=False,
     )

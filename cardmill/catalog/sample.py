@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardmill.operators.cleaning import clean_transactions
+from cardmill.functions.money import exact_amount
 from cardmill.operators.enrich import add_labels, enrich_transactions
 
 YEAR = 1996
@@ -141,27 +142,27 @@ class Sample:
 
     def processed(self) -> DataFrame:
         """The processed table, from cleaned transactions stamped with a fixed ingestion day."""
-        transactions = clean_transactions(self.transactions(), text_keys=False)
+        transactions = clean_transactions(self.transactions(), text_keys=False, exact=True)
         transactions = transactions.withColumn("ingestion_date", F.lit(DAY))
         return enrich_transactions(
             transactions, self.mcc(), self.users(), self.cards(), self.labels()
         )
 
-    def spending(self) -> DataFrame:
-        """Labelled transactions under the names the spending analytics use, with the label as a flag.
-
-        The analytics read no client or card column, so only the label join is needed.
-        """
-        transactions = clean_transactions(self.transactions(), text_keys=False)
-        return add_labels(transactions, self.labels()).select(
+    def spending(self, labelled: bool = False) -> DataFrame:
+        """All transactions under the names the spending analytics use; only the flag needs the label join."""
+        transactions = self.transactions()
+        columns = [
             F.col("id").alias("transaction_id"),
             F.col("date").alias("transaction_date"),
             "client_id",
-            "amount",
-            (F.col("info") == "Yes").alias("is_fraud"),
+            exact_amount(transactions, "amount").alias("amount"),
             F.col("use_chip").alias("transaction_type"),
             "mcc",
-        )
+        ]
+        if labelled:
+            transactions = add_labels(transactions, self.labels())
+            columns.append((F.col("info") == "Yes").alias("is_fraud"))
+        return transactions.select(*columns)
 
     def clients(self) -> DataFrame:
         """Users keyed by ``client_id``."""

@@ -15,6 +15,7 @@ from pyspark.ml.evaluation import (
     MulticlassClassificationEvaluator,
     RegressionEvaluator,
 )
+from pyspark.ml.feature import IndexToString
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,6 +32,7 @@ from cardmill.ml.features import (
     string_indexer,
 )
 from cardmill.operators.filters import require_rows
+from cardmill.operators.rows import with_row_index
 from cardmill.session import materialize
 
 
@@ -58,8 +60,8 @@ def area_under_roc(predictions: DataFrame, label: str) -> float:
 
 def rmse_frame(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """RMSE of money predictions as one row ``rmse``, summed exactly."""
-    error = F.col(label).cast("decimal(15,2)") - F.col(prediction).cast("decimal(15,2)")
-    squares = F.sum((error * error).cast("decimal(28,4)")).cast("double")
+    error = F.col(label).try_cast("decimal(15,2)") - F.col(prediction).try_cast("decimal(15,2)")
+    squares = F.sum((error * error).try_cast("decimal(34,4)")).cast("double")
     return predictions.agg(F.sqrt(squares / F.count(error).cast("double")).alias("rmse"))
 
 
@@ -69,6 +71,30 @@ def accuracy_frame(predictions: DataFrame, label: str, prediction: str = "predic
     return predictions.agg((hits / F.count(F.lit(1)).cast("double")).alias("accuracy"))
 
 
+def auc_frame(scores: DataFrame, label: str, score: str = "score") -> DataFrame:
+    """Area under ROC as one row ``auc``, by ranks with ties averaged; null where a class is missing.
+
+    Positions come from ``with_row_index``, whose sort is distributed, and rows with equal scores share the mean of
+    their first and last position: no window or task sees all rows.
+    """
+    rows = scores.select(F.col(label).cast("boolean").alias("_label"), F.col(score).alias("_score")).dropna()
+    placed = with_row_index(rows, ["_score"], "_position")
+    ties = placed.groupBy("_score").agg(
+        F.count_if("_label").alias("_hits"),
+        F.count(F.lit(1)).alias("_n"),
+        (F.min("_position") + F.max("_position") + 2).alias("_twice_rank"),
+    )
+    hits, others = F.sum("_hits"), F.sum(F.col("_n") - F.col("_hits"))
+    twice = F.sum(F.col("_hits") * F.col("_twice_rank")) - hits * (hits + 1)
+    return ties.agg(F.try_divide(twice.cast("double"), (2 * hits * others).cast("double")).alias("auc"))
+
+
+def beats_mean(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+    """One row ``beats_mean``: whether the squared error is at most that of always guessing the mean."""
+    error = F.avg(F.pow(F.col(label) - F.col(prediction), 2))
+    return predictions.agg((error <= F.var_pop(label) * (1 + 1e-9)).alias("beats_mean"))
+
+
 def train_calendar_amount_model(
     df: DataFrame,
     date_col: str = "date",
@@ -111,7 +137,8 @@ def train_brand_classifier(
     # The label index covers both subsets, so that a brand seen only in the test set has an index.
     labels = string_indexer("card_brand", "label", "error").fit(train.unionByName(test))
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", seed=seed)
-    model = Pipeline(stages=[labels, assembler(BRAND_FEATURES, invalid), forest]).fit(train)
+    names = IndexToString(inputCol="prediction", outputCol="predicted_brand", labels=labels.labels)
+    model = Pipeline(stages=[labels, assembler(BRAND_FEATURES, invalid), forest, names]).fit(train)
     predictions = model.transform(test)
     return model, predictions, accuracy(predictions, "label")
 

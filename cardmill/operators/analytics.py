@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cardmill.functions.calendar import in_year, last_days
-from cardmill.functions.money import MONEY_SUM_TYPE, exact_sum
+from cardmill.functions.money import exact_amount, exact_mean, exact_sum
 
 YEAR = 2010
 
@@ -20,15 +20,9 @@ def count_last_days(
 ) -> DataFrame:
     """One row ``n``: transactions of the last ``days`` days before the newest one or ``anchor``.
 
-    Without an anchor the input is read once: rows are counted per calendar day, and the newest day is
-    looked up in those counts, of which there is one per day.
+    The cutoff reaches the scan, so that only recent row groups are counted.
     """
-    if anchor is not None:
-        return last_days(df, date_col, days, anchor).agg(F.count(F.lit(1)).alias("n"))
-    per_day = df.groupBy(F.to_date(date_col).alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    newest = F.max("day").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    recent = per_day.withColumn("newest", newest).where(F.col("day") >= F.date_sub("newest", days))
-    return recent.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return last_days(df, date_col, days, anchor).agg(F.count(F.lit(1)).alias("n"))
 
 
 def monthly_totals(
@@ -42,7 +36,7 @@ def monthly_totals(
     return (
         df.where(in_year(date_col, year))
         .groupBy(F.month(date_col).alias("month"), F.col(client_col).alias(client_col))
-        .agg(exact_sum(amount_col).alias("total_spent"))
+        .agg(exact_sum(exact_amount(df, amount_col)).alias("total_spent"))
     )
 
 
@@ -58,7 +52,7 @@ def top_clients(
     return (
         df.where(in_year(date_col, year))
         .groupBy(client_col)
-        .agg(exact_sum(amount_col).alias("total_spent"))
+        .agg(exact_sum(exact_amount(df, amount_col)).alias("total_spent"))
         .orderBy(F.desc("total_spent"), F.asc(client_col))
         .limit(k)
     )
@@ -100,15 +94,15 @@ def client_metrics(
     best month is the position of the largest. The earliest month wins a tie; a client without any
     amount gets its first month.
     """
-    month, amount = F.month(date_col), F.col(amount_col).cast(MONEY_SUM_TYPE)
+    month, amount = F.month(date_col), exact_amount(df, amount_col)
     sums = [F.sum(F.when(month == m, amount)).alias(f"_m{m}") for m in range(1, 13)]
     metrics = (
         df.where(in_year(date_col, year))
         .groupBy(client_col)
         .agg(
             F.count(F.lit(1)).alias("nb_transactions"),
-            F.avg(amount_col).alias("avg_spent"),
-            F.max(amount_col).alias("max_spent"),
+            exact_mean(amount).alias("avg_spent"),
+            F.max(amount).cast("double").alias("max_spent"),
             F.max(date_col).alias("last_transaction_date"),
             F.min(month).alias("_first_month"),
             *sums,
@@ -148,4 +142,4 @@ def average_by_type(
     df: DataFrame, type_col: str = "transaction_type", amount_col: str = "amount"
 ) -> DataFrame:
     """Mean amount per transaction type."""
-    return df.groupBy(type_col).agg(F.avg(amount_col).alias("avg_amount"))
+    return df.groupBy(type_col).agg(exact_mean(exact_amount(df, amount_col)).alias("avg_amount"))

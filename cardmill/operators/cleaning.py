@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from cardmill.functions.calendar import ingestion_day
-from cardmill.functions.money import clean_money
+from cardmill.functions.money import EXACT_SUFFIX, clean_money, exact_amount
 from cardmill.schemas import INGESTION_COLUMN
 
 # The timestamp format and the money columns of the source tables.
@@ -36,11 +36,11 @@ def stamp_ingestion_partition(df: DataFrame, as_of: date | None = None) -> DataF
     )
 
 
-def clean_transactions(df: DataFrame, text_keys: bool = True) -> DataFrame:
+def clean_transactions(df: DataFrame, text_keys: bool = True, exact: bool = False) -> DataFrame:
     """Parse date and amount; unreadable values become NULL.
 
     ``mcc`` and ``client_id`` become text, as in the cleaned table; ``text_keys=False`` keeps their type
-    for further joins.
+    for further joins. ``exact`` adds ``amount_exact``, the amount as a decimal that sums and means are made of.
     """
     columns = {}
     if isinstance(df.schema["date"].dataType, StringType):
@@ -49,6 +49,8 @@ def clean_transactions(df: DataFrame, text_keys: bool = True) -> DataFrame:
         columns["date"] = F.col("date").cast("timestamp")
     if text_keys:
         columns |= {name: F.col(name).cast("string") for name in ("mcc", "client_id")}
+    if exact:
+        columns |= {f"{name}{EXACT_SUFFIX}": exact_amount(df, name) for name in TRANSACTION_MONEY}
     return clean_money(df.withColumns(columns), *TRANSACTION_MONEY)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardmill.session import materialize
@@ -26,6 +27,17 @@ def replays_in_order(df: DataFrame) -> bool:
     return {leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())} <= STORED_LEAVES
 
 
+def _with_file_places(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Rows with the file and the place in it that they were read from; files are ordered by path."""
+    if not replays_in_order(df):
+        raise ValueError("rows that were shuffled have no input order; name the columns to order by")
+    places = {"_file": "_metadata.file_path", "_block": "_metadata.file_block_start"}
+    try:
+        return df.select("*", *(F.col(c).alias(n) for n, c in places.items())), list(places)
+    except AnalysisException as error:
+        raise ValueError("the input order of several files is unknown here; name the columns to order by") from error
+
+
 def _place(df: DataFrame, order_by: Sequence[str | Column]) -> tuple[DataFrame, DataFrame]:
     """Rows written in order with ``_task`` and ``_place``, and per task its number of rows and first position.
 
@@ -34,12 +46,15 @@ def _place(df: DataFrame, order_by: Sequence[str | Column]) -> tuple[DataFrame,
     another order is written before it is sorted.
     """
     here = F.monotonically_increasing_id()
-    rows = df
+    rows, order_by = df, list(order_by)
+    if not order_by and len(df.inputFiles()) > 1:
+        # Spark hands out large files first, so the order of several files has to be asked for.
+        rows, order_by = _with_file_places(df)
     if order_by:
-        rows = df.withColumn("_input", here)
+        rows = rows.withColumn("_input", here)
         if not replays_in_order(df):
             rows = materialize(rows, "row-input")
-        rows = rows.orderBy(*order_by, "_input").drop("_input")
+        rows = rows.orderBy(*order_by, "_input").select(*[F.col(f"`{c}`") for c in df.columns])
     placed = materialize(rows.withColumns({"_task": F.spark_partition_id(), "_place": here}), "row-index")
     tasks = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
     # One row per writing task, so this window and the broadcasts below stay small at any data size.
@@ -68,30 +83,18 @@ def with_row_index(
     return _number(*_place(df, order_by), index_col)
 
 
-def rows_between(df: DataFrame, order_by: Sequence[str | Column], first: int, end: int) -> DataFrame:
-    """Rows at the positions ``first`` to ``end - 1`` of an order, however deep.
-
-    Only the files of the tasks that hold these positions are read back: the first and the last of these
-    tasks are looked up and filter the scan.
-    """
-    placed, starts = _place(df, order_by)
-    hit = starts.where((F.col("_start") < end) & (F.col("_start") + F.col("_rows") > first))
-    low, high = hit.agg(F.min("_task"), F.max("_task")).first()
-    near, index = placed.where(F.col("_task").between(low, high)), F.col("_index")
-    return _number(near, hit, "_index").where((index >= first) & (index < end)).drop("_index")
-
-
 def split_rows(
     df: DataFrame, parts: int = 4, order_by: Sequence[str | Column] = (), part_col: str = "part"
 ) -> DataFrame:
     """Number the rows 1..``parts`` in contiguous parts whose sizes differ by at most one.
 
-    Without ``order_by`` the input order counts; the first parts take the extra rows.
+    Without ``order_by`` the input order counts, several files by path; the first parts take the extra rows.
     """
     if parts < 1:
         raise ValueError("parts must be at least 1")
-    indexed = with_row_index(df, order_by, "_index")
-    total = indexed.count()
+    placed, starts = _place(df, order_by)
+    total = starts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    indexed = _number(placed, starts, "_index")
     size, extra = divmod(total, parts)
     long_rows = extra * (size + 1)
     in_long = F.expr(f"_index div {size + 1}L")

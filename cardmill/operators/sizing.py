@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Mapping, Sequence
 
@@ -16,6 +17,8 @@ INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 ROW_EXPANSION = 3
 MOST_PARTITIONS = 50_000
 
+logger = logging.getLogger(__name__)
+
 
 def partitions_for(size_bytes: int, target_mb: int = 128) -> int:
     """Number of partitions of at most ``target_mb`` MiB, at least one."""
@@ -51,16 +54,22 @@ def repartition_by_size(
     return df.repartition(partitions_for(path_bytes(df.sparkSession, path), target_mb))
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, target_mb: int = 256) -> int:
+def size_shuffles(
+    spark: SparkSession, input_bytes: int, target_mb: int = 256, most: int = MOST_PARTITIONS
+) -> int:
     """Let shuffles start with enough partitions for an input of this size; AQE merges what stays small.
 
-    The setting is only ever raised, and not beyond what the shuffle service can track. Skewed joins are
+    The settings stay for the session. The number is only ever raised, up to ``most``, which bounds what the
+    driver has to track; where that binds, partitions grow beyond ``target_mb`` and a warning says so. Skewed joins are
     split even if a following aggregation could have used their partitioning: one more shuffle of partial
     results costs less than a hot key in one task.
     """
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(partitions_for(input_bytes * ROW_EXPANSION, target_mb), MOST_PARTITIONS)
+    wanted = partitions_for(input_bytes * ROW_EXPANSION, target_mb)
+    if wanted > most:
+        logger.warning("%d shuffle partitions wanted for %d MiB each, %d taken", wanted, target_mb, most)
+        wanted = most
     if wanted > current:
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
     return max(wanted, current)

@@ -6,7 +6,7 @@ work over any store that holds named tables. Errors are raised, never swallowed.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import partial
@@ -23,9 +23,9 @@ from cardmill.operators.cleaning import (
 )
 from cardmill.operators.enrich import enrich_transactions, labels_in_range
 from cardmill.operators.sizing import path_bytes, size_shuffles
-from cardmill.plans.marts import marts
+from cardmill.plans.marts import KPI_MART, TOP_MART, marts, top_consumers, top_of_kpis
 from cardmill.schemas import PARTITION_COLUMNS, table_schema
-from cardmill.session import JobPaths
+from cardmill.session import JobPaths, drop_copies, materialize
 from cardmill.sinks.files import write_parquet
 from cardmill.sinks.tables import create_database, write_table
 from cardmill.sources.files import ingest_directory
@@ -39,11 +39,23 @@ TableReader = Callable[[SparkSession, str], DataFrame]
 TableWriter = Callable[[DataFrame, str], None]
 
 
+# The numeric keys by which the source tables can be read in parts; other tables have none.
+NUMERIC_KEYS = {
+    "train_fraud_labels": "id",
+    "users_data": "id",
+    "transactions_data": "id",
+    "cards_data": "id",
+    "transaction_validated": "id",
+    "transaction_refused": "id",
+    "transactions_data_processed": "id",
+}
+
+
 def jdbc_reader(
-    target: JdbcTarget, partition_column: str | None = "id", partitions: int = 8
+    target: JdbcTarget, partition_columns: Mapping[str, str] = NUMERIC_KEYS, partitions: int = 8
 ) -> TableReader:
-    """Reads named tables over JDBC."""
-    return lambda spark, table: read_jdbc(spark, target, table, partition_column, partitions)
+    """Reads named tables over JDBC, by several tasks where ``partition_columns`` names a numeric column."""
+    return lambda spark, table: read_jdbc(spark, target, table, partition_columns.get(table), partitions)
 
 
 def jdbc_writer(target: JdbcTarget, mode: str = "overwrite", connections: int = 16) -> TableWriter:
@@ -59,10 +71,17 @@ def run_together(tasks: Iterable[Callable[[], None]], parallel: int = PARALLEL)
 
 
 def load_files(
-    spark: SparkSession, folder: str, write: TableWriter, datasets: bool = False
+    spark: SparkSession,
+    folder: str,
+    write: TableWriter,
+    datasets: bool = False,
+    schema_of: Callable[[str], StructType] | None = table_schema,
 ) -> tuple[list[str], list[str]]:
-    """Files -> relational tables, with inferred types; CSV only, other files are reported."""
-    return ingest_directory(spark, folder, write, lambda _: None, (".csv",), datasets)
+    """Files -> relational tables; CSV only, other files are reported.
+
+    With ``schema_of=None`` the types are inferred, which reads the files twice.
+    """
+    return ingest_directory(spark, folder, write, schema_of or (lambda _: None), (".csv",), datasets)
 
 
 def bronze_from_tables(
@@ -113,11 +132,12 @@ def silver_table(
     transformation: Callable[[DataFrame], DataFrame],
     suffix: str = "_cleaned",
     latest_only: bool = False,
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Bronze table -> transformation -> catalog table."""
+    """Bronze table -> transformation -> catalog table, in partition folders on request."""
     rows = transformation(read_parquet(spark, paths.raw_table(table), latest_only=latest_only))
     name = f"{table}{suffix}"
-    write_table(rows, paths.database, name, paths.warehouse_table(name))
+    write_table(rows, paths.database, name, paths.warehouse_table(name), partition_by)
 
 
 def silver_copy(spark: SparkSession, paths: JobPaths, table: str) -> None:
@@ -130,14 +150,14 @@ def silver_copy(spark: SparkSession, paths: JobPaths, table: str) -> None:
 def run_silver(
     spark: SparkSession, paths: JobPaths, mcc_key: str = "mcc", parallel: int = PARALLEL
 ) -> None:
-    """Three cleaned tables, the processed table and two copies."""
+    """Three cleaned tables, the processed table (by label, which the two label marts prune) and two copies."""
     size_shuffles(spark, path_bytes(spark, paths.raw_table("transactions_data")))
     create_database(spark, paths.database, paths.warehouse)
 
     def process(transactions: DataFrame) -> DataFrame:
         labels = read_parquet(spark, paths.raw_table("train_fraud_labels"))
         return enrich_transactions(
-            clean_transactions(transactions, text_keys=False),
+            clean_transactions(transactions, text_keys=False, exact=True),
             mcc=read_parquet(spark, paths.raw_table("mcc_codes")),
             users=read_parquet(spark, paths.raw_table("users_data")),
             cards=read_parquet(spark, paths.raw_table("cards_data")),
@@ -148,7 +168,7 @@ def run_silver(
     table, copy = partial(silver_table, spark, paths), partial(silver_copy, spark, paths)
     run_together(
         [
-            partial(table, "transactions_data", process, "_processed", latest_only=True),
+            partial(table, "transactions_data", process, "_processed", latest_only=True, partition_by=["info"]),
             partial(table, "transactions_data", clean_transactions, latest_only=True),
             partial(table, "cards_data", clean_cards),
             partial(table, "users_data", clean_users),
@@ -166,13 +186,27 @@ def run_marts(
     catalogue: Mapping[str, Callable[[SparkSession], DataFrame]] | None = None,
     parallel: int = PARALLEL,
 ) -> list[str]:
-    """Compute every mart and hand it to ``write(rows, name)``; returns the names."""
-    catalogue = marts(database) if catalogue is None else catalogue
+    """Compute every mart and hand it to ``write(rows, name)``; returns the names.
+
+    The two aggregated marts of the standard catalogue share one scan: the top list comes from the KPIs, which are
+    written to the shared folder once and dropped at the end.
+    """
+    catalogue = dict(marts(database) if catalogue is None else catalogue)
+    names, copies = list(catalogue), []
+    if {KPI_MART, TOP_MART} <= set(names) and _standard(catalogue[TOP_MART]):
+        kpis = materialize(catalogue[KPI_MART](spark), "kpis")
+        copies.append(kpis)
+        catalogue |= {KPI_MART: lambda _: kpis, TOP_MART: lambda _: top_of_kpis(kpis)}
     run_together(
         [lambda name=name, query=query: write(query(spark), name) for name, query in catalogue.items()],
         parallel,
     )
-    return list(catalogue)
+    drop_copies(*copies)
+    return names
+
+
+def _standard(mart: Callable) -> bool:
+    return isinstance(mart, partial) and mart.keywords.get("query") is top_consumers
 
 
 def run_all(
@@ -188,7 +222,7 @@ def run_all(
     multi_line: bool = True,
 ) -> list[str]:
     """The whole run: landing files to tables, tables and files to bronze, silver, marts."""
-    landed, _ = load_files(spark, landing_folder, write_landing, datasets)
+    landed, _ = load_files(spark, landing_folder, write_landing, datasets, schema_of)
     bronze_from_tables(spark, read_landing, paths, landed, as_of)
     bronze_from_files(spark, paths, as_of, schema_of, datasets, multi_line)
     run_silver(spark, paths)

@@ -32,5 +32,9 @@ def serve_jdbc(
     """The same from a relational store, which cuts the page itself."""
     mart, order_by = ENDPOINTS[endpoint]
     table = target.qualified(mart)
-    query = page_query(table, order_by, page, size) if order_by else f"SELECT * FROM {table}"
+    if order_by:
+        columns = read_jdbc_query(spark, target, f"SELECT * FROM {table} WHERE 1 = 0").columns
+        query = page_query(table, order_by, page, size, columns)
+    else:
+        query = f"SELECT * FROM {table}"
     return records(read_jdbc_query(spark, target, query))

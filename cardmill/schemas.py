@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -42,15 +42,6 @@ SOURCE_COLUMNS = {
 INGESTION_COLUMN = "ingestion_date"
 PARTITION_COLUMNS = ("year", "month", "day")
 
-SQL_TYPES = {
-    "int": IntegerType(),
-    "bigint": LongType(),
-    "string": StringType(),
-    "double": DoubleType(),
-    "timestamp": TimestampType(),
-    "date": DateType(),
-}
-
 # Columns that identify rows of other tables; they outgrow INT first.
 KEY_COLUMNS = ("id", "client_id", "card_id", "merchant_id", "mcc")
 
@@ -71,29 +62,46 @@ def table_schema(
     table: str,
     ingestion: bool = False,
     partitions: bool = False,
-    wide_keys: bool = False,
+    wide_keys: bool = True,
 ) -> StructType:
     """Schema of a source table; an unknown name raises ``KeyError``.
 
-    ``ingestion`` adds the ingestion date, ``partitions`` the year/month/day of the bronze layout and
-    ``wide_keys`` declares INT keys as BIGINT, for tables with more rows than INT can number.
+    ``ingestion`` adds the ingestion date and ``partitions`` the year/month/day of the bronze layout. Keys are
+    BIGINT, since tables may have more rows than INT can number; ``wide_keys=False`` declares them INT, and then
+    the readers raise an error for a key that does not fit.
     """
-    fields = []
-    for column in SOURCE_COLUMNS[table].split(", "):
-        name, kind = column.split(" ")
-        if wide_keys and kind == "int" and name in KEY_COLUMNS:
-            kind = "bigint"
-        fields.append((name, kind))
-    if ingestion:
-        fields.append((INGESTION_COLUMN, "date"))
-    if partitions:
-        fields += [(name, "int") for name in PARTITION_COLUMNS]
     schema = StructType()
-    for name, kind in fields:
-        schema = schema.add(name, SQL_TYPES[kind], nullable=True)
+    for field in StructType.fromDDL(SOURCE_COLUMNS[table]):
+        wide = wide_keys and field.name in KEY_COLUMNS and isinstance(field.dataType, IntegerType)
+        schema = schema.add(field.name, LongType() if wide else field.dataType)
+    if ingestion:
+        schema = schema.add(INGESTION_COLUMN, DateType())
+    for name in PARTITION_COLUMNS if partitions else ():
+        schema = schema.add(name, IntegerType())
     return schema
 
 
+def read_as(schema: StructType) -> StructType:
+    """The schema that text files are parsed with: INT keys as BIGINT, so that large ones are seen."""
+    out = StructType()
+    for f in schema.fields:
+        narrow = f.name in KEY_COLUMNS and isinstance(f.dataType, IntegerType)
+        out = out.add(f.name, LongType() if narrow else f.dataType)
+    return out
+
+
+def narrow_keys(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` in ``schema``; a key beyond INT raises an error instead of becoming NULL."""
+
+    def fit(name: str) -> Column:
+        key = F.col(f"`{name}`")
+        error = F.raise_error(F.concat(F.lit(f"key {name} does not fit INT: "), key.cast("string")))
+        return F.when(key.isNull() | key.between(-(2**31), 2**31 - 1), key.try_cast("int")).otherwise(error)
+
+    keys = [f.name for f in schema.fields if f.name in KEY_COLUMNS and isinstance(f.dataType, IntegerType)]
+    return df.withColumns({name: fit(name) for name in keys}) if keys else df
+
+
 def ddl(schema: StructType) -> str:
     """``name TYPE, ...`` for a schema, usable as a read schema or in CREATE TABLE."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields)

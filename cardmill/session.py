@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -61,16 +62,33 @@ def get_session(
     return spark
 
 
+_open_blocks: dict[int, tuple[int, str]] = {}
+_open_blocks_lock = threading.Lock()
+
+
 @contextmanager
 def timestamp_statistics(spark: SparkSession) -> Iterator[None]:
-    """Let Parquet writes inside the block keep statistics of timestamps, in any session."""
+    """Let Parquet writes inside the block keep statistics of timestamps, in any session.
+
+    Blocks of several threads may overlap: the first one sets the option and the last one restores it.
+    """
     key, value = TIMESTAMP_TYPE
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
+    session = spark._jsparkSession.hashCode()
+    with _open_blocks_lock:
+        count, before = _open_blocks.get(session, (0, None))
+        if not count:
+            before = spark.conf.get(key)
+            spark.conf.set(key, value)
+        _open_blocks[session] = count + 1, before
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        with _open_blocks_lock:
+            count, before = _open_blocks.pop(session)
+            if count > 1:
+                _open_blocks[session] = count - 1, before
+            else:
+                spark.conf.set(key, before)
 
 
 def scratch_base(spark: SparkSession) -> str:
@@ -106,6 +124,16 @@ def drop_scratch(spark: SparkSession) -> bool:
     return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
 
 
+def drop_copies(*copies: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these frames, once nothing reads them any more."""
+    for copy in copies:
+        spark = copy.sparkSession
+        for folder in {name.rpartition("/")[0] for name in copy.inputFiles()}:
+            if f"/cardmill/{spark.sparkContext.applicationId}/" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of ``df`` by writing it to the shared folder and reading it back.
 

@@ -48,13 +48,19 @@ def bounds_query(table: str, column: str) -> str:
     return f"SELECT min({column}) AS lower_bound, max({column}) AS upper_bound FROM {table}"
 
 
-def page_query(table: str, order_by: Sequence[str], page: int = 1, size: int = 20) -> str:
-    """One page of a table in a mandatory order, as SQL for the database."""
+def page_query(
+    table: str, order_by: Sequence[str], page: int = 1, size: int = 20, columns: Sequence[str] = ()
+) -> str:
+    """One page of a table in a mandatory order, as SQL for the database.
+
+    All ``columns`` that are not in the order end it, so that rows with equal keys are on one page each.
+    """
     if page < 1 or size < 1:
         raise ValueError("page and size must be at least 1")
     if not order_by:
         raise ValueError("a page needs an order")
-    order = ", ".join(order_by)
+    named = {o.split()[0].strip('"') for o in order_by}
+    order = ", ".join([*order_by, *(f'"{c}"' for c in columns if c not in named)])
     return f"SELECT * FROM {table} ORDER BY {order} LIMIT {size} OFFSET {(page - 1) * size}"
 
 
@@ -106,17 +112,30 @@ def write_jdbc(
     partition is one transaction, so a failed task leaves no rows behind; a task whose commit was lost with
     its executor inserts again, so give the table a unique key where that matters.
     """
-    writer = (
-        df.write.format("jdbc")
-        .options(**target.options())
-        .option("dbtable", table)
-        .option("numPartitions", connections)
-        .option("batchsize", batch_size)
-        .option("truncate", truncate)
-    )
-    if column_types:
-        writer = writer.option("createTableColumnTypes", column_types)
-    writer.mode(mode).save()
+    options = write_options(target, table, connections, batch_size, truncate, column_types)
+    if df.rdd.getNumPartitions() > connections:
+        # A coalesce would run the work before it in few tasks, too; a shuffle keeps that parallel.
+        df = df.repartition(connections)
+    df.write.format("jdbc").options(**options).mode(mode).save()
+
+
+def write_options(
+    target: JdbcTarget,
+    table: str,
+    connections: int = 16,
+    batch_size: int = 10_000,
+    truncate: bool = False,
+    column_types: str | None = None,
+) -> dict[str, str]:
+    """Writer options for a table of the target's schema, the one that ``read_jdbc`` reads."""
+    given = {
+        "dbtable": target.qualified(table),
+        "numPartitions": str(connections),
+        "batchsize": str(batch_size),
+        "truncate": str(truncate).lower(),
+        "createTableColumnTypes": column_types,
+    }
+    return {**target.options(), **{k: v for k, v in given.items() if v is not None}}
 
 
 def create_jdbc_table(df: DataFrame, target: JdbcTarget, table: str) -> None:

@@ -14,6 +14,21 @@ class SourceFile:
     length: int
 
 
+def has_files(spark: SparkSession, folder: str) -> bool:
+    """Whether ``folder`` has a file that is not hidden; asks for entries one after the other and stops at the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return first_file(path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatusIterator(path))
+
+
+def first_file(entries) -> bool:
+    """Whether a listing has a visible file; reads no further than that."""
+    while entries.hasNext():
+        status = entries.next()
+        if status.isFile() and not status.getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def list_files(spark: SparkSession, folder: str, datasets: bool = False) -> list[SourceFile]:
     """Files directly in ``folder`` on any file system Spark can read; subfolders are ignored.
 

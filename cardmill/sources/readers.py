@@ -12,23 +12,31 @@ from pyspark.sql.types import StructType
 
 from cardmill.operators.filters import preview
 from cardmill.operators.sizing import repartition_by_size
-from cardmill.sources.listing import list_files
+from cardmill.schemas import narrow_keys, read_as
+from cardmill.sources.listing import has_files
 
 JSON_TARGET_MB = 40
 
 logger = logging.getLogger(__name__)
 
 
+def _structure(schema: StructType | str) -> StructType:
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 def read_csv(
     spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None
 ) -> DataFrame:
     """CSV with a header row. Without a schema the types are inferred, which reads the data twice.
 
-    With a schema, columns that the file lacks and cells that do not parse are NULL.
+    With a schema, columns that the file lacks and cells that do not parse are NULL; keys declared INT that do
+    not fit are an error.
     """
-    reader = spark.read.option("header", True)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path if isinstance(path, str) else list(path))
+    reader, paths = spark.read.option("header", True), path if isinstance(path, str) else list(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(paths)
+    schema = _structure(schema)
+    return narrow_keys(reader.schema(read_as(schema)).csv(paths), schema)
 
 
 def read_json(
@@ -43,8 +51,9 @@ def read_json(
     A multi-line file is read by one task; give large data as many files or as JSON lines with
     ``multi_line=False``, which is splittable and needs no repartitioning.
     """
-    reader = spark.read.schema(schema).option("multiLine", multi_line)
-    rows = reader.json(path if isinstance(path, str) else list(path))
+    schema = _structure(schema)
+    reader = spark.read.schema(read_as(schema)).option("multiLine", multi_line)
+    rows = narrow_keys(reader.json(path if isinstance(path, str) else list(path)), schema)
     return repartition_by_size(rows, path, target_mb) if multi_line else rows
 
 
@@ -90,7 +99,7 @@ def partition_days(spark: SparkSession, path: str) -> dict[date, str]:
 def latest_partition(spark: SparkSession, path: str) -> str:
     """Folder of the newest ingestion day that holds files, compared as dates."""
     for _, folder in sorted(partition_days(spark, path).items(), reverse=True):
-        if list_files(spark, folder):
+        if has_files(spark, folder):
             return folder
     raise ValueError(f"no year/month/day partition with files below {path}")
 

@@ -2,14 +2,14 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from cardmill.functions.money import clean_money, exact_sum, money
+from cardmill.functions.money import clean_money, exact_amount, exact_mean, exact_sum, money
 from cardmill.operators import cleaning
 
 
 def test_money_strings(spark):
-    texts = ["$5.00", "$-77.00", "-3", "", None, "$1,234.00", "abc"]
+    texts = ["$5.00", "$-77.00", "-3", "", None, "$1,234.00", "abc", "NaN", "$Infinity", "1e39"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(money(F.col("t")).alias("m"))
-    assert [r.m for r in rows.collect()] == [5.0, -77.0, -3.0, None, None, None, None]
+    assert [r.m for r in rows.collect()] == [5.0, -77.0, -3.0] + [None] * 7
     assert rows.schema["m"].dataType.simpleString() == "float"
 
 
@@ -49,6 +49,23 @@ def test_stamps(spark):
     assert today is True
 
 
+def test_sums_come_from_the_text(spark):
+    rows = spark.createDataFrame([("$200000.01",), ("$400000.03",), ("$0.005",), ("$20000000000000.00",), ("NaN",)], "amount string")
+    cleaned = cleaning.clean_transactions(
+        rows.withColumns({c: F.lit(None).cast("string") for c in ("date", "mcc", "client_id")}), exact=True
+    )
+    assert cleaned.schema["amount"].dataType.simpleString() == "float"
+    for frame in (rows, cleaned):
+        assert frame.agg(exact_sum(exact_amount(frame, "amount")).alias("s")).first().s == 20000000600000.045
+
+
+def test_means_do_not_depend_on_partitions(spark):
+    rows = spark.range(20_000).select((F.rand(5) * 2000).cast("float").alias("amount"))
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    means = {rows.repartition(n).agg(exact_mean(exact_amount(rows, "amount")).alias("m")).first().m for n in (1, 3, 16)}
+    assert len(means) == 1
+
+
 def test_exact_sum_ignores_order(spark):
     rows = spark.createDataFrame([(0.1,)] * 10 + [(1e9,), (-1e9,)], "a double")
     assert rows.agg(exact_sum("a").alias("s")).first().s == 1.0

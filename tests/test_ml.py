@@ -56,6 +56,13 @@ def test_evaluators_agree_with_the_frames(spark):
     assert training.accuracy_frame(rows, "label").first().accuracy == pytest.approx(training.accuracy(rows, "label"))
 
 
+def test_auc_by_ranks(spark):
+    rows = spark.range(0, 400, 1, 5).select((F.hash("id") % 3 == 0).alias("label"), (F.col("id") * 7 % 13).cast("double").alias("score"))
+    expected = training.area_under_roc(rows.select(F.col("label").cast("double").alias("label"), F.col("score").alias("rawPrediction")), "label")
+    assert training.auc_frame(rows, "label").first().auc == pytest.approx(expected)
+    assert training.auc_frame(rows.where("label"), "label").first().auc is None
+
+
 def learnable(spark, n=600):
     hot = (F.hash("id") % 2 == 0)
     return spark.range(n).select(

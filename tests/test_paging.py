@@ -1,10 +1,12 @@
+import re
+
 import pytest
-from plans import scan_rows, scans
+from plans import plan
 from pyspark.sql import functions as F
 
 from cardmill.operators import paging
 from cardmill.operators.filters import preview, require_rows
-from cardmill.operators.rows import replays_in_order, rows_between, split_rows, with_row_index
+from cardmill.operators.rows import replays_in_order, split_rows, with_row_index
 
 
 def test_pages(spark):
@@ -16,13 +18,50 @@ def test_pages(spark):
             paging.paginate(rows, **{"order_by": ["id"], **bad})
 
 
-@pytest.mark.parametrize("top_rows", [100_000, 0, 25])
-def test_pages_put_together_are_the_sorted_table(spark, top_rows):
+@pytest.mark.parametrize(("first", "ranges"), [(1_000, 1_000_000), (0, 1_000_000), (25, 5)])
+def test_pages_put_together_are_the_sorted_table(spark, monkeypatch, first, ranges):
+    monkeypatch.setattr(paging, "FIRST_ROWS", first)
+    monkeypatch.setattr(paging, "RANGE_ROWS", ranges)
     rows = spark.range(53).select("id", (F.col("id") * 7 % 10).alias("k")).repartition(6)
-    pages = [paging.paginate(rows, [F.desc("k"), "id"], p, 10, top_rows).collect() for p in range(1, 8)]
+    pages = [paging.paginate(rows, ["k desc", "id"], p, 10).collect() for p in range(1, 8)]
     assert [r for page in pages for r in page] == rows.orderBy(F.desc("k"), "id").collect()
 
 
+@pytest.mark.parametrize(("first", "ranges"), [(1_000, 1_000_000), (0, 1_000_000), (0, 100)])
+def test_pages_of_equal_keys_hold_every_row_once(spark, monkeypatch, first, ranges):
+    monkeypatch.setattr(paging, "FIRST_ROWS", first)
+    monkeypatch.setattr(paging, "RANGE_ROWS", ranges)
+    rows = spark.range(2000).select((F.col("id") % 3).alias("k"), "id", F.lit(None).cast("string").alias("s"))
+    seen = [r.id for p in range(1, 5) for r in paging.paginate(rows.repartition(5), ["k"], p, 500).collect()]
+    assert sorted(seen) == list(range(2000))
+
+
+@pytest.mark.parametrize("order", [["t desc"], ["d desc"], ["n desc", "t"], ["b desc", "n"], ["m desc"]])
+def test_falling_orders_of_all_types(spark, monkeypatch, order):
+    monkeypatch.setattr(paging, "FIRST_ROWS", 0)
+    rows = spark.range(60).select(
+        F.when(F.col("id") % 7 > 0, F.repeat(F.lit("x"), (F.col("id") % 5).cast("int"))).alias("t"),
+        F.timestamp_seconds(F.col("id") * 7919 % 100_000).alias("d"), (F.col("id") * 1.5 - 20).alias("n"),
+        (F.col("id") % 2 == 0).alias("b"), (F.col("id") * 37 % 60).cast("decimal(9,2)").alias("m"),
+    )
+    sort = [F.col(n).desc() if down else F.col(n).asc() for n, down in paging.total_order(rows, order)]
+    got = [r for p in (1, 2, 3) for r in paging.paginate(rows.repartition(4), order, p, 20).collect()]
+    assert got == rows.orderBy(*sort).collect()
+
+
+def test_deep_pages_sort_only_their_range(spark, monkeypatch, conf):
+    """The rows of other key ranges are filtered out before the sort, and no full row is shuffled or written."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    monkeypatch.setattr(paging, "FIRST_ROWS", 0)
+    rows = spark.range(0, 80_000, 1, 8).select((F.col("id") * 7919 % 80_000).alias("v"), F.lit("wide").alias("w"))
+    page = paging.paginate(rows, ["v"], 4501, 10)
+    assert [r.v for r in page.collect()] == list(range(45_000, 45_010))
+    text = plan(page)
+    assert "rangepartitioning" not in text and "Subquery" in text
+    taken = [int(x) for x in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", text)]
+    assert taken and max(taken) < 25_000
+
+
 def test_keyset_pages(spark):
     rows, last, seen = spark.range(45).repartition(3), None, []
     while page := paging.keyset_page(rows, "id", last, 20).collect():
@@ -63,22 +102,25 @@ def test_only_stored_rows_replay_in_order(spark, sample):
     cached.unpersist()
 
 
-def test_positions_read_only_their_files(spark, conf):
-    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
-    rows = spark.range(0, 80_000, 1, 8).select((F.col("id") * 7919 % 80_000).alias("v"))
-    got = rows_between(rows, ["v"], 45_000, 45_010)
-    assert sorted(r.v for r in got.collect()) == list(range(45_000, 45_010))
-    assert "GreaterThanOrEqual(_task," in scans(got)
-    assert 10 < min(scan_rows(got)) < 40_000
-    assert rows_between(rows, ["v"], 90_000, 90_010).collect() == []
-
-
 def test_row_index_in_input_order(spark):
     rows = spark.range(0, 50, 1, 7).select((F.col("id") * 37 % 50).alias("v"))
     got = with_row_index(rows).orderBy("row_index").collect()
     assert [r.v for r in got] == [i * 37 % 50 for i in range(50)]
 
 
+def test_row_index_over_several_files(spark, folder):
+    """Files of unequal size come in the order of their paths."""
+    sizes = [10, 3000, 50]
+    for i, n in enumerate(sizes):
+        start = sum(sizes[:i])
+        spark.range(start, start + n, 1, 1).write.parquet(f"{folder}/f{i}")
+    rows = spark.read.option("recursiveFileLookup", True).parquet(folder)
+    assert all(r.row_index == r.id for r in with_row_index(rows).collect())
+    assert [r.n for r in split_rows(rows, 3).groupBy("part").agg(F.max("id").alias("n")).orderBy("part").collect()] == [1019, 2039, 3059]
+    with pytest.raises(ValueError, match="order"):
+        with_row_index(rows.repartition(2))
+
+
 @pytest.mark.parametrize(
     ("n", "parts", "sizes"),
     [(10, 4, [3, 3, 2, 2]), (8, 4, [2, 2, 2, 2]), (2, 4, [1, 1]), (1, 1, [1])],

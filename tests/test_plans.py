@@ -1,5 +1,7 @@
 """Physical plans: what must be in them and what must not."""
 
+import glob
+
 import pytest
 from conftest import SF
 from plans import plan, scan_rows, scans
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from cardmill.catalog.queries import QUERIES
 from cardmill.functions.calendar import in_year, last_days
 from cardmill.operators import analytics
-from cardmill.plans import marts
+from cardmill.plans import jobs, marts
 from cardmill.sinks.files import write_parquet
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonRDD", "MapIn")
@@ -72,9 +74,40 @@ def test_top_k_shapes(sample, table):
 
 def test_partial_aggregation_before_every_shuffle(sample):
     text = plan(marts.client_kpis(sample.processed()))
-    assert "partial_count(amount" in text and "partial_avg(amount" in text
+    assert "partial_count(amount" in text and "partial_sum(" in text
 
 
 def test_shallow_page_has_no_full_sort(spark):
     text = plan(QUERIES["page_fraud"](spark, SF))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def test_average_by_type_shuffles_once(spark):
+    assert plan(QUERIES["q11_avg_by_type"](spark, SF)).count("Exchange hashpartitioning") == 1
+
+
+def test_label_marts_read_their_partition(spark, sample, folder):
+    path = folder + "/processed"
+    write_parquet(sample.processed(), path, partition_by=["info"])
+    stored = spark.read.parquet(path)
+    for mart, label in ((marts.transaction_validated, "Yes"), (marts.transaction_refused, "No")):
+        assert "(info#" in scans(mart(stored)) and f" = {label})" in scans(mart(stored)).split("PartitionFilters")[1].split("\n")[0]
+
+
+def test_both_aggregated_marts_come_from_one_scan(spark, sample, folder):
+    """The two marts of a standard run read the copy of the KPIs, not the processed table."""
+    write_parquet(sample.processed(), folder + "/processed")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS one_scan LOCATION '{folder}/db'")
+    spark.sql(f"CREATE TABLE one_scan.transactions_data_processed USING parquet LOCATION '{folder}/processed'")
+    inputs = {}
+
+    def write(rows, name):
+        inputs[name] = rows.inputFiles()
+        rows.count()
+
+    chosen = {k: marts.marts("one_scan")[k] for k in (marts.KPI_MART, marts.TOP_MART)}
+    jobs.run_marts(spark, write, "one_scan", chosen)
+    assert inputs[marts.KPI_MART] == inputs[marts.TOP_MART]
+    assert not any("/processed/" in f for files in inputs.values() for f in files)
+    assert not glob.glob(inputs[marts.KPI_MART][0].removeprefix("file:"))
+    spark.sql("DROP DATABASE one_scan CASCADE")

@@ -1,8 +1,11 @@
+import glob
 import json
 import os
+import threading
 from collections import Counter
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from cardmill.catalog.sample import Sample
 from cardmill.operators.cleaning import stamp_ingestion_partition
 from cardmill.plans import jobs, marts, served
 from cardmill.schemas import PARTITION_COLUMNS, table_schema
-from cardmill.session import JobPaths
+from cardmill.session import JobPaths, timestamp_statistics
 from cardmill.sinks import files, tables
 from cardmill.sources.readers import read_parquet
 from cardmill.streaming.ingest import ingest_new_files
@@ -141,6 +144,35 @@ def test_stream_takes_each_file_once(spark, folder):
     assert sorted((r.id, r.info, r.year, r.month, r.day) for r in got) == [(1, "Yes", 2025, 5, 1), (2, "No", 2025, 5, 1)]
 
 
+def test_overlapping_writes_keep_statistics(spark, folder):
+    """In a plain session two writers overlap: both files hold microseconds and the session's option comes back."""
+    key = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "INT96")
+    try:
+        inside, leave = threading.Event(), threading.Event()
+
+        def slow():
+            with timestamp_statistics(spark):
+                inside.set()
+                leave.wait(30)
+                files.write_parquet(spark.range(3).select(F.current_timestamp().alias("t")), folder + "/slow")
+
+        thread = threading.Thread(target=slow)
+        thread.start()
+        inside.wait(30)
+        files.write_parquet(spark.range(3).select(F.current_timestamp().alias("t")), folder + "/quick")
+        assert spark.conf.get(key) == "TIMESTAMP_MICROS"
+        leave.set()
+        thread.join()
+        assert spark.conf.get(key) == "INT96"
+    finally:
+        spark.conf.set(key, before)
+    for name in ("slow", "quick"):
+        part = glob.glob(f"{folder}/{name}/part-*.parquet")[0]
+        assert pq.ParquetFile(part).schema.column(0).physical_type == "INT64"
+
+
 def test_a_failing_job_is_not_hidden():
     done = []
 
@@ -153,7 +185,7 @@ def test_a_failing_job_is_not_hidden():
 
 
 def test_whole_run(spark, folder):
-    """Plain single files as sources, INT keys, the relational store replaced by folders."""
+    """Plain single files as sources, default schemas, the relational store replaced by folders."""
     sample = Sample(spark, SF)
     os.makedirs(folder + "/landing")
     os.makedirs(folder + "/source")
@@ -164,18 +196,23 @@ def test_whole_run(spark, folder):
     sample.mcc().toPandas().to_json(f"{folder}/source/mcc_codes.json", orient="records", indent=1)
     paths = JobPaths(folder + "/source", folder + "/raw", folder + "/warehouse", "whole_run")
     stored = {}
+
+    def write_mart(rows, table):
+        rows.write.parquet(f"{folder}/marts/{table}")
+        stored[table] = spark.read.parquet(f"{folder}/marts/{table}")
+
     names = jobs.run_all(
         spark, paths, folder + "/landing",
         read_landing=lambda session, table: session.read.parquet(f"{folder}/store/{table}"),
         write_landing=lambda rows, table: rows.write.mode("append").parquet(f"{folder}/store/{table}"),
-        write_mart=lambda rows, table: stored.update({table: rows}),
+        write_mart=write_mart,
         as_of=date(2025, 5, 22),
     )
     assert names == list(marts.MARTS) and set(stored) == set(names)
     processed = stored["transactions_data_processed"]
     assert len(processed.columns) == 39
     assert Counter(processed.collect()) == Counter(
-        spark.createDataFrame(sample.processed().collect(), processed.schema).collect()
+        spark.createDataFrame(sample.processed().select(processed.columns).collect(), processed.schema).collect()
     )
     assert stored["transactions_data"].schema["client_id"].dataType.simpleString() == "string"
     assert stored["mcc_codes"].columns == ["id", "item"]

@@ -10,6 +10,7 @@ from pyspark.sql.types import BinaryType, DecimalType, FloatType, StructField
 from cardmill import schemas
 from cardmill.operators import sizing
 from cardmill.operators.cleaning import stamp_ingestion_partition
+from cardmill.plans import jobs
 from cardmill.session import JobPaths, drop_scratch, materialize, scratch_path
 from cardmill.sinks.files import convert_json_map, write_parquet
 from cardmill.sources import files, jdbc, listing, readers
@@ -25,8 +26,9 @@ def test_schemas():
     transactions = schemas.table_schema("transactions_data", ingestion=True, partitions=True)
     assert len(transactions) == 16
     assert transactions["zip"].dataType.simpleString() == "double"
-    assert schemas.table_schema("transactions_data", wide_keys=True)["mcc"].dataType.simpleString() == "bigint"
-    assert schemas.table_schema("users_data", wide_keys=True)["current_age"].dataType.simpleString() == "int"
+    assert schemas.table_schema("transactions_data")["mcc"].dataType.simpleString() == "bigint"
+    assert schemas.table_schema("transactions_data", wide_keys=False)["mcc"].dataType.simpleString() == "int"
+    assert schemas.table_schema("users_data")["current_age"].dataType.simpleString() == "int"
     assert schemas.ddl(schemas.table_schema("mcc_codes")) == "`id` STRING, `item` STRING"
     assert [len(schemas.table_schema(t, True)) for t in ("train_fraud_labels", "users_data", "cards_data")] == [3, 15, 14]
     with pytest.raises(KeyError):
@@ -57,6 +59,19 @@ def test_csv(spark, folder):
     assert [f.dataType.simpleString() for f in inferred.schema] == ["int", "double", "timestamp"]
 
 
+def test_large_keys(spark, folder):
+    path = write(folder + "/t.csv", "id,info\n3000000000,Yes\n1,No\n")
+    assert [r.id for r in readers.read_csv(spark, path, schemas.table_schema("train_fraud_labels")).collect()] == [3000000000, 1]
+    narrow = schemas.table_schema("train_fraud_labels", wide_keys=False)
+    rows = readers.read_csv(spark, path, narrow)
+    assert rows.schema["id"].dataType.simpleString() == "int"
+    with pytest.raises(Exception, match="does not fit INT"):
+        rows.collect()
+    lines = write(folder + "/t.json", '{"id": 3000000000, "info": "Yes"}\n')
+    with pytest.raises(Exception, match="does not fit INT"):
+        readers.read_json(spark, lines, narrow, multi_line=False).collect()
+
+
 def test_csv_column_missing_in_the_file_is_null(spark, folder):
     path = write(folder + "/t.csv", "id,info\n1,Yes\n")
     wider = schemas.table_schema("train_fraud_labels", ingestion=True)
@@ -104,6 +119,27 @@ def test_latest_partition_compares_dates(spark, folder):
         readers.latest_partition(spark, folder)
 
 
+def test_newest_partition_asks_for_one_file(spark, folder):
+    write_parquet(stamp_ingestion_partition(spark.range(0, 30, 1, 6), date(2025, 5, 1)), folder + "/d", "append", schemas.PARTITION_COLUMNS)
+    day = readers.latest_partition(spark, folder + "/d")
+    assert len(listing.list_files(spark, day)) == 6
+    asked = []
+
+    class Entries:
+        def hasNext(self):
+            return True
+
+        def next(self):
+            asked.append(1)
+            return next(real)
+
+    real = iter(spark._jvm.org.apache.hadoop.fs.Path(day).getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(
+        spark._jvm.org.apache.hadoop.fs.Path(day)))
+    visible = [s for s in real if not s.getPath().getName().startswith((".", "_"))]
+    real = iter(visible)
+    assert listing.first_file(Entries()) and len(asked) == 1
+
+
 def test_sql_scan_and_overview(spark, capfd):
     assert readers.read_sql(spark, "SELECT 1 AS one", show=2).first().one == 1
     assert "default" in readers.catalog_overview(spark)["databases"]
@@ -240,6 +276,12 @@ def test_jdbc_options(spark):
         "SELECT min(id) AS lower_bound, max(id) AS upper_bound FROM public.t"
     )
     assert jdbc.page_query("t", ["id"], 3) == "SELECT * FROM t ORDER BY id LIMIT 20 OFFSET 40"
+    assert jdbc.page_query("t", ["id"], 1, 5, ["info", "id"]) == 'SELECT * FROM t ORDER BY id, "info" LIMIT 5 OFFSET 0'
+    gold = jdbc.JdbcTarget("jdbc:postgresql://db/x", schema="gold")
+    written = jdbc.write_options(gold, "t", 4, column_types="a TEXT")
+    assert written["dbtable"] == gold.qualified("t") == "gold.t"
+    assert (written["numPartitions"], written["truncate"], written["createTableColumnTypes"]) == ("4", "false", "a TEXT")
+    assert not {"top_10_consu", "kpi_by_consu_id", "mcc_codes"} & set(jobs.NUMERIC_KEYS)
     for page, size, order in ((0, 20, ["id"]), (1, 0, ["id"]), (1, 20, [])):
         with pytest.raises(ValueError):
             jdbc.page_query("t", order, page, size)

@@ -17,7 +17,8 @@ from cardmill.llm.common import free, ship
 
 WINDOW_BYTES = 128
 LEVEL = 9
-SHARED_BYTES, OWN_BYTES = 8192, 1024
+SHARED_BYTES, OWN_BYTES = 8192, 2048
+TELLING_SHARE, TELLING_RATIO = 0.01, 20
 # Bound of the training sample: documents of each class, and bytes of a document that may be in it.
 TOXIC_DOCS, ORDINARY_DOCS, SAMPLE_DOC_BYTES = 3000, 6000, 16384
 FITTED = 0.7  # the part of the sample that makes the dictionaries; the rest calibrates
@@ -96,11 +97,21 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> list[float]:
     return [float(w[0] - slopes @ mean), *map(float, slopes)]
 
 
+def _contexts(texts: list[bytes]) -> Counter:
+    """For each word the number of different words before it; copies of a text or passage add nothing."""
+    pairs: set[tuple[bytes, bytes]] = set()
+    for text in texts:
+        words = text.split()
+        pairs.update(zip([b"", *words], words, strict=False))
+    return Counter(word for _, word in pairs)
+
+
 def fit(sample: Iterable[tuple[bytes, int]]) -> ToxicityModel:
     """Train on (text, toxic) pairs in a stable order.
 
     Both dictionaries end in the same part, trained on ordinary text. Before it the toxic one holds a part trained
-    on toxic text without the words that ordinary text has too; the ordinary one holds filler there. So a window
+    on toxic text reduced to telling words: those with at least TELLING_SHARE contexts a toxic text, and with
+    TELLING_RATIO times as many as in ordinary ones; the ordinary dictionary holds filler there. So a window
     is shortened by what toxic texts share alone. A sample without toxic text gives a low score to everything.
     """
     rows = list(sample)
@@ -111,10 +122,11 @@ def fit(sample: Iterable[tuple[bytes, int]]) -> ToxicityModel:
     ordinary, toxic = split[0][: cut[0]], split[1][: cut[1]]
     if not toxic or not ordinary:
         return ToxicityModel(b"\0" * 16, b"\0" * 16)
-    known = {word for text in ordinary for word in text.split()}
-    found = Counter(word for text in toxic for word in set(text.split()))
-    least = max(3, len(toxic) // 200) if len(toxic) >= 50 else 2
-    telling = [b" ".join(w for w in t.split() if found[w] >= least and w not in known) for t in toxic]
+    known, found = _contexts(ordinary), _contexts(toxic)
+    least = max(2, math.ceil(len(toxic) * TELLING_SHARE))
+    ratio = TELLING_RATIO * len(toxic) / len(ordinary)
+    telling_words = {w for w, n in found.items() if n >= least and n >= ratio * known[w]}
+    telling = [b" ".join(w for w in t.split() if w in telling_words) for t in toxic]
     own = _dictionary([t for t in telling if len(t) > 8], OWN_BYTES)
     shared = _dictionary([w for t in ordinary for w in windows(t)], SHARED_BYTES)
     model = ToxicityModel(b"\0" * len(own) + shared, own + shared)

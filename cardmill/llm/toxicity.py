@@ -123,7 +123,7 @@ def fit(sample: Iterable[tuple[bytes, int]]) -> ToxicityModel:
     if not toxic or not ordinary:
         return ToxicityModel(b"\0" * 16, b"\0" * 16)
     known, found = _contexts(ordinary), _contexts(toxic)
-    least = max(2, math.ceil(len(toxic) * TELLING_SHARE))
+    least = max(3, math.ceil(len(toxic) * TELLING_SHARE))
     ratio = TELLING_RATIO * len(toxic) / len(ordinary)
     telling_words = {w for w, n in found.items() if n >= least and n >= ratio * known[w]}
     telling = [b" ".join(w for w in t.split() if w in telling_words) for t in toxic]

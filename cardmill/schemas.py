@@ -42,6 +42,14 @@ SOURCE_COLUMNS = {
 INGESTION_COLUMN = "ingestion_date"
 PARTITION_COLUMNS = ("year", "month", "day")
 
+# Spark types of the type names above; no session is needed to look them up.
+SQL_TYPES = {
+    "int": IntegerType(),
+    "string": StringType(),
+    "double": DoubleType(),
+    "timestamp": TimestampType(),
+}
+
 # Columns that identify rows of other tables; they outgrow INT first.
 KEY_COLUMNS = ("id", "client_id", "card_id", "merchant_id", "mcc")
 
@@ -71,9 +79,10 @@ def table_schema(
     the readers raise an error for a key that does not fit.
     """
     schema = StructType()
-    for field in StructType.fromDDL(SOURCE_COLUMNS[table]):
-        wide = wide_keys and field.name in KEY_COLUMNS and isinstance(field.dataType, IntegerType)
-        schema = schema.add(field.name, LongType() if wide else field.dataType)
+    for column in SOURCE_COLUMNS[table].split(", "):
+        name, kind = column.split(" ")
+        wide = wide_keys and kind == "int" and name in KEY_COLUMNS
+        schema = schema.add(name, LongType() if wide else SQL_TYPES[kind])
     if ingestion:
         schema = schema.add(INGESTION_COLUMN, DateType())
     for name in PARTITION_COLUMNS if partitions else ():

@@ -113,8 +113,8 @@ def write_jdbc(
     its executor inserts again, so give the table a unique key where that matters.
     """
     options = write_options(target, table, connections, batch_size, truncate, column_types)
-    if df.rdd.getNumPartitions() > connections:
-        # A coalesce would run the work before it in few tasks, too; a shuffle keeps that parallel.
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        # The writer coalesces, and so would run an aggregation before it in few tasks; a shuffle keeps that parallel.
         df = df.repartition(connections)
     df.write.format("jdbc").options(**options).mode(mode).save()
 

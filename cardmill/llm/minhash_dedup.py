@@ -31,12 +31,11 @@ _SHIFTS = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The upper 16 bits of the least value of each of HASHES hash functions over a set that is not empty."""
     least = np.full(HASHES, np.uint32(0xFFFFFFFF))
-    for at in range(0, len(shingles), 4096):
-        part = (shingles[at : at + 4096] >> np.uint64(16)).astype(np.uint32)
-        for k in range(HASHES):
-            value = (part * _FACTORS[k] + _SHIFTS[k]).min()
-            if value < least[k]:
-                least[k] = value
+    for at in range(0, len(shingles), 1024):
+        part = (shingles[at : at + 1024] >> np.uint64(16)).astype(np.uint32)
+        values = _FACTORS[:, None] * part
+        values += _SHIFTS[:, None]
+        np.minimum(least, values.min(axis=1), out=least)
     return (mix(least.astype(np.uint64)) >> np.uint64(48)).astype(">u2")
 
 

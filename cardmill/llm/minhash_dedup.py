@@ -64,12 +64,20 @@ def sign(docs: DataFrame, text_col: str, width: int) -> DataFrame:
     )
 
 
-def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Shares of equal values for all rows of ``a`` against all rows of ``b``, one hash value at a time."""
-    equal = np.zeros((len(a), len(b)), dtype=np.uint8)
-    for k in range(a.shape[1]):
-        equal += a[:, k, None] == b[None, :, k]
-    return equal
+def equal_values(values: np.ndarray) -> np.ndarray:
+    """In how many hash values each pair of signatures agrees."""
+    n = len(values)
+    if n <= 64:
+        return (values[:, None, :] == values[None, :, :]).sum(axis=2, dtype=np.uint8)
+    columns = np.ascontiguousarray(values.T)
+    total = np.zeros((n, n), dtype=np.uint8)
+    for at in range(0, n, 256):
+        part = total[at : at + 256]
+        same = np.empty(part.shape, dtype=bool)
+        for column in columns:
+            np.equal(column[at : at + 256, None], column[None, :], out=same)
+            part += same.view(np.uint8)
+    return total
 
 
 def forest_edges(linked: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
@@ -79,17 +87,42 @@ def forest_edges(linked: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"a": ids[other], "b": ids[root[other]]})
 
 
-def compare_region(frame: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Edges of a spanning forest over the members of a region whose signatures agree in at least ``least``."""
-    frame = frame.sort_values("rep", kind="stable")
-    values = np.frombuffer(b"".join(frame["signature"]), dtype=">u2").reshape(len(frame), HASHES)
-    sizes = frame["n_shingles"].to_numpy()
-    alike = np.empty((len(frame), len(frame)), dtype=bool)
-    for at in range(0, len(frame), 256):
-        alike[at : at + 256] = estimates(values[at : at + 256], values) >= least * HASHES
+def compare_region(rows: list[tuple[int, int, bytes]], least: float) -> list[tuple[int, int]]:
+    """Edges of a spanning forest over the (rep, set size, signature) rows whose signatures agree in ``least``."""
+    rows = sorted(rows)
+    values = np.frombuffer(b"".join([r[2] for r in rows]), dtype=np.uint16).reshape(len(rows), HASHES)
+    sizes = np.array([r[1] for r in rows])
     # Sets of too unequal size cannot be similar enough; the estimate's bound serves for the ratio, too.
+    alike = equal_values(values) >= least * HASHES
     alike &= np.minimum(sizes[:, None], sizes) >= least * np.maximum(sizes[:, None], sizes)
-    return forest_edges(alike, frame["rep"].to_numpy())
+    root = local_roots(alike)
+    return [(rows[i][0], rows[r][0]) for i, r in enumerate(root.tolist()) if r != i]
+
+
+def _compare_regions(source: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Compares groups that come one after the other, ordered by region and pair of tiles."""
+    group: list[tuple[int, int, bytes]] = []
+    edges: list[tuple[int, int]] = []
+    before = None
+
+    def batch() -> pa.RecordBatch:
+        a, b = ([e[k] for e in edges] for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    for rows in source:
+        columns = [c.to_pylist() for c in rows.columns]
+        for key, rep, size, values in zip(zip(*columns[:4], strict=True), *columns[4:], strict=True):
+            if key != before:
+                if len(group) > 1:
+                    edges += compare_region(group, least)
+                group, before = [], key
+            group.append((rep, size, values))
+        if edges:
+            yield batch()
+            edges = []
+    if len(group) > 1:
+        edges += compare_region(group, least)
+    yield batch()
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -210,10 +243,12 @@ def near_documents(
     spread = (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
     least = percent / 100 - SIGMAS * spread
     regions = materialize(_regions(reps), "regions")
-    paired = _tile_pairs(regions.join(reps, "rep"))
-    alike = paired.groupBy("tree", "region", "tile_a", "tile_b").applyInPandas(
-        lambda frame: compare_region(frame, least), "a long, b long"
-    )
+    key = ["tree", "region", "tile_a", "tile_b"]
+    paired = _tile_pairs(regions.join(reps, "rep")).select(*key, "rep", "n_shingles", "signature")
+    # Most regions are small, so a task takes many, one after the other.
+    partitions = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = paired.repartition(partitions, *key).sortWithinPartitions(*key)
+    alike = dealt.mapInArrow(lambda batches: _compare_regions(batches, least), "a long, b long")
     groups = connected_components(alike)
     members = groups.select("node", "root").union(groups.select(F.col("root").alias("node"), "root")).distinct()
     members = materialize(members.join(reps.select(F.col("rep").alias("node"), "n_shingles"), "node"), "candidate-groups")

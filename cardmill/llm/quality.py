@@ -158,17 +158,22 @@ def base_failed(rules: Sequence[Rule]) -> Column:
     return rules[0].rejects | rules[1].rejects
 
 
-def order_rules(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by share of rejected rows per second, best first, both measured on about ``sample_rows`` rows.
-
-    The sample is drawn over the whole table and written once; then each rule runs over it by itself. Order
-    changes the cost of a cascade and the rule that is named, never which rows are kept.
-    """
+def draw_sample(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame | None:
+    """About ``sample_rows`` rows drawn over the whole table and written once; None for an empty table."""
     total = docs.count()
     if not total:
+        return None
+    return materialize(docs.sample(min(1.0, sample_rows / total), seed=7), "quality-sample")
+
+
+def order_rules(sample: DataFrame | None, rules: Sequence[Rule]) -> list[Rule]:
+    """The rules by share of rejected rows per second, best first, each measured by itself over the sample.
+
+    Order changes the cost of a cascade and the rule that is named, never which rows are kept. Without a sample
+    the rules keep the order given.
+    """
+    if sample is None:
         return list(rules)
-    fraction = min(1.0, sample_rows / total)
-    sample = materialize(docs.sample(fraction, seed=7), "quality-sample")
     n = max(sample.count(), 1)
     gains = []
     for rule in rules:
@@ -179,16 +184,16 @@ def order_rules(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPL
 
 
 def cascade(
-    docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS, verdict_col: str = "failed_rule"
+    docs: DataFrame, rules: Sequence[Rule], sample: DataFrame | None, verdict_col: str = "failed_rule"
 ) -> DataFrame:
     """Adds the first rule that rejects a row, null where none does.
 
-    The rules stand in one CASE in measured order, so a row that one rule rejects pays for no later one. A rule
-    that gives null does not reject. An empty table keeps the order given.
+    The rules stand in one CASE in the order measured on ``sample``, rows with the columns that the rules read; so
+    a row that one rule rejects pays for no later one. A rule that gives null does not reject.
     """
     docs = free(docs, verdict_col)
     verdict = F.lit(None).cast("string")
-    for rule in reversed(order_rules(docs, rules, sample_rows)):
+    for rule in reversed(order_rules(sample, rules)):
         verdict = F.when(rule.rejects, F.lit(rule.name)).otherwise(verdict)
     return docs.withColumn(verdict_col, verdict)
 
@@ -199,12 +204,16 @@ def quality_report(docs: DataFrame, text_col: str = "text", sample_rows: int = S
     Null, empty and blank texts have no words and fail. Repeated rows are judged alike.
     """
     rules = rules_on_metrics()
-    counted = with_metrics(free(docs, "base_failed", "failed_rule", "kept"), text_col)
-    judged = cascade(counted, rules, sample_rows)
+    docs = free(docs, *METRICS, "base_failed", "failed_rule", "kept")
+    # The sample is drawn from the texts, so that only its own rows are counted for it.
+    sample = draw_sample(docs.select(F.col(f"`{text_col}`")), sample_rows)
+    sample = None if sample is None else with_metrics(sample, text_col)
+    judged = cascade(with_metrics(docs, text_col), rules, sample)
     return judged.withColumns({"base_failed": base_failed(rules), "kept": F.col("failed_rule").isNull()})
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows that no rule rejects, with the columns they came with."""
-    judged = cascade(docs, rules_on_text(text_col), sample_rows, "_llm_failed_rule")
+    sample = draw_sample(docs.select(F.col(f"`{text_col}`")), sample_rows)
+    judged = cascade(docs, rules_on_text(text_col), sample, "_llm_failed_rule")
     return judged.where(F.col("_llm_failed_rule").isNull()).drop("_llm_failed_rule")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -17,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from cardmill.llm.common import ship
 from cardmill.session import materialize, scratch_path
 
-MAGIC = b"CMT1"
-HEAD = "<IQQQ"  # of a block: documents, ids, control bytes, data bytes
-MOST_WORDS = 400_000  # words a worker remembers at least; results do not depend on it
+MAGIC = b"CMT2"
+HEAD = "<IIQQQ"  # of a block: documents, ids in its table, ids, control bytes, data bytes
+LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([.,!?;:]*)")
+MOST_WORDS = 600_000  # words a worker remembers at least; results do not depend on it
 
 # For each control byte the lengths of its four ids.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
@@ -64,25 +66,72 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        # Tokens that end a piece: a string of letters is one piece.
+        self.ends = np.zeros(self.size, dtype=bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         parts = [(t or "").encode().split() for t in texts]
-        missing = list({w for ws in parts for w in ws if w not in self.known})
+        found = [list(map(self.known.get, ws)) for ws in parts]
+        gaps = [[i for i, x in enumerate(xs) if x is None] for xs in found]
+        missing = list({ws[i] for ws, at in zip(parts, gaps, strict=True) for i in at})
         if len(self.known) + len(missing) > MOST_WORDS:
-            # Start a new table; words of these texts come over from the old one.
+            # Start a new table; words in use come over from the old one.
             self.older, self.known = self.known, {}
-            missing = list({w for ws in parts for w in ws})
-        new = [w for w in missing if w not in self.older]
-        for w in missing:
-            if (ids := self.older.get(w)) is not None:
-                self.known[w] = ids
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for w, e in zip(new, encoded, strict=True):
-            self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in ws]), dtype="<u4") for ws in parts]
+        older, known = self.older, self.known
+        known.update([(w, older[w]) for w in missing if w in older])
+        new = [w for w in missing if w not in known]
+        known.update(zip(new, self.learn([w.decode() for w in new]), strict=True))
+        for ws, xs, at in zip(parts, found, gaps, strict=True):
+            for i in at:
+                xs[i] = known[ws[i]]
+        return [np.frombuffer(b"".join(xs), dtype="<u4") for xs in found]
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Strings of letters, encoded as one text and cut where pieces end; one by one if the cuts do not fit."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words) or cuts[-1] != len(ids):
+            return self._each(words)
+        raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+        return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Ids of words. Those of letters, and letters with marks behind them, are encoded by letters and marks.
+
+        The tokenizer lower-cases and cuts letters from marks, so these parts stand for many words.
+        """
+        parts: list[tuple[str, str] | None] = []
+        for w in words:
+            found = LETTERS_AND_MARKS.fullmatch(w)
+            letters = found[1] if found else ""
+            # Some letters have a lower case that is no letter.
+            plain = letters.isalpha() and letters.lower().isalpha()
+            parts.append((letters.lower() if letters.isascii() else letters, found[2]) if plain else None)
+        ids: dict[str, bytes] = {}
+        new: dict[bool, list[str]] = {True: [], False: []}
+        for letters in {p[0] for p in parts if p}:
+            raw = letters.encode()
+            known = self.known.get(raw) or self.older.get(raw)
+            if known is None:
+                new[letters.isascii()].append(letters)
+            else:
+                ids[letters] = known
+        for group in new.values():
+            for at in range(0, len(group), 512):
+                ids.update(zip(group[at : at + 512], self._letters(group[at : at + 512]), strict=True))
+        rest = list({p[1] for p in parts if p and p[1]} | {w for w, p in zip(words, parts, strict=True) if not p})
+        others = dict(zip(rest, self._each(rest), strict=True))
+        others[""] = b""
+        return [ids[p[0]] + others[p[1]] if p else others[w] for w, p in zip(words, parts, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -90,28 +139,14 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def id_order(docs: DataFrame, tokenizer_path: str, text_col: str, end_id: int) -> np.ndarray:
-    """All ids by falling frequency in the whole corpus, then by id. Its size is that of the vocabulary."""
-    ship(docs.sparkSession)
-
-    def counts(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = word_tokenizer(tokenizer_path)
-        total = np.zeros(max(own.size, end_id + 1), dtype=np.int64)
-        for batch in source:
-            rows = own.encode(batch.column(0).to_pylist())
-            for at in range(0, len(rows), 64):
-                part = np.bincount(np.concatenate(rows[at : at + 64]))
-                total[: len(part)] += part
-            total[end_id] += len(rows)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["id", "n"])
-
-    part = docs.select(text_col).mapInArrow(counts, "id long, n long")
-    rows = part.groupBy("id").agg(F.sum("n").alias("n")).collect()  # one row for each id of the vocabulary
-    n = np.zeros(max(word_tokenizer(tokenizer_path).size, end_id + 1), dtype=np.int64)
-    for r in rows:
-        n[r["id"]] = r["n"]
-    return np.argsort(-n, kind="stable").astype("<u4")
+def rank_by_frequency(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, the most frequent first and equal ones by id, and the rank of each of ``ids`` among them."""
+    times = np.bincount(ids)
+    used = np.flatnonzero(times)
+    table = used[np.argsort(-times[used], kind="stable")]
+    rank = np.zeros(len(times), dtype="<u4")
+    rank[table] = np.arange(len(table), dtype="<u4")
+    return table.astype("<u4"), rank[ids]
 
 
 def _filesystem(folder: str) -> tuple[pa.fs.FileSystem, str]:
@@ -134,24 +169,21 @@ def write_token_files(
 ) -> DataFrame:
     """Write the ids of all texts, each with ``end_id`` appended, in ascending order of ``id_col``.
 
-    Returns the manifest: one row a file in order, with its path, documents and ids. Ids are stored as ranks by
-    frequency, so that the frequent ones take a byte; the file begins with the table that turns ranks into ids.
+    Returns the manifest: one row a file in order, with its path, documents and ids. A block of a file (the rows of
+    one batch) stores its ids as ranks by their frequency in the block, so that the frequent ones take a byte, and
+    the table that turns ranks into ids. No pass over the corpus is needed before, and a file stands for itself.
     Rows are ordered by a range partitioning, and each task writes the blocks of its range as they come. A task
     that runs twice writes two files and the manifest names the one that counts. Null ids come first, null texts
     count as empty, and rows with equal ids are ordered by their text.
     """
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(f"`{text_col}`", F.lit("")).alias("text"))
-    order = id_order(rows, tokenizer_path, "text", end_id).tobytes()
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(n, "id", F.xxhash64("text")).sortWithinPartitions("id", "text")
     ranged = ranged.withColumn("shard", F.spark_partition_id())
 
     def write(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = word_tokenizer(tokenizer_path)
-        ids = np.frombuffer(order, dtype="<u4")
-        rank = np.empty(len(ids), dtype="<u4")
-        rank[ids] = np.arange(len(ids), dtype="<u4")
         end = np.array([end_id], dtype="<u4")
         out = path = shard = None
         n_docs = n_ids = 0
@@ -164,16 +196,17 @@ def write_token_files(
                 files, local = _filesystem(path)
                 files.create_dir(local.rpartition("/")[0], recursive=True)
                 out = files.open_output_stream(local)
-                out.write(MAGIC + struct.pack("<I", len(ids)) + order)
+                out.write(MAGIC)
             encoded = own.encode(batch.column(1).to_pylist())
             counts = np.array([len(e) + 1 for e in encoded], dtype="<u8")
             every = np.concatenate([x for e in encoded for x in (e, end)])
-            control, data = encode_block(rank[every])
+            ids, ranks = rank_by_frequency(every)
+            control, data = encode_block(ranks)
             doc = batch.column(0)
             null = np.array(doc.is_null().to_numpy(zero_copy_only=False), dtype=np.uint8)
             number = doc.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
-            out.write(struct.pack(HEAD, len(encoded), len(every), len(control), len(data)))
-            for piece in (number.tobytes(), null.tobytes(), counts.tobytes(), control, data):
+            out.write(struct.pack(HEAD, len(encoded), len(ids), len(every), len(control), len(data)))
+            for piece in (ids.tobytes(), number.tobytes(), null.tobytes(), counts.tobytes(), control, data):
                 out.write(piece)
             n_docs, n_ids = n_docs + len(encoded), n_ids + len(every)
         if out is not None:
@@ -191,9 +224,9 @@ def read_blocks(path: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
     with files.open_input_stream(local) as stream:
         if stream.read(4) != MAGIC:
             raise ValueError(f"{path} is no token file")
-        ids = np.frombuffer(stream.read(4 * struct.unpack("<I", stream.read(4))[0]), dtype="<u4")
         while head := stream.read(struct.calcsize(HEAD)):
-            n_docs, n_ids, n_control, n_data = struct.unpack(HEAD, head)
+            n_docs, n_table, n_ids, n_control, n_data = struct.unpack(HEAD, head)
+            ids = np.frombuffer(stream.read(4 * n_table), "<u4")
             number = np.frombuffer(stream.read(8 * n_docs), "<i8")
             null = np.frombuffer(stream.read(n_docs), np.uint8)
             counts = np.frombuffer(stream.read(8 * n_docs), "<u8").astype(np.int64)

@@ -17,7 +17,7 @@ from cardmill.session import materialize
 
 BLOCKS = 8
 # Members of a cell that are compared at once; larger cells are cut into tiles and all pairs of tiles are compared.
-TILE_ROWS = 1024
+TILE_ROWS = 4096
 # Rounding slack of squared distances, far above the error of double sums and far below any budget.
 SLACK = 1e-9
 PAIR_CHUNK = 50_000

@@ -51,8 +51,10 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
-    rows = toxicity.training_sample(docs, table(spark, sf_dir, "labels"), ~held_out, "doc_id", "text", "toxic")
-    scored = toxicity.score_texts(docs, toxicity.fit(rows))
+    labels = table(spark, sf_dir, "labels")
+    rows = toxicity.training_sample(docs, labels, ~held_out, "doc_id", "text", "toxic")
+    counts = toxicity.class_counts(labels, ~held_out, "doc_id", "toxic")
+    scored = toxicity.score_texts(docs, toxicity.fit(rows, counts))
     predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
 

@@ -82,14 +82,15 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> list[float]:
-    """Weights of a logistic curve by Newton steps on standardised columns."""
+def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, ridge: float = 1e-2) -> list[float]:
+    """Weights of a logistic curve by Newton steps on standardised columns; each row counts as often as ``times``."""
     mean, scale = x.mean(0), x.std(0) + 1e-9
     z = np.hstack([np.ones((len(x), 1)), (x - mean) / scale])
     w = np.zeros(z.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z.T * (p * (1 - p))) @ z + ridge * np.eye(len(w)), z.T @ (y - p) - ridge * w)
+        curve = (z.T * (times * p * (1 - p))) @ z + ridge * np.eye(len(w))
+        step = np.linalg.solve(curve, z.T @ (times * (y - p)) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -106,9 +107,12 @@ def _contexts(texts: list[bytes]) -> Counter:
     return Counter(word for _, word in pairs)
 
 
-def fit(sample: Iterable[tuple[bytes, int]]) -> ToxicityModel:
+def fit(sample: Iterable[tuple[bytes, int]], counts: tuple[int, int] | None = None) -> ToxicityModel:
     """Train on (text, toxic) pairs in a stable order.
 
+    ``counts`` are the ordinary and the toxic documents that the sample was drawn from, by default those in it. The
+    curve is fitted with the classes in these shares, so a score means the same however the sample was bounded.
+
     Both dictionaries end in the same part, trained on ordinary text. Before it the toxic one holds a part trained
     on toxic text reduced to telling words: those with at least TELLING_SHARE contexts a toxic text, and with
     TELLING_RATIO times as many as in ordinary ones; the ordinary dictionary holds filler there. So a window
@@ -133,19 +137,35 @@ def fit(sample: Iterable[tuple[bytes, int]]) -> ToxicityModel:
     rest = [(t, k) for k in (0, 1) for t in (split[k][cut[k] :] or split[k])]
     scorer = Scorer(model)
     x = np.array([scorer.features(t) for t, _ in rest], dtype=float)
-    model.weights = _logistic(x, np.array([k for _, k in rest], dtype=float))
+    y = np.array([k for _, k in rest])
+    of_class = np.array(counts if counts and all(counts) else [len(split[k]) for k in (0, 1)], dtype=float)
+    times = of_class / of_class.sum() * len(y) / np.bincount(y, minlength=2)
+    model.weights = _logistic(x, y.astype(float), times[y])
     return model
 
 
+def _labelled(labels: DataFrame, usable: Column, id_col: str, label_col: str) -> DataFrame:
+    """One row for each id with a usable label."""
+    mine = labels.where(usable & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_llm_id"))
+    return mine.agg(F.max(label_col).alias("_llm_label"))
+
+
+def class_counts(labels: DataFrame, usable: Column, id_col: str, label_col: str) -> tuple[int, int]:
+    """How many ids the usable labels call ordinary and toxic, over the whole table."""
+    rows = _labelled(labels, usable, id_col, label_col).groupBy("_llm_label").count().collect()
+    n = {int(r["_llm_label"]): r["count"] for r in rows}
+    return n.get(0, 0), n.get(1, 0)
+
+
 def training_sample(
     docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str, label_col: str
 ) -> list[tuple[bytes, int]]:
     """At most TOXIC_DOCS and ORDINARY_DOCS labelled texts of at most SAMPLE_DOC_BYTES, in an order by id hash.
 
-    This is the one thing that comes to the driver: its size is bounded by these three parameters.
+    This is the one thing that comes to the driver: its size is bounded by these three parameters. The bounds
+    change the shares of the classes; ``class_counts`` has the true ones.
     """
-    mine = labels.where(usable & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_llm_id"))
-    mine = mine.agg(F.max(label_col).alias("_llm_label")).withColumn("_llm_order", F.xxhash64("_llm_id"))
+    mine = _labelled(labels, usable, id_col, label_col).withColumn("_llm_order", F.xxhash64("_llm_id"))
     picked = None
     for label, most in ((1, TOXIC_DOCS), (0, ORDINARY_DOCS)):
         part = mine.where(F.col("_llm_label") == label).orderBy("_llm_order", "_llm_id").limit(most)

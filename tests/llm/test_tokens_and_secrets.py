@@ -230,6 +230,48 @@ def test_held_out_toxicity():
     assert scorer.score(b"") < 0.7
 
 
+def borderline_rows(n, share, seed):
+    """Texts of which some ordinary ones hold a toxic word, and some toxic ones a single one."""
+    rnd = random.Random(seed)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(2, 8))) for _ in range(900)]
+    out = []
+    for _ in range(n):
+        label = int(rnd.random() < share)
+        text = [rnd.choice(words) for _ in range(rnd.randrange(20, 60))]
+        for _ in range(rnd.choice([1, 1, 2, 3]) if label else int(rnd.random() < 0.1)):
+            text.insert(rnd.randrange(len(text)), rnd.choice(["zorkish", "vrelmund", "quoxley", "wuzzbag"]))
+        out.append((" ".join(text).encode(), label))
+    return out
+
+
+def test_bounded_samples_keep_the_class_shares():
+    rows = borderline_rows(6000, 0.1, 2)
+    counts = tuple(sum(k == label for _, k in rows) for label in (0, 1))
+    bounded = [r for label in (0, 1) for r in [r for r in rows if r[1] == label][: min(counts)]]
+    held_out = [t for t, _ in borderline_rows(1500, 0.1, 3)]
+
+    def mean_score(model):
+        scorer = toxicity.Scorer(model)
+        return sum(map(scorer.score, held_out)) / len(held_out)
+
+    assert abs(mean_score(toxicity.fit(rows)) - 0.1) < 0.03
+    assert abs(mean_score(toxicity.fit(bounded, counts)) - 0.1) < 0.03
+    assert mean_score(toxicity.fit(bounded)) > 0.15
+
+
+def test_query_counts_classes_beyond_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "ORDINARY_DOCS", 5)
+    seen = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda rows, counts=None: seen.append((rows, counts)) or fit(rows, counts))
+    assert QUERIES["op5_toxicity"](spark, SF).count() > 0
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    usable = [k for i, k in labels.items() if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows, counts = seen[0]
+    assert sum(k == 0 for _, k in rows) <= 5
+    assert counts == (usable.count(0), usable.count(1)) and counts[0] > 5
+
+
 def test_windows_cover_the_text():
     for text in (b"", b"x" * 1000, b"word " * 300, "é中 ".encode() * 200):
         pieces = list(toxicity.windows(text))

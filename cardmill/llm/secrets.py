@@ -31,6 +31,8 @@ CLASSES: tuple[tuple[str, re.Pattern, float], ...] = (
     ("alphanumeric", re.compile(r"[0-9A-Za-z]+"), 3.6),
     ("base64", re.compile(r"[0-9A-Za-z+/_=-]+"), 3.8),
 )
+# A piece of a longer string that is a word with a short number, as in paths and names.
+WORD = re.compile(r"[A-Za-z]+[0-9]{0,4}")
 # Strings that look random but are none: words, numbers, dashed words and numbers, UUIDs, paths, rulers, samples.
 ALLOWED: tuple[re.Pattern, ...] = (
     re.compile(r"[-_/+=]*[A-Za-z]+(?:[-_/+=]+[A-Za-z]+)*[-_/+=]*"),
@@ -73,13 +75,31 @@ def entropy_runs(text: str, least: float, window: int = WINDOW) -> list[tuple[in
 
 
 def entropy_spans(text: str, allowed: Sequence[re.Pattern] = ALLOWED) -> Iterator[tuple[int, int]]:
-    """Ranges of high entropy in candidate strings that no allow-list pattern matches in full."""
+    """Ranges of high entropy in candidate strings, merged.
+
+    Each longest run of a character class in a candidate is scanned with the bits of its class, so that a key behind
+    a prefix is measured as the key alone is. A run that an allow-list pattern matches in full is left out, as is
+    a word with a short number inside a longer string; the rest of its candidate is not excused by it, nor it by that.
+    """
     for found in CANDIDATE.finditer(text):
-        string = found.group()
-        if any(p.fullmatch(string) for p in allowed):
-            continue
-        least = next(bits for _, chars, bits in CLASSES if chars.fullmatch(string))
-        for start, end in entropy_runs(string, least):
+        string, seen, ranges = found.group(), set(), []
+        for _, chars, least in CLASSES:
+            for run in chars.finditer(string):
+                if run.end() - run.start() < WINDOW or run.span() in seen:
+                    continue
+                seen.add(run.span())
+                piece = run.group()
+                word = len(piece) < len(string) and WORD.fullmatch(piece)
+                if word or any(p.fullmatch(piece) for p in allowed):
+                    continue
+                ranges += [(run.start() + s, run.start() + e) for s, e in entropy_runs(piece, least)]
+        merged: list[tuple[int, int]] = []
+        for start, end in sorted(ranges):
+            if merged and merged[-1][1] >= start:
+                merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+            else:
+                merged.append((start, end))
+        for start, end in merged:
             yield found.start() + start, found.start() + end
 
 

@@ -199,6 +199,36 @@ def test_secrets_in_documents(rows):
     assert found == {0: [], 1: [], 2: [("entropy", 4, 4 + len(key))], 3: [], 4: [], 5: [], 6: []}
 
 
+def covered(text):
+    return {x for s, e in secrets.entropy_spans(text) for x in range(s, e)}
+
+
+@pytest.mark.parametrize("prefix", ["key=", "SIGNING_KEY=", "hmac-", "x/", "a/path/to/", "prod_", "--", "word2024/"])
+def test_keys_behind_a_prefix(prefix):
+    rnd = random.Random(12)
+    found = alone = 0
+    for digits, n in [("0123456789ABCDEF", 20), ("0123456789ABCDEF", 64), ("0123456789abcdefABCDEF", 23), ("0123456789abcdefABCDEF", 40)] * 40:
+        key = "".join(rnd.choice(digits) for _ in range(n))
+        inside = {x - len(prefix) for x in covered(f"{prefix}{key}")}
+        alone += len(covered(key))
+        found += len(covered(key) & inside)
+        assert covered(key) <= inside, prefix + key
+    assert found == alone > 0.95 * 40 * (20 + 64 + 23 + 40)
+
+
+def test_keys_between_other_strings():
+    rnd = random.Random(13)
+    for _ in range(100):
+        key = "".join(rnd.choice("0123456789ABCDEF") for _ in range(40))
+        text = f"see path/to/{key}/longidentifierwithyear2024 and example-{key}"
+        spans = list(secrets.entropy_spans(text))
+        assert covered(text) >= {text.index(key) + x for x in covered(key)}
+        assert covered(text) >= {text.rindex(key) + x for x in covered(key)}
+        assert all(e1 < s2 for (_, e1), (s2, _) in zip(spans, spans[1:]))
+    for text in ("some/longidentifierwithyear2024/word", "x-" + "deadbeef" * 5, "n=" + "20240101" * 4, "a1b2c3d4-e5f6-47a8-99b0-c1d2e3f4a5b6", "k_" + "longwordswithoutdigits" * 2):
+        assert not covered(text), text
+
+
 def test_secret_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op6_secret_scan"](spark, SF).collect():

@@ -16,7 +16,9 @@ from cardmill.session import materialize
 
 TREES, MOST_DEPTH, LEAST_DEPTH = 16, 8, 4
 HASHES = TREES * MOST_DEPTH
-# A region of a signature order with more members is looked at one hash value deeper, down to MOST_DEPTH.
+# Pairs below this similarity share fewer values: they get twice the trees, and regions of at most LOW_DEPTH values.
+LOW_PERCENT, LOW_DEPTH = 85, 6
+# A region of a signature order with more members is looked at one hash value deeper, down to the last depth.
 REGION_ROWS = 2048
 # Members that are compared at once; larger groups are cut into tiles, and all pairs of tiles are compared.
 TILE_ROWS, TILE_SHINGLES = 1024, 1 << 18
@@ -179,34 +181,56 @@ def _tile_pairs(members: DataFrame) -> DataFrame:
     ).drop("tile", "other", "tiles")
 
 
-def _regions(reps: DataFrame) -> DataFrame:
+def forest_shape(percent: int) -> tuple[int, int]:
+    """The number of trees and the last depth for a threshold."""
+    return (TREES, MOST_DEPTH) if percent >= LOW_PERCENT else (2 * TREES, LOW_DEPTH)
+
+
+def tree_values(tree: int) -> list[int]:
+    """Which hash values order a tree: the first TREES have a block each, the next a diagonal over the blocks.
+
+    So two trees have at most one value in common.
+    """
+    if tree < TREES:
+        return list(range(MOST_DEPTH * tree, MOST_DEPTH * (tree + 1)))
+    return [MOST_DEPTH * ((tree + k) % TREES) + k for k in range(MOST_DEPTH)]
+
+
+def _tree_key(tree: int) -> Column:
+    values = tree_values(tree)
+    if tree < TREES:
+        return F.substring("signature", 1 + 2 * values[0], 2 * MOST_DEPTH)
+    return F.concat(*(F.substring("signature", 1 + 2 * v, 2) for v in values))
+
+
+def _regions(reps: DataFrame, trees: int = TREES, last: int = MOST_DEPTH) -> DataFrame:
     """(tree, region, tiles, rep) for the regions with at least two members.
 
-    A tree is the order of all signatures by its own MOST_DEPTH values. Rows that share a prefix stand together in
+    A tree is the order of all signatures by MOST_DEPTH of their values. Rows that share a prefix stand together in
     it, so the neighbours with a common prefix of d values are the group of that prefix. Groups start at
-    LEAST_DEPTH; members of a group with more than REGION_ROWS rows go on with one more value. Prefixes are counted
-    with partial sums, so no task holds a large group to find out that it is large.
+    LEAST_DEPTH; members of a group with more than REGION_ROWS rows go on with one more value, and from the depth
+    ``last`` on a group of any size is compared by pairs of tiles. Prefixes are counted with partial sums, so no task holds a large group to find out that it is large.
     """
     keys = [
-        F.struct(F.lit(t).alias("tree"), F.substring("signature", 1 + 2 * MOST_DEPTH * t, 2 * MOST_DEPTH).alias("key"))
-        for t in range(TREES)
+        F.struct(F.lit(t).alias("tree"), _tree_key(t).alias("key"))
+        for t in range(trees)
     ]
     rows = reps.select("rep", "n_shingles", F.explode(F.array(*keys)).alias("_k")).select("rep", "n_shingles", "_k.*")
     found = None
-    for depth in range(LEAST_DEPTH, MOST_DEPTH + 1):
+    for depth in range(LEAST_DEPTH, last + 1):
         prefix = F.substring("key", 1, 2 * depth)
         counts = rows.groupBy("tree", prefix.alias("region")).agg(
             F.count(F.lit(1)).alias("n"), F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high")
         )
         counts = counts.where(F.col("n") > 1)
         here = rows.withColumn("region", prefix).join(counts, ["tree", "region"])
-        if depth < MOST_DEPTH:
+        if depth < last:
             here = materialize(here, f"region-depth-{depth}")
             rows = here.where(F.col("n") > REGION_ROWS).select("rep", "n_shingles", "tree", "key")
             here = here.where(F.col("n") <= REGION_ROWS)
         part = here.select("tree", "region", "rep", F.ceil(F.col("n") / REGION_ROWS).cast("int").alias("tiles"))
         found = part if found is None else found.union(part)
-        if depth < MOST_DEPTH and rows.isEmpty():
+        if depth < last and rows.isEmpty():
             break
     return found
 
@@ -223,7 +247,8 @@ def near_documents(
 
     1. Equal sets are one node, by set key, with partial minima: copies cost one row a task.
     2. LSH forest: see ``_regions``. At a similarity of exactly 0.85 a pair shares a prefix of LEAST_DEPTH values in
-       one of the TREES orders with probability 0.99999, of MOST_DEPTH values with 0.994.
+       one of the TREES orders with probability 0.99999, of MOST_DEPTH values with 0.994. Below LOW_PERCENT there
+       are twice the orders and prefixes end at LOW_DEPTH: at 0.80, 0.999995 and 0.9996 (simulated).
     3. In a region all pairs of signatures are compared, a spanning forest of those alike leaves it.
     4. Candidate groups are the components of these forests. Every pair of full sets in a group is confirmed, by
        pairs of tiles where the group is large, and a spanning forest of the confirmed links leaves a task.
@@ -242,7 +267,7 @@ def near_documents(
     reps = materialize(reps, "distinct-sets")
     spread = (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
     least = percent / 100 - SIGMAS * spread
-    regions = materialize(_regions(reps), "regions")
+    regions = materialize(_regions(reps, *forest_shape(percent)), "regions")
     key = ["tree", "region", "tile_a", "tile_b"]
     paired = _tile_pairs(regions.join(reps, "rep")).select(*key, "rep", "n_shingles", "signature")
     # Most regions are small, so a task takes many, one after the other.

@@ -148,6 +148,32 @@ def test_documents(docs, monkeypatch, region):
     assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
+def tail_pairs(n, words, tail, seed):
+    """Documents 2 k and 2 k + 1 differ in the last ``tail`` of their words, so in as many shingles each."""
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        head = [f"w{rnd.randrange(10**6)}" for _ in range(words - tail)]
+        out += [" ".join(head + [f"w{rnd.randrange(10**6)}" for _ in range(tail)]) for _ in range(2)]
+    return out
+
+
+def test_crowded_regions_lose_no_pair_at_80(docs, monkeypatch):
+    # Every region of two counts as crowded, so pairs are compared at the last depth only.
+    monkeypatch.setattr(minhash_dedup, "REGION_ROWS", 1)
+    texts = tail_pairs(300, 184, 20, 1)
+    a, b = (shingles(t) for t in texts[:2])
+    assert 100 * len(a & b) == 80 * len(a | b)
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_documents(docs(*texts), percent=80).collect()}
+    assert got == {i: i - i % 2 for i in range(600)}
+
+
+def test_trees_share_one_value_at_most():
+    trees = [set(minhash_dedup.tree_values(t)) for t in range(2 * minhash_dedup.TREES)]
+    assert all(len(t) == minhash_dedup.MOST_DEPTH and t <= set(range(minhash_dedup.HASHES)) for t in trees)
+    assert all(len(a & b) <= 1 for i, a in enumerate(trees) for b in trees[:i])
+
+
 def test_documents_of_odd_rows(docs):
     text = "a b c d e f g h"
     got = minhash_dedup.near_documents(docs(text, text, text, None, ids=[5, 5, None, 7])).collect()

@@ -26,8 +26,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id. Rows without an id are in no group."""
-    return near_documents(docs).where(F.col("kept") | F.col("doc_id").isNull()).select(docs.columns)
+    """Of each group of near-duplicates the document with the smallest id. Rows without an id are in no group.
+
+    Documents of a similarity of 0.80 or more are near-duplicates here; op4_minhash_dedup has its own 0.85.
+    """
+    return near_documents(docs, percent=80).where(F.col("kept") | F.col("doc_id").isNull()).select(docs.columns)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

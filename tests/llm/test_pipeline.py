@@ -12,7 +12,7 @@ from cardmill.llm.byte_bpe import read_ranks
 from cardmill.llm.mixing import mix
 from cardmill.session import materialize
 from test_lines_and_quality import metrics
-from test_near_copies import brute_documents
+from test_near_copies import brute_documents, shingles, tail_pairs
 
 SF = "/root/testdata/sf0.001"
 KEY_SPACES = " \t\n\x0b\f\r"
@@ -66,6 +66,14 @@ def test_stages_and_run(spark):
     assert re.fullmatch(r"[0-9a-f]{64}", last[0].ids_sha256)
 
 
+def test_near_stage_links_from_80_percent(spark, docs):
+    texts = tail_pairs(20, 104, 10, 3) + tail_pairs(20, 104, 12, 4)
+    alike = [len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) for a, b in zip(texts[::2], texts[1::2])]
+    assert all(0.80 <= x < 0.85 for x in alike[:20]) and all(x < 0.80 for x in alike[20:])
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["minhash_dedup"](spark, docs(*texts), SF).collect()}
+    assert kept == set(range(0, 40, 2)) | set(range(40, 80))
+
+
 def test_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:

@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from cardmill.llm.common import ship
 from cardmill.session import materialize, scratch_path
 
-MAGIC = b"CMT2"
-HEAD = "<IIQQQ"  # of a block: documents, ids in its table, ids, control bytes, data bytes
+MAGIC = b"CMT3"
+HEAD = "<IQQQ"  # of a block: documents, ids, control bytes, data bytes
+RAW_HEAD = "<IQ"  # of a block whose ids are not ranked yet: documents, ids
 LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([.,!?;:]*)")
 MOST_WORDS = 600_000  # words a worker remembers at least; results do not depend on it
 
@@ -139,14 +140,23 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def rank_by_frequency(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ids, the most frequent first and equal ones by id, and the rank of each of ``ids`` among them."""
-    times = np.bincount(ids)
+def by_frequency(times: np.ndarray) -> np.ndarray:
+    """The ids that occur at all, the most frequent first and equal ones by id."""
     used = np.flatnonzero(times)
-    table = used[np.argsort(-times[used], kind="stable")]
-    rank = np.zeros(len(times), dtype="<u4")
+    return used[np.argsort(-times[used], kind="stable")].astype("<u4")
+
+
+def ranks_of(table: np.ndarray) -> np.ndarray:
+    """For each id its place in a table of ids."""
+    rank = np.zeros(int(table.max()) + 1 if len(table) else 0, dtype="<u4")
     rank[table] = np.arange(len(table), dtype="<u4")
-    return table.astype("<u4"), rank[ids]
+    return rank
+
+
+def rank_by_frequency(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, the most frequent first and equal ones by id, and the rank of each of ``ids`` among them."""
+    table = by_frequency(np.bincount(ids))
+    return table, ranks_of(table)[ids]
 
 
 def _filesystem(folder: str) -> tuple[pa.fs.FileSystem, str]:
@@ -155,7 +165,14 @@ def _filesystem(folder: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.LocalFileSystem(), folder
 
 
+def _create(path: str) -> pa.NativeFile:
+    files, local = _filesystem(path)
+    files.create_dir(local.rpartition("/")[0], recursive=True)
+    return files.open_output_stream(local)
+
+
 MANIFEST = "shard int, path string, n_docs long, n_ids long"
+COUNTED = MANIFEST + ", used array<int>, times array<long>"
 
 
 def write_token_files(
@@ -169,9 +186,10 @@ def write_token_files(
 ) -> DataFrame:
     """Write the ids of all texts, each with ``end_id`` appended, in ascending order of ``id_col``.
 
-    Returns the manifest: one row a file in order, with its path, documents and ids. A block of a file (the rows of
-    one batch) stores its ids as ranks by their frequency in the block, so that the frequent ones take a byte, and
-    the table that turns ranks into ids. No pass over the corpus is needed before, and a file stands for itself.
+    Returns the manifest: one row a file in order, with its path, documents and ids. Ids are stored as ranks by their
+    frequency in the whole corpus, so that the frequent ones take a byte; each file begins with the table, common to
+    all, that turns ranks into ids. Texts are encoded once: a first pass writes plain ids to scratch files and counts
+    them, the counts are added up by id (the sums have the size of the vocabulary), a second pass ranks the files.
     Rows are ordered by a range partitioning, and each task writes the blocks of its range as they come. A task
     that runs twice writes two files and the manifest names the one that counts. Null ids come first, null texts
     count as empty, and rows with equal ids are ordered by their text.
@@ -182,9 +200,13 @@ def write_token_files(
     ranged = rows.repartitionByRange(n, "id", F.xxhash64("text")).sortWithinPartitions("id", "text")
     ranged = ranged.withColumn("shard", F.spark_partition_id())
 
-    def write(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    scratch = scratch_path(spark, "token-ids")
+
+    def encode(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = word_tokenizer(tokenizer_path)
         end = np.array([end_id], dtype="<u4")
+        times = np.zeros(max(own.size, end_id + 1), dtype=np.int64)
+        kind = _raw_type(len(times))
         out = path = shard = None
         n_docs = n_ids = 0
         for batch in source:
@@ -192,41 +214,93 @@ def write_token_files(
                 continue
             if out is None:
                 shard = batch.column(2)[0].as_py()
-                path = f"{folder.rstrip('/')}/part-{shard:06d}-{uuid.uuid4().hex[:12]}.tok"
-                files, local = _filesystem(path)
-                files.create_dir(local.rpartition("/")[0], recursive=True)
-                out = files.open_output_stream(local)
-                out.write(MAGIC)
+                path = f"{scratch.rstrip('/')}/part-{shard:06d}-{uuid.uuid4().hex[:12]}.{kind[1:]}"
+                out = _create(path)
             encoded = own.encode(batch.column(1).to_pylist())
             counts = np.array([len(e) + 1 for e in encoded], dtype="<u8")
             every = np.concatenate([x for e in encoded for x in (e, end)])
-            ids, ranks = rank_by_frequency(every)
-            control, data = encode_block(ranks)
+            part = np.bincount(every)
+            times[: len(part)] += part
             doc = batch.column(0)
             null = np.array(doc.is_null().to_numpy(zero_copy_only=False), dtype=np.uint8)
             number = doc.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
-            out.write(struct.pack(HEAD, len(encoded), len(ids), len(every), len(control), len(data)))
-            for piece in (ids.tobytes(), number.tobytes(), null.tobytes(), counts.tobytes(), control, data):
+            out.write(struct.pack(RAW_HEAD, len(encoded), len(every)))
+            for piece in (number.tobytes(), null.tobytes(), counts.tobytes(), every.astype(kind).tobytes()):
                 out.write(piece)
             n_docs, n_ids = n_docs + len(encoded), n_ids + len(every)
         if out is not None:
             out.close()
+            used = np.flatnonzero(times)
             yield pa.RecordBatch.from_pydict(
-                {"shard": pa.array([shard], pa.int32()), "path": [path], "n_docs": [n_docs], "n_ids": [n_ids]}
+                {
+                    "shard": pa.array([shard], pa.int32()), "path": [path], "n_docs": [n_docs], "n_ids": [n_ids],
+                    "used": pa.array([used.astype(np.int32)], pa.list_(pa.int32())),
+                    "times": pa.array([times[used]], pa.list_(pa.int64())),
+                }
             )
 
-    return materialize(ranged.mapInArrow(write, MANIFEST), "token-manifest")
+    counted = materialize(ranged.mapInArrow(encode, COUNTED), "token-counts")
+    pairs = counted.select(F.explode(F.arrays_zip("used", "times")).alias("x")).groupBy(F.col("x.used").alias("id"))
+    sums = {r["id"]: r["n"] for r in pairs.agg(F.sum("x.times").alias("n")).collect()}  # one row for each id in use
+    total = np.zeros(max(sums, default=-1) + 1, dtype=np.int64)
+    total[list(sums)] = list(sums.values())
+    order = by_frequency(total).tobytes()
+
+    def write(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = ranks_of(np.frombuffer(order, "<u4"))
+        for batch in source:
+            for shard, raw, n_docs, n_ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                path = f"{folder.rstrip('/')}/part-{shard:06d}-{uuid.uuid4().hex[:12]}.tok"
+                with _create(path) as out:
+                    out.write(MAGIC + struct.pack("<I", len(order) // 4) + order)
+                    for docs_in, about, ids in _raw_blocks(raw):
+                        control, data = encode_block(rank[ids])
+                        out.write(struct.pack(HEAD, docs_in, len(ids), len(control), len(data)))
+                        for piece in (about, control, data):
+                            out.write(piece)
+                yield pa.RecordBatch.from_pydict(
+                    {"shard": pa.array([shard], pa.int32()), "path": [path], "n_docs": [n_docs], "n_ids": [n_ids]}
+                )
+
+    files = counted.select("shard", "path", "n_docs", "n_ids").repartition(n, "path")
+    return materialize(files.mapInArrow(write, MANIFEST), "token-manifest")
+
+
+def _raw_type(size: int) -> str:
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def _raw_blocks(path: str) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """The blocks of a scratch file: how many documents, the bytes on them, and the ids."""
+    kind = "<" + path.rpartition(".")[2]
+    files, local = _filesystem(path)
+    with files.open_input_stream(local) as stream:
+        while head := stream.read(struct.calcsize(RAW_HEAD)):
+            n_docs, n_ids = struct.unpack(RAW_HEAD, head)
+            about = stream.read(17 * n_docs)
+            yield n_docs, about, np.frombuffer(stream.read(int(kind[2:]) * n_ids), kind)
+
+
+def _read_table(stream: pa.NativeFile, path: str) -> np.ndarray:
+    if stream.read(4) != MAGIC:
+        raise ValueError(f"{path} is no token file")
+    return np.frombuffer(stream.read(4 * struct.unpack("<I", stream.read(4))[0]), "<u4")
+
+
+def read_table(path: str) -> np.ndarray:
+    """The table of a file: its ids by rank."""
+    files, local = _filesystem(path)
+    with files.open_input_stream(local) as stream:
+        return _read_table(stream, path)
 
 
 def read_blocks(path: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """The blocks of a file: document numbers, which of them are null, ids of each, and all ids."""
     files, local = _filesystem(path)
     with files.open_input_stream(local) as stream:
-        if stream.read(4) != MAGIC:
-            raise ValueError(f"{path} is no token file")
+        ids = _read_table(stream, path)
         while head := stream.read(struct.calcsize(HEAD)):
-            n_docs, n_table, n_ids, n_control, n_data = struct.unpack(HEAD, head)
-            ids = np.frombuffer(stream.read(4 * n_table), "<u4")
+            n_docs, n_ids, n_control, n_data = struct.unpack(HEAD, head)
             number = np.frombuffer(stream.read(8 * n_docs), "<i8")
             null = np.frombuffer(stream.read(n_docs), np.uint8)
             counts = np.frombuffer(stream.read(8 * n_docs), "<u8").astype(np.int64)

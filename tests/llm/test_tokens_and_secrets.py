@@ -149,6 +149,17 @@ def test_token_files_of_odd_rows(spark, rows):
     assert nothing.count() == 0 and token_files.read_token_files(nothing).count() == 0
 
 
+def test_token_files_share_one_ranking(spark, rows):
+    texts = ["the cat", "dog dog dog dog", "cat the the", "a dog", "zebra zebra cat", ""]
+    manifest = token_files.write_token_files(rows(list(enumerate(texts)), "doc_id long, text string"), WORDS, scratch_path(spark, "tok"), shards=3)
+    whole = Tokenizer.from_file(WORDS)
+    ids = [x for t in texts for x in [*whole.encode(t, add_special_tokens=False).ids, 1]]
+    files = manifest.collect()
+    assert len(files) > 1
+    for r in files:
+        assert token_files.read_table(r.path).tolist() == sorted(set(ids), key=lambda x: (-ids.count(x), x))
+
+
 def slow_runs(text, least, window):
     found = []
     for i in range(len(text) - window + 1):

@@ -6,8 +6,6 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -50,5 +48,6 @@ def folder(tmp_path):
 @pytest.fixture(scope="session")
 def sample(spark):
     from cardmill.catalog.sample import Sample
+    from compare import SF
 
     return Sample(spark, SF)

@@ -3,7 +3,7 @@
 import glob
 
 import pytest
-from conftest import SF
+from compare import SF
 from plans import plan, scan_rows, scans
 from pyspark.sql import functions as F
 

@@ -17,7 +17,7 @@ from cardmill.session import JobPaths, timestamp_statistics
 from cardmill.sinks import files, tables
 from cardmill.sources.readers import read_parquet
 from cardmill.streaming.ingest import ingest_new_files
-from conftest import SF
+from compare import SF
 
 
 def part_files(path):

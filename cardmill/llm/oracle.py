@@ -100,3 +100,135 @@ SELECT *, NOT (base_failed OR 2 * n_symbols > n_words OR word_chars < 2 * n_word
     OR 10 * n_dup_lines > 3 * n_words) AS kept
 FROM judged
 """
+
+# Unsigned CRC-32 of a decimal number, bit by bit: a byte is mixed in, then eight shifts (-1) follow.
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(
+    list_concat([4294967295::BIGINT], flatten([[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+        for c in string_split({0}::VARCHAR, '')])),
+    lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) ELSE xor(s >> 1, 3988292384::BIGINT * (s & 1)) END))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(v) for v in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+def _climb(step: str, below: str, tree: str) -> str:
+    """One level of all trees: the own node and its run with the others, then the run's digest."""
+    return f"""
+{step} AS (
+    SELECT {tree}, pos // 16 AS pos, CASE WHEN n > 1 THEN sha256(string_agg(digest, '' ORDER BY pos)) ELSE min(digest) END
+        AS digest, any_value((n + 15) // 16) AS n
+    FROM {below} GROUP BY {tree}, pos // 16, n
+)"""
+
+
+_TREE_LEVELS = 6  # 16 ** 6 leaves a tree; lone nodes stay as they are, so more levels change nothing
+_ROOT_LEVELS = 3
+
+
+def _merkle_sql() -> str:
+    parts = [
+        f"""leaves AS (
+    SELECT doc_id, source, {_leaf('text')} AS leaf,
+        CASE WHEN ({_CRC32.format('doc_id')}) % 5 = 0
+            THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS claimed
+    FROM documents
+)""",
+        """t0 AS (
+    SELECT *, leaf AS digest, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY source) AS n
+    FROM leaves
+)""",
+    ]
+    parts += [_climb(f"t{i + 1}", f"t{i}", "source").strip() for i in range(_TREE_LEVELS)]
+    parts.append(
+        f"""u0 AS (
+    SELECT source, digest, 0 AS tree, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+    FROM t{_TREE_LEVELS}
+)"""
+    )
+    parts += [_climb(f"u{i + 1}", f"u{i}", "tree").strip() for i in range(_ROOT_LEVELS)]
+    # Each level adds a run's digests before and behind the own node, and folds them.
+    parts.append("w0 AS (SELECT doc_id, source, leaf, pos AS place, '' AS proof, coalesce(claimed, leaf) AS folded FROM t0)")
+    step = 0
+    for kind, levels, tree in (("t", _TREE_LEVELS, "source"), ("u", _ROOT_LEVELS, "tree")):
+        for level in range(levels):
+            if kind == "u" and level == 0:
+                parts.append(
+                    f"""w{step + 1} AS (
+    SELECT w.doc_id, w.source, w.leaf, u0.pos AS place, w.proof, w.folded, u0.tree, u0.digest AS subroot
+    FROM w{step} w JOIN u0 ON w.source IS NOT DISTINCT FROM u0.source
+)"""
+                )
+                step += 1
+            more = ", tree, subroot" if kind == "u" else ""
+            parts.append(
+                f"""w{step + 1} AS (
+    SELECT doc_id, source, leaf, place // 16 AS place, proof || before || behind AS proof,
+        CASE WHEN several THEN sha256(before || folded || behind) ELSE folded END AS folded{more}
+    FROM (
+        SELECT w.*, m.n > 1 AS several,
+            array_to_string(m.digests[:w.place % 16], '') AS before, array_to_string(m.digests[w.place % 16 + 2:], '') AS behind
+        FROM w{step} w JOIN (
+            SELECT {tree}, pos // 16 AS run, n, list(digest ORDER BY pos) AS digests FROM {kind}{level} GROUP BY {tree}, pos // 16, n
+        ) m ON w.{tree} IS NOT DISTINCT FROM m.{tree} AND w.place // 16 = m.run
+    )
+)"""
+            )
+            step += 1
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM w{step}, u{_ROOT_LEVELS}
+"""
+    )
+
+
+ORACLE["op11_merkle_manifest"] = _merkle_sql()
+
+# Neighbouring starts of equal words a period apart make a stretch; of stretches at one place the least period counts.
+ORACLE["op13_periodic_runs"] = rf"""
+WITH split AS (
+    SELECT doc_id, {_CRC32.format('doc_id')} AS h, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws
+    FROM documents
+),
+planned AS (SELECT *, len(ws) AS n, h // 10 AS g, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM split),
+texts AS (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN [ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] for i in range(n)]
+        ELSE ws END AS ws
+    FROM planned
+),
+words AS (SELECT doc_id, n, unnest(ws) AS w, unnest(range(n)) AS i FROM texts),
+coded AS (SELECT doc_id, n, i, dense_rank() OVER (ORDER BY w) AS w FROM words),
+pairs AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q
+    FROM coded x JOIN coded y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND y.i - x.i <= x.n // 4
+),
+stretches AS (
+    SELECT doc_id, q, min(i) AS s, count(*) + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs)
+    GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+),
+runs AS (SELECT doc_id, s, length, min(q) AS q FROM stretches GROUP BY doc_id, s, length),
+listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS runs
+    FROM runs GROUP BY doc_id
+),
+best AS (
+    SELECT DISTINCT ON (doc_id) doc_id, s, length, q FROM runs
+    ORDER BY doc_id, length::DECIMAL(18, 0) * 1000000000000 // q DESC, s, q
+),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + length)) AS i FROM runs),
+kept AS (
+    SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS kept FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT texts.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, best.length::BIGINT AS length, q::BIGINT AS period,
+    (1000 * best.length // q)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+    sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -7,8 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardmill.llm import byte_bpe, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, secrets, suffix_dedup, token_files, toxicity
-from cardmill.llm.common import table
+from cardmill.llm import (
+    byte_bpe, embedding_dedup, line_dedup, merkle, minhash_dedup, mixing, periodic, quality, secrets, suffix_dedup, token_files, toxicity
+)
+from cardmill.llm.common import ascii_lower, table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -18,6 +20,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+def _crc32(key: str):
+    """The unsigned checksum of an integer's decimal text."""
+    return F.crc32(F.col(key).cast("string").cast("binary"))
+
+
 def _digest(text: str):
     return F.sha2(F.col(text).cast("binary"), 256)
 
@@ -102,3 +109,43 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     manifest = token_files.write_token_files(docs, path, token_files.token_folder(spark))
     return token_files.read_token_files(manifest)
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    tampered = {"text": ascii_lower(F.col("text"))}
+    return merkle.merkle_manifest(docs, claimed=tampered, claimed_where=_crc32("doc_id") % 5 == 0)
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Texts of a tenth of the documents, chosen by the checksum of their id, made periodic from a word on."""
+    n = F.size("_words")
+    step = F.floor(F.col("_hash") / 10)
+    first = (step % n).cast("int")
+    period = (1 + F.floor((n - first) / (3 + step % 8))).cast("int")
+
+    def word(i):
+        place = F.when(i < F.col("_first"), i).otherwise(F.col("_first") + (i - F.col("_first")) % F.col("_period"))
+        return F.get(F.col("_words"), place)
+
+    planted = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " ")
+    chosen = (F.col("_hash") % 10 == 0) & (F.size("_words") > 0)
+    words = F.when(F.col("_hash") % 10 == 0, words_of(F.col("text"))).otherwise(F.array().cast("array<string>"))
+    rows = docs.withColumn("_hash", _crc32("doc_id")).withColumn("_words", words)
+    rows = rows.withColumns({"_first": F.when(chosen, first), "_period": F.when(chosen, period)})
+    return rows.select("doc_id", F.when(chosen, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(docs).withColumn("best", periodic.strongest_run("periodic_runs"))
+    line = F.transform("periodic_runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        _digest("collapsed").alias("collapsed_sha256"),
+    )

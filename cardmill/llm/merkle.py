@@ -28,7 +28,6 @@ from cardmill.session import materialize
 
 FANOUT = 16
 BLOCK_LEVELS = 3
-BLOCK = FANOUT**BLOCK_LEVELS
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 # A step of a proof: the place of the own node among its run, and the digests of the others in order.
@@ -53,8 +52,8 @@ def leaf_digest(values: Sequence[Column]) -> Column:
     return F.sha2(F.concat(*[part(v) for v in values]).cast("binary"), 256)
 
 
-def levels_of(n: int, most: int = BLOCK_LEVELS) -> int:
-    """Levels that reduce ``n`` nodes to one, at most those of a superblock."""
+def levels_of(n: int, most: int) -> int:
+    """Levels that reduce ``n`` nodes to one, at most ``most``."""
     levels = 0
     while n > 1 and levels < most:
         n, levels = -(-n // FANOUT), levels + 1
@@ -88,48 +87,54 @@ def fold(leaf: str, steps: Iterable[tuple[int, Sequence[str]]]) -> str:
     return leaf
 
 
-def _reduce_block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("pos")
-    n = int(rows["n"].iloc[0])
-    top = reduce_levels(list(rows["digest"]), levels_of(n))[-1][0]
-    return pd.DataFrame({"tree": [key[0]], "pos": [key[1]], "n": [-(-n // BLOCK)], "digest": [top]})
-
-
 def _outer_steps(outer: pd.DataFrame) -> list[tuple[int, list[str]]]:
     return [(step["place"], list(step["others"])) for step in outer["proof"].iloc[0]]
 
 
-def _descend_block(rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def _records(steps: list[tuple[int, list[str]]]) -> list[dict]:
+    return [{"place": place, "others": others} for place, others in steps]
+
+
+def _reduce_block(block_levels: int):
+    def reduce(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pos")
+        n = int(rows["n"].iloc[0])
+        top = reduce_levels(list(rows["digest"]), levels_of(n, block_levels))[-1][0]
+        return pd.DataFrame({"tree": [key[0]], "pos": [key[1]], "n": [-(-n // FANOUT**block_levels)], "digest": [top]})
+
+    return reduce
+
+
+def _descend_block(block_levels: int):
     """The outer row of every node of a superblock, which is a superblock of the round below."""
-    rows = rows.sort_values("pos")
-    nodes = reduce_levels(list(rows["digest"]), levels_of(int(rows["n"].iloc[0])))
-    above = _outer_steps(outer)
-    steps = [inner_steps(nodes, at) + above for at in range(len(rows))]
-    return pd.DataFrame(
-        {
-            "tree": rows["tree"],
-            "block": rows["pos"],
-            "subroot": outer["subroot"].iloc[0],
-            "root": outer["root"].iloc[0],
-            "proof": [[{"place": p, "others": o} for p, o in one] for one in steps],
-        }
-    )
 
+    def descend(rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pos")
+        nodes = reduce_levels(list(rows["digest"]), levels_of(int(rows["n"].iloc[0]), block_levels))
+        above = _outer_steps(outer)
+        out = pd.DataFrame({"tree": rows["tree"], "block": rows["pos"]})
+        out["subroot"], out["root"] = outer["subroot"].iloc[0], outer["root"].iloc[0]
+        out["proof"] = [_records(inner_steps(nodes, at) + above) for at in range(len(rows))]
+        return out
+
+    return descend
+
+
+def _finish_block(block_levels: int, proofs: bool):
+    """The digests, proofs and folded roots of the leaves of a superblock."""
 
-def _finish_block(proofs: bool):
     def finish(rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("pos")
         digests = list(rows["digest"])
-        nodes = reduce_levels(digests, levels_of(int(rows["n"].iloc[0])))
+        nodes = reduce_levels(digests, levels_of(int(rows["n"].iloc[0]), block_levels))
         above = _outer_steps(outer)
-        above_text = "".join(x for _, others in above for x in others)
         folded, hashed, kept = [], [], []
         for at, (leaf, claimed) in enumerate(zip(digests, rows["claimed"], strict=True)):
-            steps = inner_steps(nodes, at)
-            hashed.append(digest_of([x for _, others in steps for x in others] + [above_text]))
-            folded.append(fold(leaf if claimed is None else claimed, steps + above))
+            steps = inner_steps(nodes, at) + above
+            hashed.append(digest_of(x for _, others in steps for x in others))
+            folded.append(fold(leaf if claimed is None else claimed, steps))
             if proofs:
-                kept.append([{"place": p, "others": o} for p, o in steps + above])
+                kept.append(_records(steps))
         out = pd.DataFrame({"id": list(rows["id"]), "leaf": digests})
         out["subroot"], out["root"] = outer["subroot"].iloc[0], outer["root"].iloc[0]
         out["proof_sha256"], out["folded_root"] = hashed, folded
@@ -140,23 +145,24 @@ def _finish_block(proofs: bool):
     return finish
 
 
-def _blocks(nodes: DataFrame):
-    return nodes.groupBy("tree", F.expr(f"pos div {BLOCK}").alias("block"))
+def _blocks(nodes: DataFrame, block_levels: int):
+    return nodes.groupBy("tree", F.expr(f"pos div {FANOUT**block_levels}").alias("block"))
 
 
-def _rounds(nodes: DataFrame) -> list[DataFrame]:
+def _rounds(nodes: DataFrame, block_levels: int) -> list[DataFrame]:
     """The nodes of all rounds of some trees, the last round with one node a tree."""
     rounds = [nodes]
     while (rounds[-1].agg(F.max("n")).first()[0] or 0) > 1:
-        rounds.append(materialize(_blocks(rounds[-1]).applyInPandas(_reduce_block, NODE), "merkle-nodes"))
+        up = _blocks(rounds[-1], block_levels).applyInPandas(_reduce_block(block_levels), NODE)
+        rounds.append(materialize(up, "merkle-nodes"))
     return rounds
 
 
-def _descend(rounds: Sequence[DataFrame], outer: DataFrame) -> DataFrame:
+def _descend(rounds: Sequence[DataFrame], outer: DataFrame, block_levels: int) -> DataFrame:
     """Outer rows of the superblocks of the lowest round, from those of the single blocks of the highest."""
     for nodes in reversed(rounds):
-        pairs = _blocks(nodes).cogroup(outer.groupBy("tree", "block"))
-        outer = materialize(pairs.applyInPandas(_descend_block, OUTER), "merkle-outer")
+        pairs = _blocks(nodes, block_levels).cogroup(outer.groupBy("tree", "block"))
+        outer = materialize(pairs.applyInPandas(_descend_block(block_levels), OUTER), "merkle-outer")
     return outer
 
 
@@ -168,6 +174,7 @@ def merkle_manifest(
     claimed: Mapping[str, Column] | None = None,
     claimed_where: Column | None = None,
     proofs: bool = False,
+    block_levels: int = BLOCK_LEVELS,
 ) -> DataFrame:
     """One row a document: ``order_col``, ``leaf``, ``subroot``, ``root``, ``proof_sha256``, ``folded_root``, ``verified``.
 
@@ -206,25 +213,25 @@ def merkle_manifest(
         "tree", (F.col("at") - F.col("tree")).alias("pos"), "n", "digest", F.col("id").cast("string").alias("id"), "claimed"
     )
     nodes = materialize(nodes, "merkle-nodes")
-    rounds = _rounds(nodes.select("tree", "pos", "n", "digest"))
+    rounds = _rounds(nodes.select("tree", "pos", "n", "digest"), block_levels)
     subroots = with_row_index(rounds[-1].select("tree", "digest"), ["tree"], "at")
     subroots = subroots.withColumnsRenamed({"tree": "of", "at": "pos"})
     total = rounds[-1].count()
     tops = subroots.select(F.lit(0).cast("long").alias("tree"), "pos", F.lit(total).cast("long").alias("n"), "digest")
-    upper = _rounds(materialize(tops, "merkle-tops"))
+    upper = _rounds(materialize(tops, "merkle-tops"), block_levels)
     # The root has nothing above it; its one node is the only superblock of a round that is not there.
     root = upper[-1].select(
         "tree", F.col("pos").alias("block"), F.lit("").alias("subroot"), F.col("digest").alias("root"),
         F.array().cast(PROOF).alias("proof"),
     )
-    outer = _descend(upper[:-1], root).select(F.col("block").alias("pos"), "root", "proof")
+    outer = _descend(upper[:-1], root, block_levels).select(F.col("block").alias("pos"), "root", "proof")
     outer = subroots.join(outer, "pos").select(
         F.col("of").alias("tree"), F.lit(0).cast("long").alias("block"), F.col("digest").alias("subroot"), "root", "proof"
     )
-    outer = _descend(rounds[1:-1], outer)
+    outer = _descend(rounds[1:-1], outer, block_levels)
     schema = "id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
-    pairs = _blocks(nodes).cogroup(outer.groupBy("tree", "block"))
-    done = pairs.applyInPandas(_finish_block(proofs), schema + (f", proof {PROOF}" if proofs else ""))
+    pairs = _blocks(nodes, block_levels).cogroup(outer.groupBy("tree", "block"))
+    done = pairs.applyInPandas(_finish_block(block_levels, proofs), schema + (f", proof {PROOF}" if proofs else ""))
     columns = ["leaf", "subroot", "root", "proof_sha256", "folded_root", *(["proof"] if proofs else [])]
     verified = (F.col("folded_root") == F.col("root")).alias("verified")
     return done.select(F.col("id").cast(docs.schema[order_col].dataType).alias(order_col), *columns, verified)

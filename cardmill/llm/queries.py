@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardmill.llm import (
-    byte_bpe, embedding_dedup, line_dedup, merkle, minhash_dedup, mixing, periodic, quality, secrets, suffix_dedup, token_files, toxicity
+    byte_bpe, embedding_dedup, line_dedup, merkle, minhash_dedup, mixing, periodic, quality, secrets, suffix_dedup, token_files,
+    toxicity, url_templates,
 )
 from cardmill.llm.common import ascii_lower, table, words_of
 
@@ -118,6 +119,21 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_manifest(docs, claimed=tampered, claimed_where=_crc32("doc_id") % 5 == 0)
 
 
+URL_RULES = [
+    url_templates.Rule("allow", "com/"),
+    url_templates.Rule("block", "example.com/en/"),
+    url_templates.Rule("allow", "www.example.com/en/"),
+    url_templates.Rule("block", "net/es/"),
+    url_templates.Rule("block", "net/fr/"),
+]
+
+
+@query
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_templates.judge_urls(pages, URL_RULES).drop("url")
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """Texts of a tenth of the documents, chosen by the checksum of their id, made periodic from a word on."""
     n = F.size("_words")

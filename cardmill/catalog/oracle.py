@@ -315,3 +315,24 @@ SELECT u.id, u.yearly_income, c.n_cards, c.limits FROM users_data u LEFT JOIN (
   FROM cards_data GROUP BY client_id) c ON u.id = c.client_id"""),
 }
 ORACLE["q2_join_broadcast"] = ORACLE["q2_join_clients"]
+ORACLE |= {
+    # Upkeep
+    "kpi_incremental": _with("spending", """
+SELECT client_id, count(amount) AS total_amount, count(*) AS transaction_count,
+       cast(sum(amount) AS double) / count(amount) AS avg_spent, cast(max(amount) AS float) AS max_spent
+FROM spending GROUP BY client_id"""),
+    "metrics_incremental": ORACLE["q8_client_metrics"],
+    "months_incremental": ORACLE["monthly_totals"],
+    "merge_corrections": _with("train_fraud_labels", """
+SELECT id, CASE WHEN NOT low THEN info WHEN id % 194 = 3 THEN 'Withdrawn' WHEN id % 97 = 3 THEN 'Checked' ELSE info END AS info,
+       CASE WHEN NOT low THEN 0 WHEN id % 194 = 3 THEN 2 WHEN id % 97 = 3 THEN 1 ELSE 0 END AS seen
+FROM (SELECT *, id <= (SELECT max(id) / 4 FROM train_fraud_labels) AS low FROM train_fraud_labels)"""),
+    "compact_days": _with("train_fraud_labels", """
+SELECT id, info, CASE id % 3 WHEN 0 THEN date '2025-04-30' WHEN 1 THEN date '2025-05-01' ELSE date '2025-05-22' END
+       AS ingestion_date, cast(CASE id % 3 WHEN 0 THEN 6 ELSE 1 END AS bigint) AS n_files
+FROM train_fraud_labels"""),
+    "page_by_directory": _with("transactions_data", """
+SELECT client_id, use_chip, id, amount FROM (
+  SELECT *, row_number() OVER (ORDER BY use_chip, client_id DESC, id, amount) - 1 AS pos FROM transactions_data)
+WHERE pos // 250 IN (0, 2)"""),
+}

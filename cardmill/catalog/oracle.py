@@ -335,4 +335,37 @@ FROM train_fraud_labels"""),
 SELECT client_id, use_chip, id, amount FROM (
   SELECT *, row_number() OVER (ORDER BY use_chip, client_id DESC, id, amount) - 1 AS pos FROM transactions_data)
 WHERE pos // 250 IN (0, 2)"""),
+    "json_array_split": _with("transactions_data", """
+SELECT id, amount, errors, concat('say "', use_chip, '" }, {[ \\', id::VARCHAR, ']', chr(9), '\\') AS note, merchant_city, mcc
+FROM transactions_data"""),
+    "clustered_read": _with("spending", """
+SELECT *, 'client' AS "by" FROM spending WHERE client_id BETWEEN 40 AND 90
+UNION ALL
+SELECT *, 'date' AS "by" FROM spending
+WHERE transaction_date >= timestamp '1996-03-01 00:00:00' AND transaction_date < timestamp '1996-05-01 00:00:00'"""),
+    "silver_bucketed_join": _with("transactions_cleaned train_fraud_labels", """
+SELECT t.*, date '2025-05-22' AS ingestion_date, f.info FROM transactions_cleaned t JOIN train_fraud_labels f ON t.id = f.id"""),
+    "join_heavy_clients": _with("transactions_data users_data", """
+SELECT t.*, u.* EXCLUDE (id)
+FROM (SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN 1 ELSE client_id END AS client_id) FROM transactions_data) t
+JOIN users_data u ON t.client_id = u.id"""),
+    "infer_lattice": _with("transactions_data", """
+SELECT id, CASE WHEN wide THEN date ELSE date_trunc('day', date) END AS seen,
+       client_id + CASE WHEN wide THEN 3000000000 ELSE 0 END AS account,
+       merchant_id + CASE WHEN wide THEN 0.5::DOUBLE ELSE 0 END AS share,
+       CASE WHEN id % 4 = 0 THEN 'true' WHEN wide THEN 'x' ELSE 'FALSE' END AS flag, NULL::VARCHAR AS nothing,
+       'timestamp, bigint, double, string, string' AS types
+FROM (SELECT *, id % 2 = 1 AS wide FROM transactions_data)"""),
+    "ingest_with_rejects": _with("transactions_data", """
+SELECT * FROM (
+  SELECT id, 'date' AS "column", '2024-13-45 00:00:00' AS text, 'no such day or time' AS reason FROM transactions_data WHERE id % 37 = 5
+  UNION ALL
+  SELECT id, 'client_id', '99999999999999999999', 'out of range' FROM transactions_data WHERE id % 41 = 2
+  UNION ALL
+  SELECT id, 'mcc', 'x' || mcc, 'not a whole number' FROM transactions_data WHERE id % 31 = 3
+  UNION ALL
+  SELECT id, 'zip', 'here', 'not double' FROM transactions_data WHERE id % 59 = 4)
+UNION ALL
+SELECT id, NULL, client_id::VARCHAR, 'accepted' FROM transactions_data
+WHERE id % 37 <> 5 AND id % 41 <> 2 AND id % 31 <> 3 AND id % 59 <> 4"""),
 }

@@ -24,6 +24,7 @@ from cardmill.session import JobPaths, materialize, scratch_path
 from cardmill.sinks import files as file_sinks
 from cardmill.sinks import tables as table_sinks
 from cardmill.sources import readers
+from cardmill.sources.json_arrays import read_json_array
 from cardmill.streaming.ingest import ingest_new_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,7 +42,7 @@ def _sample(spark: SparkSession, folder: str) -> Sample:
     return Sample(spark, folder)
 
 
-def _database(spark: SparkSession, label: str) -> str:
+def database(spark: SparkSession, label: str) -> str:
     """A catalog database of this application, located in the shared folder."""
     name = "cardmill_" + re.sub(r"\W", "_", f"{label}_{spark.sparkContext.applicationId}".lower())
     table_sinks.create_database(spark, name, scratch_path(spark, name))
@@ -74,6 +75,18 @@ def json_scan_schema(s: Sample) -> DataFrame:
     return readers.read_json(s.spark, files, table_schema("mcc_codes"))
 
 
+@query
+def json_array_split(s: Sample) -> DataFrame:
+    """One file with one array of all transactions, read by as many tasks as its size allows."""
+    odd = F.concat_ws("", F.lit('say "'), "use_chip", F.lit('" }, {[ \\'), "id", F.lit("]\t\\"))
+    place = F.struct("merchant_city", F.array("merchant_id", "mcc").alias("codes"))
+    rows = s.transactions().select("id", "amount", "errors", odd.alias("note"), place.alias("place"))
+    files = staging.write_json_array_file(rows, scratch_path(s.spark, "json-array"), "id")
+    schema = "id bigint, amount string, errors string, note string, place struct<merchant_city: string, codes: array<bigint>>"
+    read = read_json_array(s.spark, files, schema)
+    return read.select("id", "amount", "errors", "note", "place.merchant_city", F.col("place.codes")[1].alias("mcc"))
+
+
 @query
 def json_lines_scan(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "json")
@@ -377,7 +390,7 @@ def q5_enrich_save(s: Sample) -> DataFrame:
 
 @query
 def q6_top10_year(s: Sample) -> DataFrame:
-    database = _database(s.spark, "q6")
+    database = database(s.spark, "q6")
     name = table_sinks.save_top_clients(s.spending(), database, scratch_path(s.spark, "top10"), YEAR)
     return s.spark.table(name)
 
@@ -590,7 +603,7 @@ def parquet_round_trip(s: Sample) -> DataFrame:
 
 @query
 def table_round_trip(s: Sample) -> DataFrame:
-    database = _database(s.spark, "tables")
+    database = database(s.spark, "tables")
     table_sinks.drop_table(s.spark, database, "users")
     users = cleaning.stamp_ingestion(cleaning.clean_users(s.users()), DAY)
     path = scratch_path(s.spark, "users")
@@ -634,7 +647,7 @@ def _run_layers(s: Sample) -> tuple[JobPaths, Callable[[str], str]]:
     staging.write_csv(s.transactions(), f"{landing}/transactions_data.csv")
     source = _source_folder(s, ("cards_data", "users_data", "mcc_codes", "train_fraud_labels"))
     store, mart_store = scratch_path(spark, "store"), scratch_path(spark, "marts")
-    database = _database(spark, "layers")
+    database = database(spark, "layers")
     paths = JobPaths(source, scratch_path(spark, "raw"), scratch_path(spark, "warehouse"), database)
     jobs.run_all(
         spark,

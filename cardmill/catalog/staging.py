@@ -41,3 +41,13 @@ def write_json_objects(df: DataFrame, path: str, key: str, value: str) -> str:
     elements = df.select(F.substring(pair, F.lit(2), F.length(pair) - 2).alias("element"))
     _documents(elements, "element", "{", "}").select("value").write.text(path)
     return path
+
+
+def write_json_array_file(df: DataFrame, path: str, key: str) -> str:
+    """All rows as one JSON array in one file, by one task: a file as others deliver it. Returns the path pattern."""
+    comma = F.when(F.col(key) == df.select(F.min(key)).scalar(), "").otherwise(",")
+    records = df.select(F.lit(1).alias("part"), F.col(key), F.concat(comma, F.to_json(F.struct("*"))).alias("value"))
+    ends = df.sparkSession.createDataFrame([(0, 0, "["), (2, 0, "]")], f"part int, {key} long, value string")
+    rows = records.unionByName(ends).coalesce(1).sortWithinPartitions("part", key)
+    rows.select("value").write.text(path)
+    return f"{path}/part-*"

@@ -1,4 +1,4 @@
-"""Queries over tables that are kept up to date in place: state, corrections, packed files, pages by a directory."""
+"""Queries over tables that are kept up to date in place, laid out for later reads, or read from doubtful files."""
 
 from __future__ import annotations
 
@@ -6,12 +6,17 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardmill.catalog.queries import query
+from cardmill.catalog import staging
+from cardmill.catalog.queries import database, query
 from cardmill.catalog.sample import DAY, YEAR, Sample
-from cardmill.operators.cleaning import stamp_ingestion
-from cardmill.plans import incremental
-from cardmill.session import scratch_path
-from cardmill.sinks import keyed, manifests
+from cardmill.operators.cleaning import TIMESTAMP_FORMAT, stamp_ingestion, stamp_ingestion_partition
+from cardmill.operators.heavy import join_heavy
+from cardmill.plans import incremental, jobs
+from cardmill.schemas import PARTITION_COLUMNS, table_schema
+from cardmill.session import JobPaths, scratch_path
+from cardmill.sinks import clustered, keyed, manifests
+from cardmill.sinks.files import write_parquet
+from cardmill.sources import inference, rejects
 
 # Each kind of transaction arrives on a day of its own.
 DAYS = {"Online": date(2025, 4, 30), "Swipe": date(2025, 5, 1), "Chip": DAY}
@@ -90,3 +95,79 @@ def page_by_directory(s: Sample) -> DataFrame:
     keyed.write_pages(rows, path, order, files=10)
     pages = [keyed.page_by_directory(s.spark, path, page, 250) for page in (1, 3, 100_000_000)]
     return pages[0].unionByName(pages[1]).unionByName(pages[2])
+
+
+@query
+def clustered_read(s: Sample) -> DataFrame:
+    """A range of clients and a range of days, read from a layout that serves both."""
+    path, spending = scratch_path(s.spark, "clustered"), s.spending()
+    clustered.write_clustered(spending, path, ["client_id", "transaction_date"], files=4)
+    rows = s.spark.read.schema(spending.schema).parquet(path)
+    clients = rows.where(F.col("client_id").between(40, 90)).withColumn("by", F.lit("client"))
+    days = "transaction_date >= timestamp '1996-03-01 00:00:00' AND transaction_date < timestamp '1996-05-01 00:00:00'"
+    return clients.unionByName(rows.where(days).withColumn("by", F.lit("date")))
+
+
+@query
+def silver_bucketed_join(s: Sample) -> DataFrame:
+    raw, name = scratch_path(s.spark, "raw"), database(s.spark, "buckets")
+    paths = JobPaths(raw, raw, scratch_path(s.spark, "warehouse"), name)
+    arrived = stamp_ingestion_partition(s.transactions(), DAY)
+    write_parquet(arrived, paths.raw_table("transactions_data"), partition_by=PARTITION_COLUMNS)
+    write_parquet(stamp_ingestion(s.labels(), DAY), paths.raw_table("train_fraud_labels"))
+    jobs.silver_buckets(s.spark, paths, jobs.bucket_count(s.spark, raw))
+    return jobs.labelled_from_buckets(s.spark, name)
+
+
+@query
+def join_heavy_clients(s: Sample) -> DataFrame:
+    """One client has a third of all transactions."""
+    client = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("client_id")).cast("bigint")
+    return join_heavy(s.transactions().withColumn("client_id", client), s.clients(), "client_id")
+
+
+@query
+def infer_lattice(s: Sample) -> DataFrame:
+    """Two deliveries of one table, the second with wider values in most columns."""
+    path = scratch_path(s.spark, "lattice")
+    rows = s.transactions()
+    odd = F.col("id") % 2 == 1
+    for name, wide in (("first", False), ("second", True)):
+        part = rows.where(odd if wide else ~odd)
+        part = part.select(
+            "id",
+            F.date_format("date", TIMESTAMP_FORMAT if wide else "yyyy-MM-dd").alias("seen"),
+            (F.col("client_id") + (3_000_000_000 if wide else 0)).alias("account"),
+            F.concat("merchant_id", F.lit(".5" if wide else "")).alias("share"),
+            F.when(F.col("id") % 4 == 0, "true").otherwise("x" if wide else "FALSE").alias("flag"),
+            F.lit(None).cast("string").alias("nothing"),
+        )
+        staging.write_csv(part, f"{path}/{name}")
+    days = [inference.type_summary(inference.read_text_columns(s.spark, f"{path}/{name}")) for name in ("first", "second")]
+    schema = inference.schema_of(inference.merge_summaries(days[0].unionByName(days[1])))
+    read = inference.read_inferred(s.spark, f"{path}/*", schema)
+    return _same_keys(read).withColumn("types", F.lit(", ".join(f.dataType.simpleString() for f in schema.fields[1:])))
+
+
+def _same_keys(df: DataFrame) -> DataFrame:
+    """Inference makes a key INT or BIGINT, by the size of the table."""
+    return df.withColumn("id", F.col("id").cast("bigint"))
+
+
+@query
+def ingest_with_rejects(s: Sample) -> DataFrame:
+    """Accepted rows by id, and each rejected cell with its text and reason."""
+    bad = {
+        "date": F.when(F.col("id") % 37 == 5, "2024-13-45 00:00:00"),
+        "client_id": F.when(F.col("id") % 41 == 2, "99999999999999999999"),
+        "mcc": F.when(F.col("id") % 31 == 3, F.concat(F.lit("x"), "mcc")),
+        "zip": F.when(F.col("id") % 59 == 4, "here"),
+    }
+    rows = s.transactions().withColumn("date", F.date_format("date", TIMESTAMP_FORMAT))
+    rows = rows.withColumns({name: F.coalesce(text, F.col(name).cast("string")) for name, text in bad.items()})
+    path = staging.write_csv(rows, scratch_path(s.spark, "doubtful"))
+    schema = table_schema("transactions_data")
+    good, wrong = rejects.ingest_with_rejects(s.spark, path, schema)
+    wrong = wrong.select(F.get_json_object("record", "$.id").cast("bigint").alias("id"), F.explode("rejects").alias("r"))
+    good = good.select("id", F.lit(None).cast("string").alias("column"), F.col("client_id").cast("string").alias("text"), F.lit("accepted").alias("reason"))
+    return good.unionByName(wrong.select("id", "r.*"))

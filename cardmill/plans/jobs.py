@@ -21,13 +21,13 @@ from cardmill.operators.cleaning import (
     stamp_ingestion,
     stamp_ingestion_partition,
 )
-from cardmill.operators.enrich import enrich_transactions, labels_in_range
-from cardmill.operators.sizing import path_bytes, size_shuffles
+from cardmill.operators.enrich import add_labels, enrich_transactions, labels_in_range
+from cardmill.operators.sizing import partitions_for, path_bytes, size_shuffles
 from cardmill.plans.marts import KPI_MART, TOP_MART, marts, top_consumers, top_of_kpis
 from cardmill.schemas import PARTITION_COLUMNS, table_schema
 from cardmill.session import JobPaths, drop_copies, materialize
 from cardmill.sinks.files import write_parquet
-from cardmill.sinks.tables import create_database, write_table
+from cardmill.sinks.tables import create_database, write_bucketed, write_table
 from cardmill.sources.files import ingest_directory
 from cardmill.sources.jdbc import JdbcTarget, read_jdbc, write_jdbc
 from cardmill.sources.readers import read_parquet
@@ -179,6 +179,36 @@ def run_silver(
     )
 
 
+def bucket_count(spark: SparkSession, path: str, target_mb: int = 256) -> int:
+    """Buckets for a table of the size of ``path``: a power of two, so that tables of two sizes can be made to agree."""
+    return 1 << (partitions_for(path_bytes(spark, path), target_mb) - 1).bit_length()
+
+
+def silver_buckets(
+    spark: SparkSession, paths: JobPaths, buckets: int, tables: Sequence[str] = ("transactions_data", "train_fraud_labels")
+) -> list[str]:
+    """Bronze tables -> catalog tables in buckets by ``id``; returns their names.
+
+    Labels are the history that every run joins; in buckets they are shuffled when they change and not in each run.
+    """
+    create_database(spark, paths.database, paths.warehouse)
+
+    def write(table: str) -> None:
+        rows = read_parquet(spark, paths.raw_table(table), latest_only=table == "transactions_data")
+        rows = clean_transactions(rows) if table == "transactions_data" else rows.select(*table_schema(table).names)
+        name = f"{table}_buckets"
+        write_bucketed(rows, paths.database, name, paths.warehouse_table(name), "id", buckets)
+
+    run_together([partial(write, table) for table in tables])
+    return [f"{table}_buckets" for table in tables]
+
+
+def labelled_from_buckets(spark: SparkSession, database: str) -> DataFrame:
+    """Cleaned transactions with their labels, joined bucket by bucket."""
+    transactions, labels = (spark.table(f"`{database}`.`{t}_buckets`") for t in ("transactions_data", "train_fraud_labels"))
+    return add_labels(transactions, labels)
+
+
 def run_marts(
     spark: SparkSession,
     write: TableWriter,

@@ -49,6 +49,19 @@ def write_table(
         writer.saveAsTable(f"`{database}`.`{table}`")
 
 
+def write_bucketed(df: DataFrame, database: str, table: str, path: str, key: str, buckets: int) -> None:
+    """Replace a catalog table with ``df`` in ``buckets`` files by the hash of ``key``, each sorted by it.
+
+    Two tables with as many buckets join on their keys without a shuffle, every time they are read; a table that is
+    joined again and again pays for its shuffle once, here. Rows are dealt out as the buckets are, so each bucket is
+    one file. All rows of a key share a bucket: this is for keys that tell rows apart, or nearly so. Files are in
+    order, which a merge join uses without a sort if ``spark.sql.legacy.bucketedTableScan.outputOrdering`` is set.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
+    with timestamp_statistics(df.sparkSession):
+        writer.bucketBy(buckets, key).sortBy(key).saveAsTable(f"`{database}`.`{table}`")
+
+
 def save_top_clients(
     transactions: DataFrame,
     database: str,

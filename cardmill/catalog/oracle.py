@@ -280,7 +280,7 @@ SELECT card_brand, cast(row_number() OVER (ORDER BY n DESC, card_brand) - 1 AS d
 FROM (SELECT card_brand, count(*) AS n FROM cards_data GROUP BY card_brand)"""),
     "ml_rmse": _with("p", """
 SELECT sqrt(cast(sum(error * error) AS double) / cast(count(error) AS double)) AS rmse FROM (
-  SELECT cast(amount AS decimal(15,2)) - cast(credit_score * 400 AS decimal(15,2)) AS error FROM p)"""),
+  SELECT cast(amount_exact AS decimal(15,2)) - cast(credit_score * 400 AS decimal(15,2)) AS error FROM p)"""),
     "ml_accuracy": _with("cards_data", """
 SELECT cast(count(CASE WHEN card_brand = guess THEN 1 END) AS double) / cast(count(*) AS double) AS accuracy FROM (
   SELECT card_brand, CASE substring(card_number, 1, 1) WHEN '3' THEN 'Visa' WHEN '5' THEN 'Amex'
@@ -295,10 +295,11 @@ SELECT (2 * sum(CASE WHEN label THEN rnk END) - count_if(label) * (count_if(labe
     "ml_amount_gbt": _with("p", f"SELECT id, true AS predicted, true AS fits FROM p WHERE {HASH} >= 80"),
     "ml_brand_rf": _with("cards_data", f"""
 SELECT id, card_brand, card_brand AS predicted_brand FROM cards_data WHERE {HASH.replace("42:", "12345:")} >= 80"""),
-    "ml_training_run": _with("p", """
-SELECT count(*) AS n_rows, count(amount) AS n_amounts, true AS has_error FROM p"""),
-    "q9_fraud_models": """
-SELECT model, true AS auc_in_range FROM (VALUES ('LogisticRegression'), ('RandomForest'), ('GBT')) m(model)""",
+    "ml_training_run": _with("p", f"""
+SELECT count(*) AS n_rows, count(amount) AS n_amounts, count_if({HASH} >= 80)::BIGINT AS n_test, true AS error_agrees FROM p"""),
+    "q9_fraud_models": _with("p", f"""
+SELECT model, count_if({HASH} >= 70)::BIGINT AS n_test, true AS auc_agrees
+FROM p, (VALUES ('LogisticRegression'), ('RandomForest'), ('GBT')) m(model) GROUP BY model"""),
     # Layer runs
     "parquet_round_trip": _with("cards_cleaned", "SELECT * FROM cards_cleaned"),
     "table_round_trip": _with("users_cleaned", """

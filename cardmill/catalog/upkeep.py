@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardmill.catalog import staging
-from cardmill.catalog.queries import database, query
+from cardmill.catalog.queries import new_database, query
 from cardmill.catalog.sample import DAY, YEAR, Sample
 from cardmill.operators.cleaning import TIMESTAMP_FORMAT, stamp_ingestion, stamp_ingestion_partition
 from cardmill.operators.heavy import join_heavy
@@ -110,7 +110,7 @@ def clustered_read(s: Sample) -> DataFrame:
 
 @query
 def silver_bucketed_join(s: Sample) -> DataFrame:
-    raw, name = scratch_path(s.spark, "raw"), database(s.spark, "buckets")
+    raw, name = scratch_path(s.spark, "raw"), new_database(s.spark, "buckets")
     paths = JobPaths(raw, raw, scratch_path(s.spark, "warehouse"), name)
     arrived = stamp_ingestion_partition(s.transactions(), DAY)
     write_parquet(arrived, paths.raw_table("transactions_data"), partition_by=PARTITION_COLUMNS)

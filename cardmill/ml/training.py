@@ -20,6 +20,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardmill.functions.hashing import hash_split
+from cardmill.functions.money import EXACT_TYPE
 from cardmill.ml.features import (
     AMOUNT_FEATURES,
     AMOUNT_STRINGS,
@@ -59,10 +60,19 @@ def area_under_roc(predictions: DataFrame, label: str) -> float:
 
 
 def rmse_frame(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """RMSE of money predictions as one row ``rmse``, summed exactly."""
-    error = F.col(label).try_cast("decimal(15,2)") - F.col(prediction).try_cast("decimal(15,2)")
-    squares = F.sum((error * error).try_cast("decimal(34,4)")).cast("double")
-    return predictions.agg(F.sqrt(squares / F.count(error).cast("double")).alias("rmse"))
+    """RMSE of money predictions as one row ``rmse``, over all rows that have both values.
+
+    Errors are taken to six places and squared and summed as decimals, so the result does not depend on the order of
+    rows. Where one of them is beyond 10**12, all are summed as doubles instead; none is left out.
+    """
+    # As wide as a square can be without losing places.
+    exact = (F.col(label).try_cast(EXACT_TYPE) - F.col(prediction).try_cast(EXACT_TYPE)).try_cast("decimal(18,6)")
+    plain = F.col(label).cast("double") - F.col(prediction).cast("double")
+    rows = predictions.select(F.try_multiply(exact, exact).alias("exact"), plain.alias("plain"))
+    rows = rows.where(F.col("plain").isNotNull())
+    squares = F.when(F.count("exact") == F.count("plain"), F.try_sum("exact").cast("double"))
+    total = F.coalesce(squares, F.sum(F.col("plain") * F.col("plain")))
+    return rows.agg(F.sqrt(total / F.count("plain").cast("double")).alias("rmse"))
 
 
 def accuracy_frame(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -152,14 +162,14 @@ def fraud_algorithms() -> dict[str, object]:
     }
 
 
-def compare_fraud_models(
+def score_fraud_models(
     df: DataFrame,
     features: Sequence[str],
     label_col: str = "is_fraud",
     key: str = "transaction_id",
     seed: int = 42,
-) -> dict[str, float]:
-    """Area under ROC of three classifiers trained and tested on the same 70/30 split.
+) -> dict[str, DataFrame]:
+    """The predictions of three classifiers for the test rows of one 70/30 split, which they share.
 
     The positive class is a true ``label_col``. Rows without a flag are left out.
     """
@@ -168,14 +178,29 @@ def compare_fraud_models(
     )
     train, test = train_test(rows, key, (70, 30), seed)
     vectors = assembler(list(features))
-    scores = {}
-    for name, algorithm in fraud_algorithms().items():
-        model = Pipeline(stages=[vectors, algorithm]).fit(train)
-        scores[name] = area_under_roc(model.transform(test), "label")
-    return scores
+    return {
+        name: Pipeline(stages=[vectors, algorithm]).fit(train).transform(test)
+        for name, algorithm in fraud_algorithms().items()
+    }
+
+
+def compare_fraud_models(
+    df: DataFrame,
+    features: Sequence[str],
+    label_col: str = "is_fraud",
+    key: str = "transaction_id",
+    seed: int = 42,
+) -> dict[str, float]:
+    """Area under ROC of the three classifiers of ``score_fraud_models``."""
+    predictions = score_fraud_models(df, features, label_col, key, seed)
+    return {name: area_under_roc(rows, "label") for name, rows in predictions.items()}
+
+
+def training_run(spark: SparkSession, database: str = "process_data") -> tuple[PipelineModel, DataFrame, float]:
+    """The calendar model of the processed table: the model, its test predictions and their RMSE."""
+    return train_calendar_amount_model(spark.table(f"`{database}`.transactions_data_processed"))
 
 
 def run_training(spark: SparkSession, database: str = "process_data") -> float:
     """Train the calendar model on the processed table and return its RMSE."""
-    processed = spark.table(f"`{database}`.transactions_data_processed")
-    return train_calendar_amount_model(processed)[2]
+    return training_run(spark, database)[2]

@@ -5,7 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import AtomicType, DataType, FractionalType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    AtomicType,
+    BooleanType,
+    DataType,
+    DoubleType,
+    FloatType,
+    FractionalType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from cardmill.operators.filters import by_label
 
@@ -58,16 +69,31 @@ def _narrow(df: DataFrame, order: Sequence[tuple[str, bool]], first: int, end: i
     """The rows of the key ranges that hold the positions ``first`` to ``end``, the rows before them, their number.
 
     Only the keys are shuffled, by sampled ranges, and each range is reduced to its number of rows, first and last
-    key. The full rows are then read with a filter; nothing is written.
+    key. The full rows are then read with a filter; nothing is written. The bounds of the first column are plain
+    comparisons as well, which reach the scan and skip its row groups.
     """
-    keys = df.select(_place(df, order).alias("place"))
+    lead = F.col(f"`{order[0][0]}`")
+    keys = df.select(_place(df, order).alias("place"), lead.alias("lead"))
     ranged = keys.repartitionByRange(F.col("place")).groupBy(F.spark_partition_id().alias("task"))
-    ranges = ranged.agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("low"), F.max("place").alias("high"))
+    ranges = ranged.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("place").alias("low"),
+        F.max("place").alias("high"),
+        F.min("lead").alias("least"),
+        F.max("lead").alias("most"),
+        F.count_if(F.col("lead").isNull()).alias("unknown"),
+    )
     before = Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     starts = ranges.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
     hit = starts.where((F.col("start") < end) & (F.col("start") + F.col("n") > first))
     found = hit.agg(
-        F.min("start").alias("start"), F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
+        F.min("start").alias("start"),
+        F.sum("n").alias("n"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
+        F.sum("unknown").alias("unknown"),
     )
     row = found.first()
     if row["n"] is None:
@@ -77,7 +103,18 @@ def _narrow(df: DataFrame, order: Sequence[tuple[str, bool]], first: int, end: i
     edges = df.sparkSession.createDataFrame([(row["low"], row["high"])], edge_schema)
     place = _place(df, order)
     low, high = edges.select("low").scalar(), edges.select("high").scalar()
-    return df.where((place >= low) & (place <= high)), row["start"], row["n"]
+    near = df
+    if not isinstance(df.schema[order[0][0]].dataType, (BooleanType, DoubleType, FloatType)):
+        near = df.where(_within(lead, row["least"], row["most"], row["unknown"] > 0))
+    return near.where((place >= low) & (place <= high)), row["start"], row["n"]
+
+
+def _within(column: Column, least: object, most: object, unknown: bool) -> Column:
+    """Whether a value lies between two known ones, or is NULL where that may be."""
+    if least is None:
+        return column.isNull()
+    known = (column >= F.lit(least)) & (column <= F.lit(most))
+    return known | column.isNull() if unknown else known
 
 
 def paginate(df: DataFrame, order_by: Sequence[str], page: int = PAGE, size: int = SIZE) -> DataFrame:

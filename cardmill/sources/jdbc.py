@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -113,8 +114,8 @@ def write_jdbc(
     its executor inserts again, so give the table a unique key where that matters.
     """
     options = write_options(target, table, connections, batch_size, truncate, column_types)
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        # The writer coalesces, and so would run an aggregation before it in few tasks; a shuffle keeps that parallel.
+    if re.search(r"(?<!Broadcast)Exchange", df._jdf.queryExecution().executedPlan().toString()):
+        # A broadcast is no shuffle. The writer coalesces, and so would run an aggregation before it in few tasks; a shuffle keeps that parallel.
         df = df.repartition(connections)
     df.write.format("jdbc").options(**options).mode(mode).save()
 

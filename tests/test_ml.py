@@ -56,6 +56,13 @@ def test_evaluators_agree_with_the_frames(spark):
     assert training.accuracy_frame(rows, "label").first().accuracy == pytest.approx(training.accuracy(rows, "label"))
 
 
+def test_rmse_keeps_every_row(spark):
+    rows = spark.createDataFrame([(1.0, 0.5), (0.0, 1e20), (None, 3.0), (2.0, None)], "label double, prediction double")
+    assert training.rmse_frame(rows, "label").first().rmse == pytest.approx(1e20 / 2**0.5)
+    exact = spark.createDataFrame([("0.10", 0.123456), ("0.20", 0.2)], "label string, prediction double")
+    assert training.rmse_frame(exact, "label").first().rmse == pytest.approx(0.023456 / 2**0.5, rel=1e-9)
+
+
 def test_auc_by_ranks(spark):
     rows = spark.range(0, 400, 1, 5).select((F.hash("id") % 3 == 0).alias("label"), (F.col("id") * 7 % 13).cast("double").alias("score"))
     expected = training.area_under_roc(rows.select(F.col("label").cast("double").alias("label"), F.col("score").alias("rawPrediction")), "label")

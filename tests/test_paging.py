@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from plans import plan
+from plans import plan, scan_rows, scans
 from pyspark.sql import functions as F
 
 from cardmill.operators import paging
@@ -140,3 +140,17 @@ def test_guards(spark):
     assert require_rows(spark.range(1)).count() == 1
     with pytest.raises(ValueError, match="training set"):
         require_rows(spark.range(0), "training set")
+
+
+def test_a_deep_page_skips_row_groups(spark, folder, conf):
+    """The bounds of the first column reach the scan, NULLs included."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = spark.range(0, 40_000).selectExpr("CASE WHEN id < 3000 THEN NULL ELSE id END AS k", "id")
+    rows.repartitionByRange(20, "id").write.parquet(folder + "/t")
+    stored = spark.read.parquet(folder + "/t")
+    page = paging.paginate(stored, ["k"], page=300, size=100)
+    assert [r["id"] for r in page.collect()] == list(range(29_900, 30_000))
+    assert "GreaterThanOrEqual(k," in scans(page)
+    assert min(scan_rows(page)) < 40_000 / 2
+    first = paging.paginate(stored, ["k"], page=20, size=100)
+    assert [r["id"] for r in first.collect()] == list(range(1900, 2000))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -12,6 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -21,7 +21,7 @@ from cardmill.session import materialize, scratch_path
 MAGIC = b"CMT3"
 HEAD = "<IQQQ"  # of a block: documents, ids, control bytes, data bytes
 RAW_HEAD = "<IQ"  # of a block whose ids are not ranked yet: documents, ids
-LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([.,!?;:]*)")
+MARKS = ".,!?;:"
 MOST_WORDS = 600_000  # words a worker remembers at least; results do not depend on it
 
 # For each control byte the lengths of its four ids.
@@ -74,10 +74,34 @@ class WordTokenizer:
         self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        parts = [(t or "").encode().split() for t in texts]
-        found = [list(map(self.known.get, ws)) for ws in parts]
-        gaps = [[i for i, x in enumerate(xs) if x is None] for xs in found]
-        missing = list({ws[i] for ws, at in zip(parts, gaps, strict=True) for i in at})
+        """The ids of each text."""
+        ids, counts = self.encode_flat(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one behind the other, and the number of ids of each.
+
+        Only the distinct words are looked up; the ids of the others are copied from them.
+        """
+        parts = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        words = parts.flatten().dictionary_encode()
+        bounds = np.frombuffer(words.dictionary.buffers()[1], np.int64, len(words.dictionary) + 1).tolist()
+        letters = bytes(words.dictionary.buffers()[2] or b"")
+        found = self._look_up([letters[a:b] for a, b in zip(bounds, bounds[1:], strict=False)])
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(lengths) - lengths
+        which = words.indices.to_numpy(zero_copy_only=False)
+        sizes = lengths[which]
+        ends = np.cumsum(sizes)
+        place = np.repeat(starts[which] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        ids = np.frombuffer(b"".join(found), dtype="<u4")[place]
+        # Words before the end of each text, and ids before the end of each word.
+        upto = np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+        return ids, np.diff(np.concatenate(([0], ends))[np.concatenate(([0], upto))])
+
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        found = list(map(self.known.get, words))
+        missing = [w for w, x in zip(words, found, strict=True) if x is None]
         if len(self.known) + len(missing) > MOST_WORDS:
             # Start a new table; words in use come over from the old one.
             self.older, self.known = self.known, {}
@@ -85,10 +109,7 @@ class WordTokenizer:
         known.update([(w, older[w]) for w in missing if w in older])
         new = [w for w in missing if w not in known]
         known.update(zip(new, self.learn([w.decode() for w in new]), strict=True))
-        for ws, xs, at in zip(parts, found, gaps, strict=True):
-            for i in at:
-                xs[i] = known[ws[i]]
-        return [np.frombuffer(b"".join(xs), dtype="<u4") for xs in found]
+        return [known[w] if x is None else x for w, x in zip(words, found, strict=True)]
 
     def _each(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -110,29 +131,33 @@ class WordTokenizer:
 
         The tokenizer lower-cases and cuts letters from marks, so these parts stand for many words.
         """
-        parts: list[tuple[str, str] | None] = []
+        known, older = self.known, self.older
+        cut: list[str] = []  # the letters of each word in the case that stands for them, or nothing
+        marks: list[str] = []
         for w in words:
-            found = LETTERS_AND_MARKS.fullmatch(w)
-            letters = found[1] if found else ""
+            bare = w.rstrip(MARKS)
             # Some letters have a lower case that is no letter.
-            plain = letters.isalpha() and letters.lower().isalpha()
-            parts.append((letters.lower() if letters.isascii() else letters, found[2]) if plain else None)
-        ids: dict[str, bytes] = {}
+            if not bare.isalpha() or not (bare.isascii() or bare.lower().isalpha()):
+                cut.append("")
+                marks.append(w)
+            else:
+                cut.append(bare.lower() if bare.isascii() else bare)
+                marks.append(w[len(bare) :])
+        ids: dict[str, bytes] = {"": b""}
         new: dict[bool, list[str]] = {True: [], False: []}
-        for letters in {p[0] for p in parts if p}:
+        for letters in set(cut) - {""}:
             raw = letters.encode()
-            known = self.known.get(raw) or self.older.get(raw)
-            if known is None:
-                new[letters.isascii()].append(letters)
+            if found := known.get(raw) or older.get(raw):
+                ids[letters] = found
             else:
-                ids[letters] = known
+                new[letters.isascii()].append(letters)
         for group in new.values():
             for at in range(0, len(group), 512):
                 ids.update(zip(group[at : at + 512], self._letters(group[at : at + 512]), strict=True))
-        rest = list({p[1] for p in parts if p and p[1]} | {w for w, p in zip(words, parts, strict=True) if not p})
+        rest = list(set(marks) - {""})
         others = dict(zip(rest, self._each(rest), strict=True))
         others[""] = b""
-        return [ids[p[0]] + others[p[1]] if p else others[w] for w, p in zip(words, parts, strict=True)]
+        return [ids[x] + others[m] for x, m in zip(cut, marks, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -159,9 +184,18 @@ def rank_by_frequency(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return table, ranks_of(table)[ids]
 
 
+def _uri(folder: str) -> str | None:
+    """The URI of a folder, None for a plain path; ``s3a`` and ``s3n``, as Spark names them, are ``s3``."""
+    scheme, colon, rest = folder.partition(":")
+    if not colon or not (rest.startswith("//") or scheme == "file"):
+        return None
+    return f"s3:{rest}" if scheme in ("s3a", "s3n") else folder
+
+
 def _filesystem(folder: str) -> tuple[pa.fs.FileSystem, str]:
-    if "://" in folder or folder.startswith("file:"):
-        return pa.fs.FileSystem.from_uri(folder)
+    uri = _uri(folder)
+    if uri:
+        return pa.fs.FileSystem.from_uri(uri)
     return pa.fs.LocalFileSystem(), folder
 
 
@@ -172,6 +206,7 @@ def _create(path: str) -> pa.NativeFile:
 
 
 MANIFEST = "shard int, path string, n_docs long, n_ids long"
+SUMMED = 64
 COUNTED = MANIFEST + ", used array<int>, times array<long>"
 
 
@@ -189,7 +224,7 @@ def write_token_files(
     Returns the manifest: one row a file in order, with its path, documents and ids. Ids are stored as ranks by their
     frequency in the whole corpus, so that the frequent ones take a byte; each file begins with the table, common to
     all, that turns ranks into ids. Texts are encoded once: a first pass writes plain ids to scratch files and counts
-    them, the counts are added up by id (the sums have the size of the vocabulary), a second pass ranks the files.
+    them, the counts are added up (vectors of the size of the vocabulary), a second pass ranks the files.
     Rows are ordered by a range partitioning, and each task writes the blocks of its range as they come. A task
     that runs twice writes two files and the manifest names the one that counts. Null ids come first, null texts
     count as empty, and rows with equal ids are ordered by their text.
@@ -204,7 +239,6 @@ def write_token_files(
 
     def encode(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = word_tokenizer(tokenizer_path)
-        end = np.array([end_id], dtype="<u4")
         times = np.zeros(max(own.size, end_id + 1), dtype=np.int64)
         kind = _raw_type(len(times))
         out = path = shard = None
@@ -216,18 +250,19 @@ def write_token_files(
                 shard = batch.column(2)[0].as_py()
                 path = f"{scratch.rstrip('/')}/part-{shard:06d}-{uuid.uuid4().hex[:12]}.{kind[1:]}"
                 out = _create(path)
-            encoded = own.encode(batch.column(1).to_pylist())
-            counts = np.array([len(e) + 1 for e in encoded], dtype="<u8")
-            every = np.concatenate([x for e in encoded for x in (e, end)])
+            ids, counts = own.encode_flat(batch.column(1))
+            # The end id goes behind the ids of each text.
+            every = np.insert(ids, np.cumsum(counts), end_id)
+            counts = (counts + 1).astype("<u8")
             part = np.bincount(every)
             times[: len(part)] += part
             doc = batch.column(0)
             null = np.array(doc.is_null().to_numpy(zero_copy_only=False), dtype=np.uint8)
             number = doc.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
-            out.write(struct.pack(RAW_HEAD, len(encoded), len(every)))
+            out.write(struct.pack(RAW_HEAD, len(counts), len(every)))
             for piece in (number.tobytes(), null.tobytes(), counts.tobytes(), every.astype(kind).tobytes()):
                 out.write(piece)
-            n_docs, n_ids = n_docs + len(encoded), n_ids + len(every)
+            n_docs, n_ids = n_docs + len(counts), n_ids + len(every)
         if out is not None:
             out.close()
             used = np.flatnonzero(times)
@@ -240,11 +275,7 @@ def write_token_files(
             )
 
     counted = materialize(ranged.mapInArrow(encode, COUNTED), "token-counts")
-    pairs = counted.select(F.explode(F.arrays_zip("used", "times")).alias("x")).groupBy(F.col("x.used").alias("id"))
-    sums = {r["id"]: r["n"] for r in pairs.agg(F.sum("x.times").alias("n")).collect()}  # one row for each id in use
-    total = np.zeros(max(sums, default=-1) + 1, dtype=np.int64)
-    total[list(sums)] = list(sums.values())
-    order = by_frequency(total).tobytes()
+    order = by_frequency(_sum_counts(counted)).tobytes()
 
     def write(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = ranks_of(np.frombuffer(order, "<u4"))
@@ -263,7 +294,45 @@ def write_token_files(
                 )
 
     files = counted.select("shard", "path", "n_docs", "n_ids").repartition(n, "path")
-    return materialize(files.mapInArrow(write, MANIFEST), "token-manifest")
+    manifest = materialize(files.mapInArrow(write, MANIFEST), "token-manifest")
+    plain = spark._jvm.org.apache.hadoop.fs.Path(scratch)
+    plain.getFileSystem(spark._jsc.hadoopConfiguration()).delete(plain, True)
+    return manifest
+
+
+def _add_counts(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of count vectors, as one row."""
+    total = np.zeros(0, dtype=np.int64)
+    for batch in source:
+        for at in range(batch.num_rows):
+            used, times = (batch.column(k)[at].values.to_numpy() for k in (0, 1))
+            if len(used) and used[-1] >= len(total):
+                total = np.concatenate((total, np.zeros(int(used[-1]) + 1 - len(total), dtype=np.int64)))
+            total[used] += times
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_pydict(
+        {
+            "used": pa.array([used.astype(np.int32)], pa.list_(pa.int32())),
+            "times": pa.array([total[used]], pa.list_(pa.int64())),
+        }
+    )
+
+
+def _sum_counts(counted: DataFrame) -> np.ndarray:
+    """How often each id occurs in all files: vectors of the size of the vocabulary, added up in a tree.
+
+    A task adds up SUMMED vectors, so rows never outnumber the files, and the driver takes SUMMED at most.
+    """
+    sums = counted.select("used", "times")
+    n = counted.count()
+    while n > SUMMED:
+        n = -(-n // SUMMED)
+        sums = materialize(sums.repartition(n).mapInArrow(_add_counts, "used array<int>, times array<long>"), "token-sums")
+    rows = [(np.array(r["used"], dtype=np.int64), np.array(r["times"], dtype=np.int64)) for r in sums.collect()]
+    total = np.zeros(max((int(used[-1]) + 1 for used, _ in rows if len(used)), default=0), dtype=np.int64)
+    for used, times in rows:
+        total[used] += times
+    return total
 
 
 def _raw_type(size: int) -> str:

@@ -341,3 +341,22 @@ def test_labels_held_out_are_not_learned(spark):
     for r in QUERIES["op5_toxicity"](spark, SF).collect():
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
         assert r.predicted == int(r.score >= 0.7)
+
+
+def test_counts_are_added_up_in_a_tree(spark, docs, monkeypatch):
+    """More files than a task adds up; the sums have no more rows than there were vectors."""
+    rnd = np.random.default_rng(3)
+    vectors = [np.bincount(rnd.integers(0, 500, 40), minlength=500) for _ in range(30)]
+    rows = [(np.flatnonzero(v).tolist(), v[v > 0].tolist()) for v in vectors] + [([], [])]
+    counted = spark.createDataFrame(rows, "used array<int>, times array<long>").repartition(5)
+    monkeypatch.setattr(token_files, "SUMMED", 4)
+    total = token_files._sum_counts(counted)
+    want = sum(vectors)
+    assert total.tolist() == want[: len(total)].tolist() and not want[len(total) :].any()
+    assert not len(token_files._sum_counts(counted.limit(0)))
+
+
+def test_object_stores_by_the_names_that_spark_uses():
+    assert token_files._uri("s3a://bucket/tokens") == "s3://bucket/tokens"
+    assert token_files._uri("file:/tmp/x") == "file:/tmp/x"
+    assert token_files._uri("/tmp/a:b") is None and token_files._uri("tokens") is None

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardmill.llm.common import ascii_lower, free, let, strip
+from cardmill.session import materialize
 
 ADDED = ("n_lines", "n_dropped")
 
@@ -32,7 +33,8 @@ def dedup_lines(
       documents are counted, and each of them is reassembled from its own text; repeated rows come out repeated.
 
     Counting is pre-aggregated by (key, document) and then by key, so a line that every document holds is one
-    row a task. The join back to line positions is a sort-merge join, which AQE splits on such a line.
+    row a task. The shared keys are written before they are joined back to line positions: an aggregate that feeds the
+    join directly would keep AQE from splitting the partition of such a line.
     """
     docs = free(docs, *ADDED)
     doc, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
@@ -48,7 +50,9 @@ def dedup_lines(
         lines.groupBy("_llm_key")
         .agg(F.count_distinct("_llm_doc").alias("_llm_docs"), F.min("_llm_doc").alias("_llm_first"))
         .where(F.col("_llm_docs") > max_docs)
+        .select("_llm_key", "_llm_first")
     )
+    shared = materialize(shared, "shared-lines")
     drops = (
         lines.join(shared, "_llm_key")
         .where(F.col("_llm_doc") != F.col("_llm_first"))

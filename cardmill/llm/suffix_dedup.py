@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cardmill.llm.common import free, ship
 from cardmill.llm.shingles import mix, prefix_sums, substring_hashes
-from cardmill.session import materialize
+from cardmill.session import drop_copies, materialize
 
 MATCH = 400
 ANCHOR = 32
@@ -260,6 +260,10 @@ def _cut(text: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int, int]:
 def remove_repeats(docs: DataFrame, text_col: str = "text", bytes_col: str = "kept_bytes") -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and the remaining bytes added.
 
+    Buckets are made of cores, by hash, rather than of ranges of suffixes; inside a bucket suffixes are ordered by their
+    first bytes and difference-cover ranks. Strings of a core that is dealt over several buckets are looked up in the
+    others by two 64-bit hashes, since ranks of different buckets cannot be compared.
+
     A byte goes if a string of MATCH bytes that covers it starts anywhere else, in the same text or in another row;
     strings are judged on the input. Null and empty texts have 0 bytes, texts shorter than MATCH stay whole, and
     of equal texts (repeated rows too) nothing stays from MATCH bytes on. Ids play no part. What remains may end
@@ -288,6 +292,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", bytes_col: str = "ke
     place = F.xxhash64("key", "first")
     cores = found.groupBy("core").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count(F.lit(1)).alias("n"))
     cores = cores.where(F.col("low") != F.col("high")).select("core", F.ceil(F.col("n") / CORE_PIECES).cast("int").alias("tiles"))
+    # Written before it is joined, so that AQE can split a core with very many pieces; below, too.
+    cores = materialize(cores, "repeated-cores")
     open_pieces = materialize(found.join(cores, "core").distinct(), "open-pieces")
     by_text = open_pieces.groupBy("key").agg(F.collect_list(F.struct("core", "tiles", "first", "starts")).alias("pieces"))
 
@@ -312,9 +318,11 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", bytes_col: str = "ke
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = segments.repartition(4 * n, "core", "tile").sortWithinPartitions("core", "tile")
     solved = materialize(dealt.mapInArrow(_buckets, FOUND), "suffix-runs")
+    drop_copies(found, cores, open_pieces)
     ranges = solved.where("part = 0").select("key", "first", "last")
     strings = solved.where("part = 1")
     several = strings.groupBy("string_a", "string_b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = materialize(several.select("string_a", "string_b"), "repeated-strings")
     late = strings.where("alone").join(several, ["string_a", "string_b"], "left_semi").select("key", "first", "last")
     copies = long.groupBy(F.col("_llm_key").alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.max(F.octet_length(text)).cast("bigint").alias("last")

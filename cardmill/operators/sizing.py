@@ -80,6 +80,16 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def output_partitions(df: DataFrame, target_mb: int = 128, most: int = MOST_PARTITIONS) -> int:
+    """Partitions for writing ``df``, by the size of the files that it reads.
+
+    The optimizer's estimate of a join is a product that says nothing; it is used only for rows that come from no file.
+    """
+    files = df.inputFiles()
+    size = path_bytes(df.sparkSession, files) if files else planned_bytes(df)
+    return min(partitions_for(size, target_mb), most)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Size of the rows of ``df``, counted in one aggregate pass."""
     width = F.lit(16)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardmill.operators.sizing import partitions_for, planned_bytes
+from cardmill.operators.sizing import output_partitions
 from cardmill.session import timestamp_statistics
 from cardmill.sinks.keyed import FILE_MB, range_place
 
@@ -59,7 +59,7 @@ def write_clustered(
     those of the others. Rows of one code are kept apart by the columns themselves, so a code with very many rows is
     dealt over several files as long as these differ.
     """
-    parts = files or partitions_for(planned_bytes(df), FILE_MB)
+    parts = files or output_partitions(df, FILE_MB)
     ranged = with_clustering(df, columns, bits).repartitionByRange(parts, "_code", *columns)
     ranged = ranged.sortWithinPartitions("_code", *columns).drop("_code")
     writer = ranged.write if row_group_bytes is None else ranged.write.option("parquet.block.size", row_group_bytes)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cardmill.operators.paging import total_order
-from cardmill.operators.sizing import MIB, partitions_for, planned_bytes
+from cardmill.operators.sizing import MIB, output_partitions
 from cardmill.session import materialize
 from cardmill.sinks.manifests import DATA, file_names, latest_version, manifest, publish, read_files, write_files
 
@@ -21,11 +21,11 @@ FILE_MB = 128
 def write_ranges(df: DataFrame, path: str, key: str, files: int | None = None) -> int:
     """Write ``df`` as a new version whose files hold ranges of ``key``, sorted; returns the version.
 
-    ``key`` is not NULL and tells rows apart. Without ``files`` their number follows the planned size of ``df``.
+    ``key`` is not NULL and tells rows apart. Without ``files`` their number follows the size of what ``df`` reads.
     """
     spark = df.sparkSession
     before = latest_version(spark, path)
-    parts = files or partitions_for(planned_bytes(df), FILE_MB)
+    parts = files or output_partitions(df, FILE_MB)
     ranged = df.repartitionByRange(parts, key).sortWithinPartitions(key)
     return publish(write_files(ranged, path, F.col(f"`{key}`")), path, before)
 
@@ -151,7 +151,7 @@ def write_pages(df: DataFrame, path: str, order_by: Sequence[str], files: int |
     """
     spark = df.sparkSession
     before = latest_version(spark, path)
-    parts = files or partitions_for(planned_bytes(df), FILE_MB)
+    parts = files or output_partitions(df, FILE_MB)
     order = [F.col(f"`{n}`").desc() if down else F.col(f"`{n}`").asc() for n, down in total_order(df, order_by)]
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     new = write_files(ranged, path, F.col(f"`{order_by[0].split()[0]}`"))

@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cardmill.operators.analytics import client_metrics, monthly_totals
 from cardmill.operators.heavy import heavy_keys, join_heavy
+from cardmill.operators.sizing import output_partitions, planned_bytes
 from cardmill.plans import incremental, jobs
 from cardmill.schemas import table_schema
 from cardmill.session import JobPaths
@@ -117,6 +118,18 @@ def test_range_place(spark, n):
         assert r["place"] == sum(low <= r["id"] for low in lows)
 
 
+def test_files_follow_the_size_of_what_is_read(spark, folder):
+    """The planner's estimate of a join is a product of sizes."""
+    spark.range(200_000).write.parquet(f"{folder}/a")
+    a = spark.read.parquet(f"{folder}/a")
+    joined = a.join(a.withColumnRenamed("id", "other"), F.col("id") % 7 == F.col("other") % 5)
+    assert planned_bytes(joined) > 10**11
+    assert output_partitions(joined, 1) <= 4
+    assert output_partitions(spark.range(10)) == 1
+    keyed.write_ranges(a, f"{folder}/t", "id")
+    assert manifests.manifest(spark, f"{folder}/t").count() == 1
+
+
 # Packing
 
 

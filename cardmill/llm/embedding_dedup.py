@@ -10,10 +10,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import FloatType
 
 from cardmill.llm.common import free, ship
 from cardmill.llm.components import connected_components
-from cardmill.session import materialize
+from cardmill.session import drop_copies, materialize
 
 BLOCKS = 8
 # Members of a cell that are compared at once; larger cells are cut into tiles and all pairs of tiles are compared.
@@ -172,7 +173,9 @@ def near_vectors(
     spark = ship(vectors.sparkSession)
     vectors = free(vectors, "n_links", "component_id", "kept")
     ident, vector, label = (F.col(f"`{c}`") for c in (id_col, vector_col, label_col))
-    numbers = F.transform(vector, lambda x: x.cast("double"))
+    # Floats are shipped as they are, which is half of what doubles take; all sums are double.
+    kind = "float" if isinstance(vectors.schema[vector_col].dataType.elementType, FloatType) else "double"
+    numbers = F.transform(vector, lambda x: x.cast(kind))
     usable = (
         label.isNotNull()
         & ident.isNotNull()
@@ -184,7 +187,7 @@ def near_vectors(
         ident.alias("id"), label.alias("label"), F.size(vector).alias("size"), numbers.alias("vector")
     )
     # Minus zero equals zero.
-    good = good.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
+    good = good.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0).cast(kind)))
     groups = good.groupBy("label", "size", "vector").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies"))
     reps = materialize(groups, "vector-groups")
     sizes = reps.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
@@ -193,14 +196,16 @@ def near_vectors(
     label_type = reps.schema["label"].dataType.simpleString()
     touched = rows.mapInArrow(
         lambda batches: _tiled(batches, threshold),
-        f"rep long, label {label_type}, size int, copies long, vector array<double>, block int, cell string, home boolean",
+        f"rep long, label {label_type}, size int, copies long, vector array<{kind}>, block int, cell string, home boolean",
     )
     # What a cell holds decides into how many tiles it is cut.
     touched = materialize(touched, "vector-cells")
     key = ["label", "size", "block", "cell"]
     counts = touched.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.count_if("home").alias("homes"))
     counts = counts.where((F.col("n") > 1) & (F.col("homes") > 0)).withColumn("tiles", F.ceil(F.col("n") / TILE_ROWS).cast("int"))
-    members = touched.join(counts.select(*key, "tiles"), key).withColumn(
+    # Written before it is joined, so that AQE can split a cell with very many rows.
+    counts = materialize(counts.select(*key, "tiles"), "cell-tiles")
+    members = touched.join(counts, key).withColumn(
         "tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
@@ -211,6 +216,7 @@ def near_vectors(
         lambda frame: compare_cell(frame, threshold), "rep long, links long, root long"
     )
     found = materialize(found, "vector-links")
+    drop_copies(touched, counts)
     edges = found.where(F.col("rep") != F.col("root")).select(F.col("rep").alias("a"), F.col("root").alias("b"))
     roots = connected_components(edges)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))

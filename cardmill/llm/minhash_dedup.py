@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cardmill.llm.common import free, ship
 from cardmill.llm.components import connected_components, local_roots
 from cardmill.llm.shingles import mix, set_key, shingle_set
-from cardmill.session import materialize
+from cardmill.session import drop_copies, materialize
 
 TREES, MOST_DEPTH, LEAST_DEPTH = 16, 8, 4
 HASHES = TREES * MOST_DEPTH
@@ -203,8 +203,8 @@ def _tree_key(tree: int) -> Column:
     return F.concat(*(F.substring("signature", 1 + 2 * v, 2) for v in values))
 
 
-def _regions(reps: DataFrame, trees: int = TREES, last: int = MOST_DEPTH) -> DataFrame:
-    """(tree, region, tiles, rep) for the regions with at least two members.
+def _regions(reps: DataFrame, trees: int = TREES, last: int = MOST_DEPTH) -> tuple[DataFrame, list[DataFrame]]:
+    """(tree, region, tiles, rep) for the regions with at least two members, and the copies that this reads.
 
     A tree is the order of all signatures by MOST_DEPTH of their values. Rows that share a prefix stand together in
     it, so the neighbours with a common prefix of d values are the group of that prefix. Groups start at
@@ -216,23 +216,26 @@ def _regions(reps: DataFrame, trees: int = TREES, last: int = MOST_DEPTH) -> Dat
         for t in range(trees)
     ]
     rows = reps.select("rep", "n_shingles", F.explode(F.array(*keys)).alias("_k")).select("rep", "n_shingles", "_k.*")
-    found = None
+    found, copies = None, []
     for depth in range(LEAST_DEPTH, last + 1):
         prefix = F.substring("key", 1, 2 * depth)
         counts = rows.groupBy("tree", prefix.alias("region")).agg(
             F.count(F.lit(1)).alias("n"), F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high")
         )
-        counts = counts.where(F.col("n") > 1)
+        # Written before it is joined, so that AQE can split a prefix with very many rows.
+        counts = materialize(counts.where(F.col("n") > 1), "region-sizes")
+        copies.append(counts)
         here = rows.withColumn("region", prefix).join(counts, ["tree", "region"])
         if depth < last:
             here = materialize(here, f"region-depth-{depth}")
+            copies.append(here)
             rows = here.where(F.col("n") > REGION_ROWS).select("rep", "n_shingles", "tree", "key")
             here = here.where(F.col("n") <= REGION_ROWS)
         part = here.select("tree", "region", "rep", F.ceil(F.col("n") / REGION_ROWS).cast("int").alias("tiles"))
         found = part if found is None else found.union(part)
         if depth < last and rows.isEmpty():
             break
-    return found
+    return found, copies
 
 
 def near_documents(
@@ -267,7 +270,9 @@ def near_documents(
     reps = materialize(reps, "distinct-sets")
     spread = (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
     least = percent / 100 - SIGMAS * spread
-    regions = materialize(_regions(reps, *forest_shape(percent)), "regions")
+    found, copies = _regions(reps, *forest_shape(percent))
+    regions = materialize(found, "regions")
+    drop_copies(*copies)
     key = ["tree", "region", "tile_a", "tile_b"]
     paired = _tile_pairs(regions.join(reps, "rep")).select(*key, "rep", "n_shingles", "signature")
     # Most regions are small, so a task takes many, one after the other.
@@ -296,6 +301,7 @@ def near_documents(
     same = with_set.join(reps.select("set_key", "rep"), "set_key").where(F.col("id") != F.col("rep"))
     edges = confirmed.union(same.select(F.col("id").alias("a"), F.col("rep").alias("b")))
     roots = connected_components(edges)
+    drop_copies(reps, regions, members)
     per_id = signed.groupBy("id").agg(F.max("n_shingles").alias("n_shingles"))
     per_id = per_id.join(roots, F.col("id") == F.col("node"), "left").select(
         F.col("id").alias("_llm_id"), "n_shingles", F.coalesce("root", "id").alias("component_id")

@@ -16,7 +16,7 @@ from cardmill.llm.common import free, ship
 
 # Bounds of what a worker remembers; beyond them it forgets and rebuilds, which changes no result.
 MOST_STATES = 150_000
-MOST_PIECES = 400_000
+MOST_PIECES, LONG_PIECE = 400_000, 64
 DECODE_BLOCK = 4096
 ONE_BYTE = [bytes((i,)) for i in range(256)]
 
@@ -157,14 +157,25 @@ class Transducer:
         self.ends[number] = end = tuple(reversed(out))
         return end
 
+    def _forget(self, number: int) -> int:
+        """Drops all states but the first one and ``number``, whose new number it returns."""
+        kept = self.states[number]
+        self._reset()
+        if number:
+            number = self.numbers[kept[:2]] = len(self.states)
+            self.states.append(kept)
+        return number
+
     def encode(self, piece: bytes) -> list[int]:
         """The token ids of one piece."""
-        if len(self.states) >= MOST_STATES:
-            self._reset()
         out: list[int] = []
         state, moves = 0, self.moves
         for byte in piece:
-            move = moves.get(256 * state + byte) or self._move(state, byte)
+            move = moves.get(256 * state + byte)
+            if move is None:
+                if len(self.states) >= MOST_STATES:
+                    state, moves = self._forget(state), self.moves
+                move = self._move(state, byte)
             state = move[0]
             if move[1]:
                 out.extend(move[1])
@@ -214,6 +225,8 @@ class Codec:
         if found is None:
             shared = self.ids
             found = tuple([shared[i] for i in self.machine.encode(piece.encode())])
+        if len(piece) > LONG_PIECE:
+            return found
         if len(self.known) >= MOST_PIECES:
             self.older, self.known = self.known, {}
         self.known[piece] = found

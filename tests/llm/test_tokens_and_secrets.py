@@ -360,3 +360,13 @@ def test_object_stores_by_the_names_that_spark_uses():
     assert token_files._uri("s3a://bucket/tokens") == "s3://bucket/tokens"
     assert token_files._uri("file:/tmp/x") == "file:/tmp/x"
     assert token_files._uri("/tmp/a:b") is None and token_files._uri("tokens") is None
+
+
+def test_states_are_bounded_inside_a_piece(exact, monkeypatch):
+    """A long piece may need more states than a worker keeps; it is not remembered either."""
+    monkeypatch.setattr(byte_bpe, "MOST_STATES", 50)
+    own = byte_bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    rnd = random.Random(8)
+    piece = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzäöüßéñ") for _ in range(3000))
+    assert own.encode(piece) == exact.encode_ordinary(piece)
+    assert len(own.machine.states) <= 51 and piece not in own.known

@@ -78,11 +78,11 @@ def json_scan_schema(s: Sample) -> DataFrame:
 
 @query
 def json_array_split(s: Sample) -> DataFrame:
-    """One file with one array of all transactions, read by as many tasks as its size allows."""
+    """All transactions in large arrays, a file each, read by as many tasks as their size allows."""
     odd = F.concat_ws("", F.lit('say "'), "use_chip", F.lit('" }, {[ \\'), "id", F.lit("]\t\\"))
     place = F.struct("merchant_city", F.array("merchant_id", "mcc").alias("codes"))
     rows = s.transactions().select("id", "amount", "errors", odd.alias("note"), place.alias("place"))
-    files = staging.write_json_array_file(rows, scratch_path(s.spark, "json-array"), "id")
+    files = staging.write_json_array_files(rows, scratch_path(s.spark, "json-array"), "id")
     schema = "id bigint, amount string, errors string, note string, place struct<merchant_city: string, codes: array<bigint>>"
     read = read_json_array(s.spark, files, schema)
     return read.select("id", "amount", "errors", "note", "place.merchant_city", F.col("place.codes")[1].alias("mcc"))

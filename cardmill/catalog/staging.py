@@ -5,11 +5,17 @@ Everything is written by distributed Spark jobs below the shared folder of the s
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from cardmill.operators.cleaning import TIMESTAMP_FORMAT
 
 ROWS_PER_DOCUMENT = 20_000
+# Some blocks of the text source.
+ROWS_PER_ARRAY = 1_000_000
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -43,11 +49,22 @@ def write_json_objects(df: DataFrame, path: str, key: str, value: str) -> str:
     return path
 
 
-def write_json_array_file(df: DataFrame, path: str, key: str) -> str:
-    """All rows as one JSON array in one file, by one task: a file as others deliver it. Returns the path pattern."""
-    comma = F.when(F.col(key) == df.select(F.min(key)).scalar(), "").otherwise(",")
-    records = df.select(F.lit(1).alias("part"), F.col(key), F.concat(comma, F.to_json(F.struct("*"))).alias("value"))
-    ends = df.sparkSession.createDataFrame([(0, 0, "["), (2, 0, "]")], f"part int, {key} long, value string")
-    rows = records.unionByName(ends).coalesce(1).sortWithinPartitions("part", key)
-    rows.select("value").write.text(path)
+def write_json_array_files(df: DataFrame, path: str, key: str, rows_per_file: int = ROWS_PER_ARRAY) -> str:
+    """All rows as JSON arrays, each a file of about ``rows_per_file`` records. Returns the path pattern of the files.
+
+    Records are dealt out by ``key`` and written as they come, so that a task neither sorts nor keeps them.
+    """
+    files = max(1, -(-df.count() // rows_per_file))
+    records = df.select(key, F.to_json(F.struct("*")).alias("value")).repartition(files, key)
+
+    def as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            if batch.num_rows:
+                marks = pa.array([before] + [","] * (batch.num_rows - 1), batch.column(0).type)
+                yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(marks, batch.column(0), "")], ["value"])
+                before = ","
+        yield pa.RecordBatch.from_pydict({"value": ["[", "]"] if before == "[" else ["]"]})
+
+    records.select("value").mapInArrow(as_array, "value string").write.text(path)
     return f"{path}/part-*"

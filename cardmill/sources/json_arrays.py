@@ -10,7 +10,10 @@ brackets. The text source cuts files into blocks and blocks at closing braces, w
 3. a record ends where a closing brace leads back to the depth of the array. Pieces are put together by record
    inside their block; only the torn ends of blocks are put together across blocks.
 
-Only built-in expressions are used. The text is shuffled once, by block.
+Blocks of the text source are divided into runs of CHUNK pieces, which are what is called a block here. They are small
+beside what a task is given, so a task's memory does not follow the size of a file or of its splits.
+
+Only built-in expressions are used. The text is written once, summed up, and shuffled once, by block.
 """
 
 from __future__ import annotations
@@ -20,22 +23,27 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
-from cardmill.operators.sizing import broadcast_within
+from cardmill.operators.sizing import broadcast_within, partitions_for, path_bytes
 from cardmill.schemas import narrow_keys, read_as
 from cardmill.session import materialize
 
 CUT = "}"
-BLOCK = ("file", "block")
+BLOCK = ("file", "split", "chunk")
+CHUNK = 1 << 15
+# Text that a task puts together. Its rows, with their file and place, take several times as much.
+TASK_MB = 16
 
 
 def _pieces(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The text between closing braces, with its file, block and place in the block."""
     text = spark.read.option("lineSep", CUT).text(list(paths))
-    return text.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        # Rows of a block are read in order by one task.
-        F.monotonically_increasing_id().alias("place"),
+    # Rows of a split are read in order by one task.
+    rows = text.select("*", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
+    return rows.select(
+        F.col("file_path").alias("file"),
+        F.col("file_block_start").alias("split"),
+        F.expr(f"place div {CHUNK}").alias("chunk"),
+        "place",
         "value",
     )
 
@@ -66,6 +74,7 @@ def _summed(pieces: DataFrame) -> DataFrame:
         turns.alias("turns"),
         (_depth(_outside(parts, False)) - (1 - turns)).alias("from_outside"),
         (_depth(_outside(parts, True)) - turns).alias("from_inside"),
+        F.regexp_extract("value", r"^[\s\uFEFF]*(.)", 1).alias("first"),
     )
 
 
@@ -81,10 +90,9 @@ def _change(inside: Column) -> Column:
     return F.when(inside % 2 == 1, F.col("from_inside")).otherwise(F.col("from_outside"))
 
 
-def _block_starts(pieces: DataFrame) -> DataFrame:
+def _block_starts(summed: DataFrame, tasks: int) -> DataFrame:
     """One row a block: whether it starts inside a string, and its depth; and what the file comes to in the end."""
-    first = F.regexp_extract("value", r"^[\s\uFEFF]*(.)", 1)
-    narrow = _summed(pieces).select(*BLOCK, "place", "turns", "from_outside", "from_inside", first.alias("first"))
+    narrow = summed.drop("value").repartition(tasks, *BLOCK)
     inside = _running("turns", _before("place", by=BLOCK))
     blocks = (
         narrow.withColumn("_inside", inside)
@@ -97,14 +105,16 @@ def _block_starts(pieces: DataFrame) -> DataFrame:
         )
     )
     whole = Window.partitionBy("file")
-    blocks = blocks.withColumn("inside", _running("turns", _before("block", by=["file"])) % 2)
+    before = _before(*BLOCK[1:], by=["file"])
+    blocks = blocks.withColumn("inside", _running("turns", before) % 2)
     blocks = blocks.withColumn("change", _change(F.col("inside")))
-    base = (F.first("first").over(whole.orderBy("block")) == "[").cast("int")
+    base = (F.first("first").over(whole.orderBy(*BLOCK[1:])) == "[").cast("int")
     return blocks.select(
         *BLOCK,
         "inside",
-        _running("change", _before("block", by=["file"])).alias("depth"),
+        _running("change", before).alias("depth"),
         base.alias("base"),
+        (F.row_number().over(whole.orderBy(*BLOCK[1:])) == 1).alias("leads"),
         F.sum("change").over(whole).alias("end_depth"),
         (F.sum("turns").over(whole) % 2).alias("end_inside"),
     )
@@ -119,17 +129,20 @@ def _torn(starts: DataFrame) -> list[str]:
 def json_array_texts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """The records of JSON arrays of objects as texts, one row ``value`` a record; any number of files.
 
-    A file holds one array of objects, or objects one behind the other. Blocks are those of the text source
+    A file holds one array of objects, or objects one behind the other. Blocks lie in the splits of the text source
     (``spark.sql.files.maxPartitionBytes``), so a file of any size is read by many tasks; a record may span
     blocks. A file that ends inside a record, or holds anything but objects, is an error. Empty files and arrays
     have no records.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    pieces = _pieces(spark, paths)
-    starts = materialize(_block_starts(pieces), "json-blocks")
+    tasks = max(spark.sparkContext.defaultParallelism, partitions_for(path_bytes(spark, paths), TASK_MB))
+    # Written, so that splits and places are the same below, whatever executors there are by then.
+    summed = materialize(_summed(_pieces(spark, paths)), "json-pieces")
+    starts = materialize(_block_starts(summed, tasks), "json-blocks")
     if torn := _torn(starts):
         raise ValueError(f"JSON that is not closed in {torn}")
-    rows = _summed(pieces).join(broadcast_within(starts.drop("end_depth", "end_inside")), list(BLOCK))
+    rows = summed.drop("first").repartition(tasks, *BLOCK)
+    rows = rows.join(broadcast_within(starts.drop("end_depth", "end_inside")), list(BLOCK))
     before = _before("place", by=BLOCK)
     rows = rows.withColumn("_inside", (F.col("inside") + _running("turns", before)) % 2)
     rows = rows.withColumn("_change", _change(F.col("_inside")))
@@ -141,19 +154,19 @@ def json_array_texts(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     found = rows.groupBy(*BLOCK, "record").agg(
         F.array_sort(F.collect_list(F.struct("place", "value"))).alias("pieces"),
         F.max("_ends").alias("ends"),
-        F.min_by(F.struct("_inside", "_depth", "base"), "place").alias("start"),
+        F.min_by(F.struct("_inside", "_depth", "base", "leads"), "place").alias("start"),
     )
     text = F.concat(F.array_join(F.col("pieces.value"), CUT), F.lit(CUT))
     fresh = (F.col("start._inside") == 0) & (F.col("start._depth") == F.col("start.base"))
     # In the first block the opening bracket is still to come.
-    fresh = fresh | ((F.col("block") == 0) & (F.col("record") == 0))
+    fresh = fresh | (F.col("start.leads") & (F.col("record") == 0))
     found = found.select(*BLOCK, "record", text.alias("value"), (F.col("ends") == 1).alias("ends"), fresh.alias("fresh"))
     whole = found.where("ends AND fresh").select("value")
     # At most two pieces a block are torn.
     torn = found.where("NOT (ends AND fresh)")
-    number = _running(F.col("ends").cast("int"), _before("block", "record", by=["file"]))
+    number = _running(F.col("ends").cast("int"), _before(*BLOCK[1:], "record", by=["file"]))
     joined = torn.withColumn("number", number).groupBy("file", "number")
-    ordered = F.array_sort(F.collect_list(F.struct("block", "record", "value")))["value"]
+    ordered = F.array_sort(F.collect_list(F.struct(*BLOCK[1:], "record", "value")))["value"]
     joined = joined.agg(F.array_join(ordered, "").alias("value"))
     texts = whole.unionByName(joined.select("value"))
     # What stands before a record, and what is left behind the last one with the brace that was added to it.

@@ -1,6 +1,7 @@
 """Versioned tables, incremental state, layouts and doubtful files: edge cases and what is read."""
 
 import datetime
+import glob
 import json
 import random
 
@@ -10,6 +11,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from cardmill.catalog import staging
 from cardmill.operators.analytics import client_metrics, monthly_totals
 from cardmill.operators.heavy import heavy_keys, join_heavy
 from cardmill.operators.sizing import output_partitions, planned_bytes
@@ -270,6 +272,30 @@ def test_json_array_in_blocks(spark, folder, conf, indent, block):
     assert tasks > 1 or block == 1 << 20
 
 
+def test_json_blocks_are_small_beside_a_split(spark, folder, conf, monkeypatch):
+    """A split is put together by several tasks; one task did before, with memory for the whole split."""
+    monkeypatch.setattr(json_arrays, "CHUNK", 7)
+    conf(spark__sql__files__maxPartitionBytes=str(1 << 20))
+    records = odd_records(300)
+    for name, part in (("a", records[:290]), ("b", records[290:])):
+        with open(f"{folder}/{name}.json", "w", encoding="utf-8") as out:
+            json.dump(part, out)
+    texts = json_arrays.json_array_texts(spark, f"{folder}/*.json")
+    assert sorted((json.loads(r["value"]) for r in texts.collect()), key=lambda r: r["id"]) == records
+    assert texts.select(F.spark_partition_id().alias("task")).distinct().count() > 3
+
+
+def test_json_arrays_are_staged_by_many_tasks(spark, folder):
+    rows = spark.range(0, 1000, 1, 6).selectExpr("id", "concat('a\n\"', id) AS note")
+    files = glob.glob(staging.write_json_array_files(rows, f"{folder}/many", "id", rows_per_file=200))
+    found = [json.load(open(f)) for f in files]
+    assert len(files) == 5 and max(map(len, found)) < 400
+    assert sorted(r["id"] for part in found for r in part) == list(range(1000))
+    assert {r["note"] for part in found for r in part} == {f'a\n"{i}' for i in range(1000)}
+    empty = staging.write_json_array_files(rows.where("id < 0"), f"{folder}/none", "id")
+    assert json_arrays.read_json_array(spark, empty, "id long, note string").collect() == []
+
+
 def test_json_objects_without_an_array(spark, folder, conf):
     conf(spark__sql__files__maxPartitionBytes="64", spark__sql__files__openCostInBytes="1")
     records = odd_records(30)

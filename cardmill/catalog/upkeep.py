@@ -115,7 +115,7 @@ def silver_bucketed_join(s: Sample) -> DataFrame:
     arrived = stamp_ingestion_partition(s.transactions(), DAY)
     write_parquet(arrived, paths.raw_table("transactions_data"), partition_by=PARTITION_COLUMNS)
     write_parquet(stamp_ingestion(s.labels(), DAY), paths.raw_table("train_fraud_labels"))
-    jobs.silver_buckets(s.spark, paths, jobs.bucket_count(s.spark, raw))
+    jobs.silver_buckets(s.spark, paths)
     return jobs.labelled_from_buckets(s.spark, name)
 
 

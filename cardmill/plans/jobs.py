@@ -22,7 +22,7 @@ from cardmill.operators.cleaning import (
     stamp_ingestion_partition,
 )
 from cardmill.operators.enrich import add_labels, enrich_transactions, labels_in_range
-from cardmill.operators.sizing import partitions_for, path_bytes, size_shuffles
+from cardmill.operators.sizing import measured_bytes, partitions_for, path_bytes, size_shuffles
 from cardmill.plans.marts import KPI_MART, TOP_MART, marts, top_consumers, top_of_kpis
 from cardmill.schemas import PARTITION_COLUMNS, table_schema
 from cardmill.session import JobPaths, drop_copies, materialize
@@ -180,24 +180,45 @@ def run_silver(
 
 
 def bucket_count(spark: SparkSession, path: str, target_mb: int = 256) -> int:
-    """Buckets for a table of the size of ``path``: a power of two, so that tables of two sizes can be made to agree."""
-    return 1 << (partitions_for(path_bytes(spark, path), target_mb) - 1).bit_length()
+    """Buckets for a table of the size of ``path``: a power of two, so that tables of two sizes can be made to agree.
+
+    Sizes of compressed files say little of the rows that a task sorts; see ``row_bucket_count``.
+    """
+    return _power_of_two(partitions_for(path_bytes(spark, path), target_mb))
+
+
+def row_bucket_count(tables: Iterable[DataFrame], target_mb: int = 256) -> int:
+    """Buckets for tables that are joined: one of each holds rows of ``target_mb`` at most, as a task sorts them."""
+    return _power_of_two(partitions_for(sum(map(measured_bytes, tables)), target_mb))
+
+
+def _power_of_two(count: int) -> int:
+    """The least power of two from ``count`` on."""
+    return 1 << (count - 1).bit_length()
 
 
 def silver_buckets(
-    spark: SparkSession, paths: JobPaths, buckets: int, tables: Sequence[str] = ("transactions_data", "train_fraud_labels")
+    spark: SparkSession,
+    paths: JobPaths,
+    buckets: int | None = None,
+    tables: Sequence[str] = ("transactions_data", "train_fraud_labels"),
 ) -> list[str]:
-    """Bronze tables -> catalog tables in buckets by ``id``; returns their names.
+    """Bronze tables -> catalog tables in buckets by ``id``, as many as their rows need; returns their names.
 
     Labels are the history that every run joins; in buckets they are shuffled when they change and not in each run.
     """
     create_database(spark, paths.database, paths.warehouse)
 
-    def write(table: str) -> None:
+    def read(table: str) -> DataFrame:
         rows = read_parquet(spark, paths.raw_table(table), latest_only=table == "transactions_data")
-        rows = clean_transactions(rows) if table == "transactions_data" else rows.select(*table_schema(table).names)
+        return clean_transactions(rows) if table == "transactions_data" else rows.select(*table_schema(table).names)
+
+    rows = {table: read(table) for table in tables}
+    count = buckets or row_bucket_count(rows.values())
+
+    def write(table: str) -> None:
         name = f"{table}_buckets"
-        write_bucketed(rows, paths.database, name, paths.warehouse_table(name), "id", buckets)
+        write_bucketed(rows[table], paths.database, name, paths.warehouse_table(name), "id", count)
 
     run_together([partial(write, table) for table in tables])
     return [f"{table}_buckets" for table in tables]

@@ -407,6 +407,14 @@ def test_bucket_count(spark, folder):
     assert jobs.bucket_count(spark, f"{folder}/t", target_mb=1) in (1, 2)
 
 
+def test_buckets_are_counted_by_rows_not_by_files(spark, folder):
+    """Files of one value a column are small, whatever a task has to sort."""
+    rows = spark.range(0, 400_000, 1, 2).selectExpr("id", "repeat('x', 1000) AS text")
+    rows.write.parquet(f"{folder}/t")
+    assert jobs.bucket_count(spark, f"{folder}/t", target_mb=64) == 1
+    assert jobs.row_bucket_count([spark.read.parquet(f"{folder}/t")], target_mb=64) == 8
+
+
 # Doubtful files
 
 

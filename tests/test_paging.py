@@ -1,12 +1,16 @@
+import glob
 import re
 
 import pytest
+from compare import SF
 from plans import plan, scan_rows, scans
 from pyspark.sql import functions as F
 
+from cardmill.catalog.queries import QUERIES
 from cardmill.operators import paging
 from cardmill.operators.filters import preview, require_rows
 from cardmill.operators.rows import replays_in_order, split_rows, with_row_index
+from cardmill.session import scratch_base
 
 
 def test_pages(spark):
@@ -154,3 +158,13 @@ def test_a_deep_page_skips_row_groups(spark, folder, conf):
     assert min(scan_rows(page)) < 40_000 / 2
     first = paging.paginate(stored, ["k"], page=20, size=100)
     assert [r["id"] for r in first.collect()] == list(range(1900, 2000))
+
+
+def test_split_of_two_deliveries_is_written_by_many_tasks(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    written = f"{scratch_base(spark)}/cardmill/*/two-files-*/b/part-*".removeprefix("file:")
+    before = len(glob.glob(written))
+    rows = QUERIES["split_two_files"](spark, SF).orderBy("id").collect()
+    assert len(glob.glob(written)) - before > 1
+    size, extra = divmod(len(rows), 5)
+    assert [r.part for r in rows] == [p + 1 for p in range(5) for _ in range(size + (p < extra))]

@@ -105,6 +105,20 @@ def beats_mean(predictions: DataFrame, label: str, prediction: str = "prediction
     return predictions.agg((error <= F.var_pop(label) * (1 + 1e-9)).alias("beats_mean"))
 
 
+WEIGHT = "_weight"
+
+
+def grouped_by_features(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """One row for each set of features, with the mean of its labels and its number of rows as ``WEIGHT``.
+
+    Least-squares trees grown from these are those grown from the rows: rows of equal features always share a leaf, the
+    sums of a node are the same, and the spread inside a group is in every candidate split of a node alike. So
+    boosting reads as many rows as there are sets of features, however many rows there are.
+    """
+    means = rows.groupBy(*features).agg(F.avg(F.col(label).cast("double")).alias(label), F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    return materialize(means, "training-groups")
+
+
 def train_calendar_amount_model(
     df: DataFrame,
     date_col: str = "date",
@@ -115,8 +129,8 @@ def train_calendar_amount_model(
     """Amounts from calendar features: the model, its test predictions and their RMSE."""
     rows = calendar_features(df, date_col, label_col).select(key, label_col, *CALENDAR_FEATURES)
     train, test = train_test(rows, key)
-    trees = GBTRegressor(featuresCol="features", labelCol=label_col, maxIter=iterations)
-    model = Pipeline(stages=[assembler(CALENDAR_FEATURES), trees]).fit(train)
+    trees = GBTRegressor(featuresCol="features", labelCol=label_col, weightCol=WEIGHT, maxIter=iterations)
+    model = Pipeline(stages=[assembler(CALENDAR_FEATURES), trees]).fit(grouped_by_features(train, CALENDAR_FEATURES, label_col))
     predictions = model.transform(test)
     return model, predictions, rmse(predictions, label_col)
 

@@ -96,6 +96,23 @@ def test_models_beat_guessing(spark):
     assert all(0.99 < s <= 1.0 for s in scores.values())
 
 
+def test_calendar_model_from_groups_is_that_of_the_rows(spark, monkeypatch):
+    rows = spark.range(6000).select(
+        "id", F.timestamp_seconds(F.lit(1262304000) + F.col("id") % 200 * 86400).alias("date"),
+        (F.month("date") * 100 + F.hash("id") % 50).cast("double").alias("amount"),
+    )
+    fitted, fit = [], training.Pipeline.fit
+    monkeypatch.setattr(training.Pipeline, "fit", lambda self, df: fitted.append(df.count()) or fit(self, df))
+    _, predictions, _ = training.train_calendar_amount_model(rows, iterations=5)
+    assert max(fitted) <= 200  # the days
+    monkeypatch.undo()
+    parts = features.calendar_features(rows)
+    trees = training.GBTRegressor(featuresCol="features", labelCol="amount", maxIter=5)
+    plain = training.Pipeline(stages=[features.assembler(features.CALENDAR_FEATURES), trees]).fit(hash_split(parts, "id")[0])
+    expected = {r.id: r.prediction for r in plain.transform(hash_split(parts, "id")[1]).collect()}
+    assert {r.id: r.prediction for r in predictions.collect()} == pytest.approx(expected, rel=1e-9)
+
+
 def test_calendar_model(spark):
     rows = learnable(spark, 300).withColumn("amount", F.month("date") * 100.0)
     model, predictions, error = training.train_calendar_amount_model(rows, iterations=5)

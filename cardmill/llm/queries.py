@@ -93,10 +93,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = suffix_dedup.remove_repeats(docs)
+    out = suffix_dedup.remove_repeats(docs, passages_col="n_passage_words")
     # What is left as text; a cut inside a character leaves a replacement character.
     left = F.make_valid_utf8(F.col("kept_bytes").cast("string")).alias("text")
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"), left)
+    kept = F.sha2("kept_bytes", 256).alias("kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", kept, "n_passage_words", left)
 
 
 @query

@@ -37,28 +37,44 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Sums of byte codes times powers before each place; differences of them give the hash of any substring."""
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * powers(_BASE, len(data)), out=sums[1:])
+def value_sums(values: np.ndarray) -> np.ndarray:
+    """Sums of 64-bit values times powers before each place; differences of them give the hash of any stretch."""
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * powers(_BASE, len(values)), out=sums[1:])
     return sums
 
 
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """``value_sums`` of byte codes."""
+    return value_sums(_BYTE[data])
+
+
 def substring_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The hash of each substring ``starts:ends``, equal for equal bytes wherever they stand."""
     return mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(sums))[starts])
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """Hashes of the words of a text, A-Z lower-cased, in order."""
-    data = np.frombuffer(text.translate(LOWER_BYTES), dtype=np.uint8)
+def window_hashes(sums: np.ndarray, width: int) -> np.ndarray:
+    """The hashes of all stretches of ``width`` values, in order."""
+    n = max(len(sums) - width, 0)
+    return mix((sums[len(sums) - n :] - sums[:n]) * powers(_INVERSE, len(sums))[:n])
+
+
+def word_edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word."""
     space = _SPACE[data]
     edges = np.flatnonzero(space[1:] != space[:-1]) + 1
     if len(space) and not space[0]:
         edges = np.concatenate(([0], edges))
     if len(edges) % 2:
         edges = np.append(edges, len(data))
-    return substring_hashes(prefix_sums(data), edges[0::2], edges[1::2])
+    return edges[0::2], edges[1::2]
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words of a text, A-Z lower-cased, in order."""
+    data = np.frombuffer(text.translate(LOWER_BYTES), dtype=np.uint8)
+    return substring_hashes(prefix_sums(data), *word_edges(data))
 
 
 def shingle_set(text: bytes, width: int = 5) -> np.ndarray:

@@ -240,6 +240,44 @@ def test_repeats_of_odd_rows(rows, docs):
     assert suffix_dedup.remove_repeats(docs("a").limit(0)).count() == 0
 
 
+def brute_passages(texts, n):
+    words = [(t or "").encode().split() for t in texts]
+    owners = collections.defaultdict(set)
+    for i, w in enumerate(words):
+        for k in range(len(w) - n + 1):
+            owners[tuple(w[k : k + n])].add(i)
+    out = []
+    for w in words:
+        gone = set()
+        for k in range(len(w) - n + 1):
+            if len(owners[tuple(w[k : k + n])]) > 1:
+                gone.update(range(k, k + n))
+        out.append(len(gone))
+    return out
+
+
+@pytest.mark.parametrize("per_core", [2048, 3])
+def test_passages_below_the_match_in_bytes(docs, monkeypatch, per_core):
+    monkeypatch.setattr(suffix_dedup, "CORE_PIECES", per_core)
+    rnd = random.Random(8)
+
+    def prose(n):
+        return [rnd.choice("ab cd éf Gh ij".split()) + str(rnd.randrange(40)) for _ in range(n)]
+
+    passages = [prose(n) for n in (50, 51, 52, 60, 90, 200)]
+    texts = [None, "", " ".join(["the"] * 130), " ".join(["the"] * 70), " ".join(["a"] * 110), " ".join(prose(300))]
+    for _ in range(60):
+        parts = [rnd.choice([prose(rnd.randrange(60)), rnd.choice(passages)]) for _ in range(rnd.randrange(1, 6))]
+        texts.append("".join(w + rnd.choice([" ", "\n", "\t "]) for p in parts for w in p))
+    own = " ".join(prose(60))  # stands twice in one text only
+    texts += [own + " " + own, " ".join(passages[1]), " ".join(passages[1]).upper(), *texts[10:14], "short", "short"]
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs(*texts), passages_col="n").collect()}
+    expected = brute_passages(texts, suffix_dedup.PASSAGE)
+    assert [got[i].n for i in range(len(texts))] == expected
+    assert sum(e > 0 and got[i].n_removed == 0 for i, e in enumerate(expected)) > 5
+    assert [got[i].n_removed for i in range(len(texts))] == [e[1] for e in brute_repeats(texts, suffix_dedup.MATCH)]
+
+
 def test_the_cover_is_a_difference_cover():
     period, cover = suffix_dedup.PERIOD, suffix_dedup.COVER
     for i in range(period):

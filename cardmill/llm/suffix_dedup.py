@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -279,7 +280,7 @@ def _solve(rows: list[tuple[bytes, int, int, bytes, int]]) -> Iterator[dict[str,
     yield out
 
 
-def _solve_passages(rows: list[tuple[bytes, int, int, bytes, int]]) -> Iterator[dict[str, list]]:
+def _solve_passages(rows: list[tuple[bytes, int, int, bytes, int]]) -> Iterator[dict[str, list | np.ndarray]]:
     """Ranges of words that other texts of a bucket have, too, of (key, first window, windows, hashes, tiles) rows."""
     names: dict[bytes, int] = {}
     owner = np.array([names.setdefault(row[0], len(names)) for row in rows])
@@ -294,24 +295,28 @@ def _solve_passages(rows: list[tuple[bytes, int, int, bytes, int]]) -> Iterator[
     shared, stands_for = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
     shared[order] = np.repeat(several, end - begin + 1)
     stands_for[order[begin]] = True
-    out: dict[str, list] = {c: [] for c in ("part", "key", "first", "last", "string_a", "string_b", "alone")}
-
-    def add(part: int, key: bytes, first: int, a: int | None, alone: bool | None, last: int) -> None:
-        for name, value in zip(out, (part, key, first, last, a, None, alone), strict=True):
-            out[name].append(value)
-
+    keys = [row[0] for row in rows]
     offset = np.concatenate(([0], np.cumsum(counts)))
-    for i, (key, first, _, _, tiles) in enumerate(rows):
-        here = shared[offset[i] : offset[i + 1]]
-        low, high = _runs(np.flatnonzero(here))
-        for x, y in zip(low.tolist(), high.tolist(), strict=True):
-            add(0, key, first + x, None, None, first + y + PASSAGE)
-        if tiles > 1:
-            # One of the windows that are shared here already is enough for the others' buckets.
-            mine = hashes[offset[i] : offset[i + 1]].view(np.int64)
-            for x in np.flatnonzero(~here | stands_for[offset[i] : offset[i + 1]]).tolist():
-                add(1, key, first + x, int(mine[x]), not here[x], first + x + PASSAGE)
-    yield out
+    piece = np.repeat(np.arange(len(rows)), counts)
+    place = np.arange(len(order)) + np.repeat(np.array([row[1] for row in rows]) - offset[:-1], counts)
+    # Runs of shared windows end with their piece.
+    ahead, behind = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
+    ahead[1:] = shared[:-1] & (piece[1:] == piece[:-1])
+    behind[:-1] = shared[1:] & (piece[1:] == piece[:-1])
+    low, high = np.flatnonzero(shared & ~ahead), np.flatnonzero(shared & ~behind)
+    # One of the windows that are shared here already is enough for the others' buckets.
+    several_tiles = np.repeat(np.array([row[4] > 1 for row in rows]), counts)
+    single = np.flatnonzero(several_tiles & (~shared | stands_for))
+    ranges, strings = len(low), len(single)
+    yield {
+        "part": [0] * ranges + [1] * strings,
+        "key": [keys[i] for i in piece[np.concatenate((low, single))].tolist()],
+        "first": np.concatenate((place[low], place[single])),
+        "last": np.concatenate((place[high], place[single])) + PASSAGE,
+        "string_a": [None] * ranges + hashes[single].view(np.int64).tolist(),
+        "string_b": [None] * (ranges + strings),
+        "alone": [None] * ranges + (~shared[single]).tolist(),
+    }
 
 
 def _buckets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,14 +427,18 @@ def remove_repeats(
         names = ["words", "core", "tile", "tiles", "key", "first", "starts", "content"]
         kinds = [pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
         for batch in source:
-            keys, contents, lists = (c.to_pylist() for c in batch.columns)
-            hashes = passage_windows([c for c, mine in zip(contents, lists, strict=True) if any(p["words"] for p in mine)])
+            keys, contents = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            flat = batch.column(2).flatten()
+            found = [flat.field(i).to_pylist() for i in range(flat.type.num_fields)]
+            cuts = batch.column(2).offsets.to_numpy()
+            lists = [list(zip(*(f[a:b] for f in found), strict=True)) for a, b in pairwise((cuts - cuts[0]).tolist())]
+            hashes = passage_windows([c for c, mine in zip(contents, lists, strict=True) if any(p[0] for p in mine)])
             for key, content, mine in zip(keys, contents, lists, strict=True):
-                windows = next(hashes) if any(p["words"] for p in mine) else None
+                windows = next(hashes).tobytes() if any(p[0] for p in mine) else b""
                 rows = [
-                    (words, core, _tile(key, first, tiles), tiles, key, first, starts)
-                    + (windows[first : first + starts].tobytes() if words else content[first : first + starts + MATCH - 1],)
-                    for words, core, tiles, first, starts in (p.values() for p in mine)
+                    (words, core, _tile(key, first, tiles) if tiles > 1 else 0, tiles, key, first, starts)
+                    + (windows[8 * first : 8 * (first + starts)] if words else content[first : first + starts + MATCH - 1],)
+                    for words, core, tiles, first, starts in mine
                 ]
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names)

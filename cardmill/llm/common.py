@@ -45,8 +45,9 @@ def words_of(text: Column) -> Column:
 
 
 def count_words(text: Column) -> Column:
-    """Number of words of a text, 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD_CLASS + "+")), F.lit(0)).cast("bigint")
+    """Number of words of a text, 0 for null. One character a word is left to count, not an array of all words."""
+    marks = F.regexp_replace(strip(text), f"{WORD_CLASS}+{SPACE_CLASS}*", "w")
+    return F.coalesce(F.length(marks), F.lit(0)).cast("bigint")
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cardmill.llm.common import count_words, free
+from cardmill.llm.common import WORD_CLASS, count_words, free
 from cardmill.session import materialize
 
 LEVELS, LEVEL_BITS = 3, 12
@@ -97,6 +97,32 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return state
 
 
+def _places(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """``docs`` with the source that a row counts for and its place."""
+    doc, text, source = (F.col(f"`{c}`") for c in (id_col, text_col, source_col))
+    identity = F.coalesce(doc.cast("string"), F.concat(F.lit("null:"), F.coalesce(text, F.lit(""))))
+    return docs.withColumns(
+        {
+            "_llm_null": source.isNull(),
+            "_llm_source": F.coalesce(source.cast("string"), F.lit("")),
+            "_llm_u": hash_place(identity),
+        }
+    )
+
+
+def _bounds(places: DataFrame, text_col: str, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    """The thresholds of all sources, written; words are counted once, into a copy of the sizes alone."""
+    size = count_words(F.col(f"`{text_col}`"))
+    sized = materialize(places.select(*SOURCE, "_llm_u", size.alias("size")), "mix-sizes")
+    totals = sized.groupBy(*SOURCE).agg(F.sum("size").alias("source_size"))
+    return materialize(thresholds(sized, source_targets(totals, weights, share, most)), "mix-bounds")
+
+
+def _copies() -> Column:
+    """How often the mix takes a row that has been joined to its thresholds."""
+    return F.col("_llm_full") + F.when(F.col("_llm_u") <= F.col("_llm_last"), 1).otherwise(0)
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -114,33 +140,45 @@ def mix(
       equal ids are taken or left together. Input columns named like the added ones are replaced.
     """
     docs = free(docs, *ADDED)
-    doc, text, source = (F.col(f"`{c}`") for c in (id_col, text_col, source_col))
-    identity = F.coalesce(doc.cast("string"), F.concat(F.lit("null:"), F.coalesce(text, F.lit(""))))
-    marked = docs.withColumns(
-        {
-            "_llm_null": source.isNull(),
-            "_llm_source": F.coalesce(source.cast("string"), F.lit("")),
-            "_llm_u": hash_place(identity),
-            "size": count_words(text),
-        }
-    )
-    sized = materialize(marked.select(*SOURCE, "_llm_u", "size"), "mix-sizes")
-    totals = sized.groupBy(*SOURCE).agg(F.sum("size").alias("source_size"))
-    bounds = materialize(thresholds(sized, source_targets(totals, weights, share, most)), "mix-bounds")
-    copies = F.col("_llm_full") + F.when(F.col("_llm_u") <= F.col("_llm_last"), 1).otherwise(0)
+    places = _places(docs, id_col, text_col, source_col)
+    bounds = _bounds(places, text_col, weights, share, most)
+    marked = places.withColumn("size", count_words(F.col(f"`{text_col}`")))
     return marked.join(bounds, list(SOURCE)).select(
         *[F.col(f"`{c}`") for c in docs.columns],
         "size",
         "source_size",
         "target",
-        (F.col("size") * copies).alias("taken"),
+        (F.col("size") * _copies()).alias("taken"),
     )
 
 
-def take_mix(mixed: DataFrame) -> DataFrame:
-    """The rows of a mix, each as often as it is taken; rows without words count as not taken."""
-    times = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)
-    several = mixed.withColumn("_llm_times", times).where(F.col("_llm_times") > 0)
+def _repeated(rows: DataFrame, times: Column) -> DataFrame:
+    """Each row ``times`` times."""
+    several = rows.withColumn("_llm_times", times.cast("int")).where(F.col("_llm_times") > 0)
     return several.withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), F.col("_llm_times")))).drop(
-        *ADDED, "_llm_times", "_llm_copy"
+        "_llm_times", "_llm_copy"
     )
+
+
+def take_mix(mixed: DataFrame) -> DataFrame:
+    """The rows of a mix, each as often as it is taken; rows without words count as not taken."""
+    times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0)
+    return _repeated(mixed, times).drop(*ADDED)
+
+
+def mixed_rows(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: Sequence[float] = (5, 2, 1),
+    share: float = 1.5,
+    most: float = 2,
+) -> DataFrame:
+    """The rows of ``take_mix(mix(docs))`` without counting their words again: a row needs but one word to be taken."""
+    docs = free(docs, *ADDED)
+    places = _places(docs, id_col, text_col, source_col)
+    bounds = _bounds(places, text_col, weights, share, most)
+    worded = F.col(f"`{text_col}`").rlike(WORD_CLASS)
+    taken = _repeated(places.join(bounds, list(SOURCE)), F.when(worded, _copies()).otherwise(0))
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])

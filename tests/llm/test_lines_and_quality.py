@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cardmill.llm import line_dedup, mixing, quality
 from cardmill.llm.common import SPACES
 
@@ -144,6 +145,18 @@ def test_mix(docs):
     assert copies == collections.Counter({r.doc_id: r.taken // r.size for r in got if r.taken})
 
 
+def test_mixed_rows_make_no_words(docs):
+    texts = ["w " * (i % 7) for i in range(300)] + [None, "", SPACES, " \U0001f600\x1f\u00a0 b\x0bc "]
+    frame = docs(*texts, sources=["a", None] * 152)
+    assert mixing.mix(frame).where("doc_id = 303").first().size == 3
+    taken = mixing.mixed_rows(frame)
+    key = lambda r: (r.doc_id, r.text, r.source)
+    expected = collections.Counter(map(key, mixing.take_mix(mixing.mix(frame)).collect()))
+    assert taken.columns == frame.columns and expected and collections.Counter(map(key, taken.collect())) == expected
+    for plan in (mixing.mix(frame), corpus_pipeline.mix_stage(frame.sparkSession, frame, "")):
+        assert "regexp_extract_all" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mix_of_odd_rows(docs, rows):
     assert mixing.mix(docs("a").limit(0)).count() == 0
     got = mixing.mix(rows([(None, None, None, 1), (None, "", "a", 2), (5, SPACES, "a", 3)], "doc_id long, text string, source string, size int"))
